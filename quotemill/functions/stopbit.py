@@ -105,3 +105,9 @@ def group_starts(group):
 def take(values, index, default):
     """values[index] with ``default`` where index is -1."""
     return np.where(index >= 0, values[np.maximum(index, 0)], default)
+
+
+def copy_nullable(wire, present, group_start):
+    """Copy with a nullable wire value: an explicit null gives 0 and keeps the dictionary."""
+    kept = last_present(present & (wire != 0), group_start)
+    return np.where(present & (wire == 0), 0, take(wire, kept, 1) - 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill.functions.fields import fixed_decimal
-from quotemill.functions.stopbit import Tokens, group_starts, last_present, take
+from quotemill.functions.stopbit import Tokens, copy_nullable, group_starts, last_present, take
 
 TEMPLATE_ID = 5803
 # Presence bits, first field highest; every present field is one stop-bit token.
@@ -116,9 +116,7 @@ def decode_payloads(payloads):
     )
 
     token, present = field("tick_time")
-    wire = tok.numbers(token, present)
-    kept = last_present(present & (wire != 0), start)
-    tick_time = np.where(present & (wire == 0), 0, take(wire, kept, 1) - 1) & U32
+    tick_time = copy_nullable(tok.numbers(token, present), present, start) & U32
 
     action, bs_flag = copied_text("action"), copied_text("bs_flag")
     security_id = copied_text("security_id")

@@ -6,19 +6,23 @@ decoders and serve the queries and tests only.
 """
 
 import struct
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quotemill.operators.packets import PACKET_SCHEMA
 from quotemill.operators.scan import block_of, ordered_scan, running_count, running_sum
 from quotemill.operators.ticks import BIT
 from quotemill.schemas import schema
+from quotemill.sources.files import resolve
+from quotemill.sources.segments import WrittenParts
 
 RECORDS_PER_FRAME = 50
 FRAMES_PER_GROUP = 8
@@ -343,3 +347,323 @@ def _group_packets(channel, group, blob, at, copy, faults, port):
         add(2, udp_frame(src, 1985, bytes([224, 0, 0, 102]), 1985, b"hello"))
         add(3, ethernet(0x0806, bytes(46)))
     return rows
+
+
+# ---- snapshots from lineitem -------------------------------------------------------------------
+
+
+def snapshot_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One snapshot per line: up to seven bid and two offer levels, queues of up to two orders."""
+    number = F.col("l_linenumber").cast("long")
+    last = F.round(F.col("l_extendedprice") * 100).cast("long")
+    lot = F.col("l_quantity").cast("long") * 100
+
+    def levels(count, sign):
+        def level(i):
+            orders = F.transform(
+                F.filter(F.sequence(F.lit(1).cast("long"), F.lit(2).cast("long")), lambda j: j <= i % 3),
+                lambda j: F.col("lot") * j,
+            )
+            return F.struct(
+                (F.col("last_px") + i * sign * 10).alias("price"),
+                (F.col("lot") * i).alias("qty"),
+                (i % 3).alias("num_orders"),
+                orders.alias("orders"),
+            )
+
+        every = F.sequence(F.lit(1).cast("long"), F.lit(7).cast("long"))
+        return F.transform(F.filter(every, lambda i: i <= count), level)
+
+    base = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        number.alias("number"),
+        last.alias("last_px"),
+        lot.alias("lot"),
+        F.col("l_returnflag").alias("instrument_status"),
+        F.concat(F.col("l_linestatus"), F.lit("T")).alias("trading_phase_code"),
+    )
+    n = F.col("number")
+    return base.select(
+        "l_orderkey",
+        F.lpad((F.col("l_partkey") % 1000000).cast("string"), 6, "0").alias("security_id"),
+        (F.lit(90000) + F.col("l_suppkey") % 60 * 100 + n).cast("long").alias("tick_time"),
+        (n % 3).alias("data_status"),
+        (F.col("l_suppkey") % 2 + 1).alias("image_status"),
+        (F.col("last_px") - n).alias("open_px"),
+        "last_px",
+        (F.col("l_suppkey") % 4).alias("iopv"),
+        F.col("l_partkey").alias("num_trades"),
+        (F.col("lot") * n).alias("total_volume"),
+        "instrument_status",
+        "trading_phase_code",
+        levels(n, -1).alias("bid_levels"),
+        levels(n % 3, 1).alias("offer_levels"),
+    )
+
+
+def _units(fields, n):
+    """Bytes of n units made of (data, mask) fields, with their offsets."""
+    data = np.concatenate([d for d, _ in fields], 1)
+    mask = np.concatenate([m for _, m in fields], 1)
+    return data[mask], np.r_[0, np.cumsum(mask.sum(1))]
+
+
+def _changed(values, first, nullable):
+    """Presence of copied values; a nullable zero is written as null unless nothing was kept."""
+    n = len(values)
+    start = np.maximum.accumulate(np.where(first, np.arange(n), 0)) if n else np.zeros(0, int)
+    if not nullable:
+        before = np.roll(values, 1)
+        return first | (values != before)
+    at = np.maximum.accumulate(np.where(values != 0, np.arange(n), -1)) if n else start
+    held = np.roll(at, 1)
+    if n:
+        held[0] = -1
+    known = np.where(held >= start, values[np.maximum(held, 0)], 0)
+    return values != known
+
+
+def _nullable(values):
+    return np.where(values == 0, 0, values + 1)
+
+
+def snapshot_payloads(batch, records_per_frame=20):
+    """Payloads of consecutive rows of an Arrow batch."""
+    from quotemill.functions.stopbit import slices
+    from quotemill.operators import snapshots as S
+
+    n = batch.num_rows
+    every = np.ones(n, bool)
+    first = np.arange(n) % records_per_frame == 0
+
+    def col(name):
+        if name in batch.schema.names:
+            return batch.column(name).to_numpy(zero_copy_only=False)
+        return np.zeros(n, np.int64)
+
+    bits, fields = np.zeros(n, np.int64), []
+
+    def add(bit, encode, values, present):
+        nonlocal bits
+        bits = bits | present.astype(np.int64) << bit
+        fields.append(encode(values, present))
+
+    add(48, stop_bit_numbers, np.full(n, 3202), first)
+    for name in ("tick_time", "data_status"):
+        v = col(name)
+        add(S.COPIED[name], stop_bit_numbers, v, _changed(v, first, False))
+    fields.append(stop_bit_texts(col("security_id"), every))
+    fields.append(stop_bit_numbers(col("image_status"), every))
+    ordered = sorted({**S.NULLABLE, **S.COPIED_TEXT}.items(), key=lambda kv: -kv[1])
+    for name, bit in ordered:
+        v = col(name)
+        if name in S.COPIED_TEXT:
+            add(bit, stop_bit_texts, v, _changed(v, first, False))
+        else:
+            add(bit, stop_bit_numbers, _nullable(v), _changed(v, first, True))
+    pmap = np.stack([(bits >> s & 0x7F).astype(np.uint8) for s in range(42, -1, -7)], 1)
+    pmap[:, -1] |= 0x80
+    head, head_off = _units([(pmap, np.ones((n, 7), bool)), *fields], n)
+
+    blobs, starts, sizes, keys = [head], [head_off[:-1]], [np.diff(head_off)], [(np.arange(n), 0, 0, 0)]
+    base = len(head)
+    for side, name in ((1, "bid_levels"), (2, "offer_levels")):
+        lists = batch.column(name)
+        counts = np.diff(np.asarray(lists.offsets))
+        level = lists.flatten()
+        rec = np.repeat(np.arange(n), counts)
+        new = np.r_[True, rec[1:] != rec[:-1]] if len(rec) else np.zeros(0, bool)
+        index = np.arange(len(rec)) - np.repeat(np.cumsum(counts) - counts, counts)
+        count_bytes, off = _units([stop_bit_numbers(counts.astype(np.int64) + 1, every)], n)
+        parts = [(count_bytes, off, (np.arange(n), side, -1, -1))]
+        if len(rec):
+            lbits, lfields = np.zeros(len(rec), np.int64), []
+            for k, bit in S.LEVEL_BITS.items():
+                v = level.field(k).to_numpy(zero_copy_only=False)
+                present = _changed(v, new, True)
+                lbits |= present.astype(np.int64) << bit
+                lfields.append(stop_bit_numbers(_nullable(v), present))
+            queue = level.field("orders")
+            ocount = np.diff(np.asarray(queue.offsets))
+            all_levels = np.ones(len(rec), bool)
+            sub = ((lbits | 0x80).astype(np.uint8)[:, None], all_levels[:, None])
+            tail = stop_bit_numbers(ocount.astype(np.int64) + 1, all_levels)
+            parts.append((*_units([sub, *lfields, tail], len(rec)), (rec, side, index, -1)))
+            qty = queue.flatten().to_numpy(zero_copy_only=False)
+            if len(qty):
+                of = np.repeat(np.arange(len(rec)), ocount)
+                fresh = np.r_[True, of[1:] != of[:-1]]
+                present = _changed(qty, fresh, True)
+                osub = (np.where(present, 0x90, 0x80).astype(np.uint8)[:, None], np.ones((len(qty), 1), bool))
+                at = np.arange(len(qty)) - np.repeat(np.cumsum(ocount) - ocount, ocount)
+                parts.append(
+                    (*_units([osub, stop_bit_numbers(_nullable(qty), present)], len(qty)),
+                     (rec[of], side, index[of], at))
+                )
+        for data, off, key in parts:
+            blobs.append(data)
+            starts.append(off[:-1] + base)
+            sizes.append(np.diff(off))
+            keys.append(key)
+            base += len(data)
+    columns = [
+        np.concatenate([np.broadcast_to(k[i], len(s)) for k, s in zip(keys, sizes)]) for i in range(4)
+    ]
+    order = np.lexsort(columns[::-1])
+    start, size = np.concatenate(starts)[order], np.concatenate(sizes)[order]
+    flat, off = slices(np.concatenate(blobs), start, size)
+    ends = off[np.searchsorted(columns[0][order], np.arange(1, n + 1))]
+    cuts = [*range(records_per_frame, n, records_per_frame), n]
+    flat, lo, out = flat.tobytes(), 0, []
+    for c in cuts:
+        out.append(flat[lo : int(ends[c - 1])])
+        lo = int(ends[c - 1])
+    return out
+
+
+def snapshot_frames(snapshots: DataFrame) -> DataFrame:
+    """Frames of 20 consecutive snapshots of a task's rows; no shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                payloads = snapshot_payloads(batch)
+                ids = [pa.array([v] * len(payloads), pa.int64()) for v in (6, 3202)]
+                yield pa.RecordBatch.from_arrays(
+                    [*ids, pa.array(payloads, pa.binary())], ["category_id", "msg_type", "payload"]
+                )
+
+    return snapshots.mapInArrow(run, schema("category_id long, msg_type long, payload binary"))
+
+
+def status_frames(ticks: DataFrame, per_frame: int = 50) -> DataFrame:
+    """Frames of status records that each carry their template id and all fields."""
+    fields = ["biz_index", "channel", "security_id", "tick_time", "bs_flag"]
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            cols = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in fields}
+            zero = np.zeros(n, np.int64)
+            cols |= {k: zero for k in ("buy_order_no", "sell_order_no", "price_e3", "qty_e3", "money_e5")}
+            cols["action"] = ["S"] * n
+            records = tick_records(cols, np.ones(n, bool))
+            out = [b"".join(records[i : i + per_frame]) for i in range(0, n, per_frame)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["payload"])
+
+    return ticks.filter(F.col("action") == "S").select(*fields).mapInArrow(run, schema("payload binary"))
+
+
+# ---- one packet per event -----------------------------------------------------------------------
+
+EVENT_PACKET = "event_id, channel, size, tcp_seq, vlans, is_udp"
+
+
+def event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A packet per event whose headers and verdict follow from the table alone.
+
+    Sign-ups are UDP. Every fifth late error repeats bytes already sent; every 31st event skips
+    500 bytes first.
+    """
+    e = F.col("event_id")
+    repeat = (e >= 100) & (F.col("event_type") == "error") & (e % 5 == 0)
+    skip = (e >= 100) & ~repeat & (e % 31 == 0)
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        (F.col("user_id") % 4 + 1).alias("channel"),
+        (F.length("event_type") * 3 + e % 7).cast("long").alias("size"),
+        (F.col("event_type") == "signup").alias("is_udp"),
+        repeat.alias("repeat"),
+        F.when(skip, 500).otherwise(0).cast("long").alias("skip"),
+        (e % 3).cast("int").alias("vlans"),
+        block_of(e).alias("_block"),
+    )
+    advance = F.when(F.col("is_udp") | F.col("repeat"), 0).otherwise(F.col("size") + F.col("skip"))
+    placed = ordered_scan(
+        rows,
+        group=["channel"],
+        block=["_block"],
+        order=["event_id"],
+        at=running_sum(advance.cast("long"), exclusive=True),
+    )
+    seq = F.lit(FIRST_SEQ) + F.col("at") + F.when(F.col("repeat"), -F.col("size")).otherwise(F.col("skip"))
+    sized = placed.withColumn("tcp_seq", F.pmod(seq, F.lit(1 << 32))).select(*EVENT_PACKET.split(", "))
+    arrow = to_arrow_schema(PACKET_SCHEMA)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                src, dst = bytes([10, 3, 0, row["channel"]]), bytes([10, 4, 0, 1])
+                body = b"x" * row["size"]
+                if row["is_udp"]:
+                    frame = udp_frame(src, 7001, dst, 1985, body)
+                else:
+                    frame = tcp_frame(src, 7000, dst, 51000, row["tcp_seq"], body, row["vlans"])
+                at = row["event_id"]
+                out.append(("memory", at, CLOCK_NS + at * 1000, frame))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), arrow.types)], schema=arrow)
+
+    return sized.mapInArrow(run, PACKET_SCHEMA)
+
+
+# ---- pcap files ---------------------------------------------------------------------------------
+
+
+class PcapWriter(DataSourceArrowWriter):
+    """One pcap file per task, named in partition order at commit."""
+
+    def __init__(self, options):
+        self.folder, self.nanos = options["path"], options.get("nanos") == "true"
+        self.endian = options.get("endian", "<")
+
+    def write(self, batches):
+        store, base = resolve(self.folder)
+        store.create_dir(base, recursive=True)
+        number = TaskContext.get().partitionId()
+        name = f".{uuid.uuid4().hex}.part"
+        record = struct.Struct(self.endian + "IIII")
+        magic = 0xA1B23C4D if self.nanos else 0xA1B2C3D4
+        with store.open_output_stream(f"{base}/{name}") as out:
+            out.write(struct.pack(self.endian + "IHHiIII", magic, 2, 4, 0, 0, 262144, 1))
+            for batch in batches:
+                for ts, frame in zip(batch.column("ts_ns").to_pylist(), batch.column("frame").to_pylist()):
+                    sec, frac = divmod(ts, 10**9)
+                    out.write(record.pack(sec, frac if self.nanos else frac // 1000, len(frame), len(frame)))
+                    out.write(frame)
+        return WrittenParts(number, [name], 0, 0)
+
+    def commit(self, messages):
+        store, base = resolve(self.folder)
+        for m in messages:
+            for name in m.names if m else ():
+                store.move(f"{base}/{name}", f"{base}/capture-{m.partition:05d}.pcap")
+
+
+class PcapFixture(DataSource):
+    @classmethod
+    def name(cls):
+        return "pcap_fixture"
+
+    def schema(self):
+        return PACKET_SCHEMA
+
+    def writer(self, schema, overwrite):
+        return PcapWriter(self.options)
+
+
+def write_pcap(packets: DataFrame, folder: str, nanos: bool = True, endian: str = "<") -> None:
+    packets.sparkSession.dataSource.register(PcapFixture)
+    (
+        packets.repartitionByRange("ts_ns", "capture_seq")
+        .sortWithinPartitions("ts_ns", "capture_seq")
+        .write.format("pcap_fixture")
+        .mode("append")
+        .option("nanos", str(nanos).lower())
+        .option("endian", endian)
+        .save(folder)
+    )
