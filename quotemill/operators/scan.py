@@ -95,7 +95,11 @@ def ordered_scan(df: DataFrame, *, group, block, order, **specs: Running) -> Dat
             return F.last(total, ignorenulls=True).over(before)
         return {"sum": F.sum, "max": F.max}[spec.kind](total).over(before)
 
-    carry = blocks.select(*keys, *[carried(n, s).alias(f"_c_{n}") for n, s in specs.items()])
+    # First blocks carry nothing: without them the table is small when most groups fit one block.
+    some = reduce(lambda a, b: a | b, [F.col(f"_c_{n}").isNotNull() for n in specs])
+    carry = blocks.select(
+        *keys, *[carried(n, s).alias(f"_c_{n}") for n, s in specs.items()]
+    ).filter(some)
     joined = local.join(carry, keys, "left")
 
     def combined(name, spec):

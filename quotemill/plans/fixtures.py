@@ -566,7 +566,7 @@ EVENT_PACKET = "event_id, channel, size, tcp_seq, vlans, is_udp"
 def event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A packet per event whose headers and verdict follow from the table alone.
 
-    Sign-ups are UDP. Every fifth late error repeats bytes already sent; every 31st event skips
+    Sign-ups are UDP. Every fifth late error repeats three bytes already sent; every 31st event skips
     500 bytes first.
     """
     e = F.col("event_id")
@@ -575,7 +575,7 @@ def event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(
         "event_id",
         (F.col("user_id") % 4 + 1).alias("channel"),
-        (F.length("event_type") * 3 + e % 7).cast("long").alias("size"),
+        F.when(repeat, 3).otherwise(F.length("event_type") * 3 + e % 7).cast("long").alias("size"),
         (F.col("event_type") == "signup").alias("is_udp"),
         repeat.alias("repeat"),
         F.when(skip, 500).otherwise(0).cast("long").alias("skip"),

@@ -1,0 +1,64 @@
+"""The batch pipeline from landed capture to tick and snapshot tables."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quotemill.functions.predicates import filter_ports
+from quotemill.operators.framing import cut_step_frames
+from quotemill.operators.packets import parse_packets, tcp_with_payload
+from quotemill.operators.reassembly import BLOCK_BYTES
+from quotemill.operators.routing import first_arrival, route
+from quotemill.operators.snapshots import decode_snapshots, valid_snapshots
+from quotemill.operators.ticks import decode_ticks, valid_ticks
+from quotemill.session import staged
+from quotemill.sources.segments import read_segments
+
+ARRIVAL = ["ts_ns", "file", "frame_no", "rec_idx"]
+
+
+def tcp_table(packets: DataFrame, port: int = 0) -> DataFrame:
+    """TCP payload of a port as a written table: the framing step reads it more than once."""
+    return staged(tcp_with_payload(filter_ports(parse_packets(packets), port)), "packets")
+
+
+def routed_frames(
+    tcp: DataFrame, rules, policy: str = "strict", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Frames with a rule and a payload; the filter runs before any decoding."""
+    frames = cut_step_frames(tcp, policy, block_bytes)
+    return route(frames, rules).filter(F.octet_length("payload") > 0)
+
+
+def _deduped(rows: DataFrame, keys) -> DataFrame:
+    kept = rows.filter("dedup")
+    return first_arrival(kept, keys, ARRIVAL).unionByName(rows.filter("not dedup"))
+
+
+def ticks_of(routed: DataFrame, all_dedup: bool = True) -> DataFrame:
+    """Valid ticks of routed frames, first arrival per (channel, biz_index) where asked for."""
+    wanted = (F.col("category_id") == 9) & (F.col("msg_type") == 5803)
+    ticks = valid_ticks(decode_ticks(routed.filter(wanted)))
+    keys = ["channel", "biz_index"]
+    return first_arrival(ticks, keys, ARRIVAL) if all_dedup else _deduped(ticks, keys)
+
+
+def snapshots_of(routed: DataFrame, all_dedup: bool = True) -> DataFrame:
+    """Valid snapshots of routed frames, first arrival per (security_id, tick_time)."""
+    wanted = (F.col("category_id") == 6) & (F.col("msg_type") == 3202)
+    found = valid_snapshots(decode_snapshots(routed.filter(wanted)))
+    keys = ["security_id", "tick_time"]
+    return first_arrival(found, keys, ARRIVAL) if all_dedup else _deduped(found, keys)
+
+
+def decode_segments(
+    spark: SparkSession, folder: str, prefix: str, rules, port: int = 0
+) -> dict[str, DataFrame]:
+    """{"ticks": ..., "snapshots": ...} for the outputs named by the rules."""
+    routed = routed_frames(tcp_table(read_segments(spark, folder, prefix), port), rules)
+    by_type = {(9, 5803): ("ticks", ticks_of), (6, 3202): ("snapshots", snapshots_of)}
+    out = {}
+    for rule in rules:
+        name, job = by_type.get((rule["category_id"], rule["msg_type"]), (None, None))
+        if name and name not in out:
+            out[name] = job(routed, rule.get("dedup", True))
+    return out

@@ -18,11 +18,11 @@ from quotemill.operators import (
     ticks,
     traffic,
 )
-from quotemill.operators.scan import block_of, ordered_scan, running_count
-from quotemill.plans import fixtures
+from quotemill.operators.scan import block_of
+from quotemill.plans import fixtures, pipeline
 from quotemill.plans import sqltext as sql
 from quotemill.plans.fixtures import table
-from quotemill.session import configure, scratch_dir
+from quotemill.session import configure, scratch_dir, staged
 from quotemill.sources import pcap, segments, tables
 from quotemill.streaming import decode as streaming
 
@@ -98,10 +98,19 @@ def captured(spark, sf_dir):
     return segments.read_segments(spark, capture(spark, sf_dir, "step"), "cap")
 
 
+def once(spark, sf_dir, name, make):
+    """A written table shared by the queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = make()
+    return _tables[key]
+
+
+_tables: dict[tuple, DataFrame] = {}
+
+
 def captured_tcp(spark, sf_dir):
-    return packets.tcp_with_payload(
-        predicates.filter_ports(packets.parse_packets(captured(spark, sf_dir)), 9129)
-    )
+    return once(spark, sf_dir, "step", lambda: pipeline.tcp_table(captured(spark, sf_dir), 9129))
 
 
 RULES = [
@@ -128,13 +137,8 @@ def ticks_roundtrip(spark, sf_dir):
 @query(sql.with_(sql.TICKS, f"SELECT {sql.TICK_FIELDS} FROM ticks"))
 def capture_ticks(spark, sf_dir):
     """The whole batch pipeline: segments to packets, frames, routing, ticks, first arrival."""
-    frames = framing.cut_step_frames(captured_tcp(spark, sf_dir), block_bytes=SMALL_BLOCK)
-    routed = routing.route(frames, RULES).filter(F.octet_length("payload") > 0)
-    decoded = ticks.valid_ticks(ticks.decode_ticks(routed))
-    first = routing.first_arrival(
-        decoded, ["channel", "biz_index"], ["ts_ns", "file", "frame_no", "rec_idx"]
-    )
-    return first.select(*TICK_FIELDS)
+    routed = pipeline.routed_frames(captured_tcp(spark, sf_dir), RULES, block_bytes=SMALL_BLOCK)
+    return pipeline.ticks_of(routed).select(*TICK_FIELDS)
 
 
 @query(
@@ -590,11 +594,13 @@ def flag_mismatch(spark, sf_dir):
 # ---- capture path -------------------------------------------------------------------------------
 
 _PACKETS = """
-    sent AS (
-      SELECT event_id, user_id % 4 + 1 AS channel, event_type = 'signup' AS is_udp,
-        length(event_type) * 3 + event_id % 7 AS size,
+    kinds AS (
+      SELECT event_id, event_type, user_id % 4 + 1 AS channel, event_type = 'signup' AS is_udp,
         event_id >= 100 AND event_type = 'error' AND event_id % 5 = 0 AS repeated
       FROM events),
+    sent AS (
+      SELECT *, CASE WHEN repeated THEN 3 ELSE length(event_type) * 3 + event_id % 7 END AS size
+      FROM kinds),
     skips AS (
       SELECT *, CASE WHEN event_id >= 100 AND NOT repeated AND event_id % 31 = 0 THEN 500 ELSE 0 END AS skip
       FROM sent),
@@ -625,6 +631,10 @@ def event_segments(spark, sf_dir):
     return segments.read_segments(spark, event_capture(spark, sf_dir, "event-segments"), "ev")
 
 
+def event_tcp(spark, sf_dir):
+    return once(spark, sf_dir, "event-tcp", lambda: pipeline.tcp_table(event_segments(spark, sf_dir)))
+
+
 _CAPTURE_SQL = sql.with_(
     _PACKETS,
     f"""
@@ -681,7 +691,7 @@ def packet_headers(spark, sf_dir):
 )
 def segment_classes(spark, sf_dir):
     """R1 with repeats, gaps and a sequence wrap, across many blocks of each flow."""
-    rows = packets.tcp_with_payload(packets.parse_packets(event_segments(spark, sf_dir)))
+    rows = event_tcp(spark, sf_dir)
     found = reassembly.classify_segments(rows, block_bytes=SMALL_BLOCK)
     return found.select("ts_ns", "tcp_seq", "verdict")
 
@@ -732,7 +742,7 @@ def offset_merge(spark, sf_dir):
 )
 def offset_reassembly(spark, sf_dir):
     """R2 on packets: bytes kept and bytes missing per flow, numbers unwrapped past 2^32."""
-    rows = packets.tcp_with_payload(packets.parse_packets(event_segments(spark, sf_dir)))
+    rows = event_tcp(spark, sf_dir)
     merged = reassembly.reassemble_by_offset(rows, block_bytes=SMALL_BLOCK)
     hole = F.col("hole_end") - F.col("hole_start")
     return merged.groupBy("src_ip").agg(
@@ -796,10 +806,12 @@ def envelope_check(spark, sf_dir):
 
 def v1_frames(spark, sf_dir, want=None):
     found = segments.read_segments(spark, capture(spark, sf_dir, "v1"), "cap")
-    rows = packets.tcp_with_payload(
-        predicates.filter_ports(packets.parse_packets(found), [5261], side="src")
-    )
-    return framing.cut_v1_frames(rows, want, block_bytes=SMALL_BLOCK)
+
+    def make():
+        parsed = predicates.filter_ports(packets.parse_packets(found), [5261], side="src")
+        return staged(packets.tcp_with_payload(parsed), "v1-packets")
+
+    return framing.cut_v1_frames(once(spark, sf_dir, "v1", make), want, block_bytes=SMALL_BLOCK)
 
 
 @query(

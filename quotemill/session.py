@@ -5,7 +5,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +17,17 @@ RUNTIME_CONF = {
 }
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it back.
+
+    Python sources and decoders are recomputed by every branch of a plan that uses them; a written
+    table is read with column pruning, and its shuffles are shared between branches.
+    """
+    folder = scratch_dir(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 _shipped = set()
 
 
