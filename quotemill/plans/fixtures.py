@@ -21,6 +21,7 @@ from quotemill.operators.packets import PACKET_SCHEMA
 from quotemill.operators.scan import block_of, ordered_scan, running_count, running_sum
 from quotemill.operators.ticks import BIT
 from quotemill.schemas import schema
+from quotemill.session import spread
 from quotemill.sources.files import resolve
 from quotemill.sources.segments import WrittenParts
 
@@ -374,7 +375,7 @@ def snapshot_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         every = F.sequence(F.lit(1).cast("long"), F.lit(7).cast("long"))
         return F.transform(F.filter(every, lambda i: i <= count), level)
 
-    base = table(spark, sf_dir, "lineitem").select(
+    base = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",

@@ -11,6 +11,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Decoding is bound by CPU, not bytes: keep small shuffles spread over the cores. Large ones
+    # are still cut by the advisory size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Frame rows are large (up to 16 MB each): bound Arrow batches by bytes too.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
@@ -28,6 +31,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Repartition a table scan that has fewer partitions than the cluster has cores."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 _shipped = set()
 
 
