@@ -63,6 +63,9 @@ def _package_zip() -> str:
     return path
 
 
+_fallback: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
@@ -70,6 +73,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="quotemill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _fallback.setdefault("base", tempfile.mkdtemp(prefix="quotemill-"))
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")

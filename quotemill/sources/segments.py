@@ -101,7 +101,8 @@ class SegmentReader(DataSourceReader):
 
     def partitions(self):
         found = contiguous_segments(self.folder, self.prefix)
-        return [SegmentPart(segment_name(self.prefix, n), 0, size) for n, size in found]
+        parts = [SegmentPart(segment_name(self.prefix, n), 0, size) for n, size in found]
+        return parts or [SegmentPart(None, 0, 0)]
 
     def read(self, part):
         if part.name is None:

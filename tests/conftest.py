@@ -21,8 +21,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield configure(session)
     session.stop()
