@@ -10,6 +10,8 @@ its block leaves parts, which meet in a group bounded by the 16 MB frame limit.
 import struct
 import zlib
 from bisect import bisect_left
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 import pyarrow as pa
@@ -27,6 +29,7 @@ from quotemill.operators.reassembly import (
     MOD,
     RETRANSMIT,
     expected_carry,
+    fold_blocks,
     reassemble_by_offset,
     replay,
     with_blocks,
@@ -263,21 +266,31 @@ def _summarise(pieces, proto):
     }
 
 
-def _lookahead(blocks):
-    """For each block, up to LOOKAHEAD bytes that follow it in the same stream."""
-    ahead = [b""] * len(blocks)
-    for k in range(len(blocks) - 2, -1, -1):
-        after = blocks[k + 1]
-        if after["continues"]:
-            more = ahead[k + 1] if after["single"] and after["head_size"] < LOOKAHEAD else b""
-            ahead[k] = (after["head"] + more)[:LOOKAHEAD]
-    return ahead
+def _with_lookahead(blocks):
+    """(block, up to LOOKAHEAD bytes that follow it in the same stream), in order.
+
+    Blocks wait only until enough following bytes are known.
+    """
+    waiting = []
+    for block in blocks:
+        for w in waiting:
+            if w["open"] and block["continues"]:
+                w["ahead"] = (w["ahead"] + block["head"])[:LOOKAHEAD]
+            w["open"] &= (
+                block["continues"] and block["single"] and len(w["ahead"]) < LOOKAHEAD
+            )
+        while waiting and not waiting[0]["open"]:
+            w = waiting.pop(0)
+            yield w["block"], w["ahead"]
+        waiting.append({"block": block, "ahead": b"", "open": True})
+    for w in waiting:
+        yield w["block"], w["ahead"]
 
 
 def _chain(blocks, proto):
-    """Starting state of every block of a flow, from the ordered summaries."""
+    """Starting state of every block of one flow, from its ordered summaries."""
     skip, opened = 0, None
-    for block, ahead in zip(blocks, _lookahead(blocks)):
+    for block, ahead in _with_lookahead(blocks):
         skip_in, open_in = (skip, opened) if block["continues"] else (0, None)
         entry, owner = (skip_in, open_in) if block["single"] else (0, None)
         here = (block["file"], block["block"])
@@ -309,7 +322,7 @@ def _chain(blocks, proto):
         skip = end - block["size"]
         opened = owner if skip > 0 else None
         ids = open_in or (None, None, None, None)
-        yield [skip_in, *ids, starts, totals]
+        yield block, [skip_in, *ids, starts, totals]
 
 
 def _cut(pieces, carry, proto):
@@ -370,7 +383,7 @@ def cut_events(packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES) -> Dat
     summary_schema = T.StructType(key_fields + SUMMARY.fields)
     carry_schema = T.StructType(key_fields + [T.StructField("expected_seq", T.LongType())] + CARRY.fields)
     summary_schema.add("expected_seq", T.LongType())
-    summary_arrow, carry_arrow = to_arrow_schema(summary_schema), to_arrow_schema(carry_schema)
+    summary_arrow = to_arrow_schema(summary_schema)
 
     def summarise(key, rows, carry):
         seq = carry["expected_seq"][0].as_py()
@@ -378,18 +391,15 @@ def cut_events(packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES) -> Dat
         row |= _summarise(Pieces(rows, seq), proto)
         return pa.Table.from_pylist([row], schema=summary_arrow)
 
-    def chain(table):
-        blocks = table.sort_by([("file", "ascending"), ("block", "ascending")]).to_pylist()
+    def chain(rows):
         names = [f.name for f in CARRY.fields]
-        out = [
-            {k: b[k] for k in (*keys, "expected_seq")} | dict(zip(names, state))
-            for b, state in zip(blocks, _chain(blocks, proto))
-        ]
-        return pa.Table.from_pylist(out, schema=carry_arrow)
+        for _, blocks in groupby(rows, key=itemgetter(*FLOW)):
+            for block, state in _chain(blocks, proto):
+                yield {k: block[k] for k in (*keys, "expected_seq")} | dict(zip(names, state))
 
     by_block = packets.groupBy(*keys)
     summaries = by_block.cogroup(expected.groupBy(*keys)).applyInArrow(summarise, summary_schema)
-    carry = summaries.groupBy(*FLOW).applyInArrow(chain, carry_schema)
+    carry = fold_blocks(summaries, chain, carry_schema)
 
     out_schema = T.StructType(_flow_fields(packets) + META + proto.fields)
     out_arrow = to_arrow_schema(out_schema)

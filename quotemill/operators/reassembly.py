@@ -113,20 +113,44 @@ def expected_carry(packets: DataFrame) -> DataFrame:
     carry_schema = T.StructType(
         _flow_types(narrow, keys) + [T.StructField("expected_seq", T.LongType())]
     )
-    summary_arrow, carry_arrow = to_arrow_schema(summary_schema), to_arrow_schema(carry_schema)
-
-    def chain(table):
-        table = table.sort_by([("file", "ascending"), ("block", "ascending")])
-        expected, out = None, []
-        for base, limits, results in zip(
-            table["base"].to_pylist(), table["limits"].to_pylist(), table["results"].to_pylist()
-        ):
-            out.append(expected)
-            expected = apply_steps(expected, base, limits, results)
-        return table.select(keys).append_column("expected_seq", pa.array(out, pa.int64())).cast(carry_arrow)
+    summary_arrow = to_arrow_schema(summary_schema)
+
+    def chain(rows):
+        flow, expected = None, None
+        for row in rows:
+            if flow != (flow := tuple(row[k] for k in FLOW)):
+                expected = None
+            yield {k: row[k] for k in keys} | {"expected_seq": expected}
+            expected = apply_steps(expected, row["base"], row["limits"], row["results"])
 
     blocks = narrow.groupBy(*keys).applyInArrow(summarise, summary_schema)
-    return blocks.groupBy(*FLOW).applyInArrow(chain, carry_schema)
+    return fold_blocks(blocks, chain, carry_schema)
+
+
+FOLD_ROWS = 4096
+
+
+def fold_blocks(summaries: DataFrame, fold, out: T.StructType) -> DataFrame:
+    """Run ``fold`` (rows in, rows out) over the block summaries of each flow in order.
+
+    A task streams its sorted summaries and keeps only the fold's own state, so the length of a
+    flow does not show in memory.
+    """
+    arrow = to_arrow_schema(out)
+
+    def run(batches):
+        rows = (row for batch in batches for row in batch.to_pylist())
+        done = []
+        for row in fold(rows):
+            done.append(row)
+            if len(done) == FOLD_ROWS:
+                yield pa.RecordBatch.from_pylist(done, schema=arrow)
+                done = []
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema=arrow)
+
+    ordered = summaries.repartition(*FLOW).sortWithinPartitions(*FLOW, *BLOCK)
+    return ordered.mapInArrow(run, out)
 
 
 INIT, IN_ORDER, RETRANSMIT, GAP = "init", "in_order", "retransmit", "gap"

@@ -1,10 +1,10 @@
 """pcap files.
 
-A pcap file has no sync marks, so a split needs a record start. The reader looks for a place near
-each split point where a run of record headers is plausible, and every split then checks that its
-own record chain lands exactly on the start of the next split. The first split starts at a known
+A pcap file has no sync marks, so a split needs a record start. Every task looks for a place after
+its split point where a run of record headers is plausible, does the same for the next split
+point, and checks that its own record chain lands exactly there. The first split starts at a known
 record, so if all checks pass all starts are right; if one fails the job stops and says so, and
-``split_bytes=0`` reads the file in one piece.
+``split_bytes=0`` reads the file in one piece. The driver only lists files.
 """
 
 import struct
@@ -21,8 +21,10 @@ GLOBAL_BYTES, RECORD_BYTES = 24, 16
 # Magic numbers, microsecond and nanosecond.
 MAGIC_US, MAGIC_NS = 0xA1B2C3D4, 0xA1B23C4D
 SPLIT_BYTES = 128 << 20
-PROBE_BYTES = 4 << 20
+PROBE_BYTES = 64 << 10
 PROBE_RECORDS = 12
+# Longest run of PROBE_RECORDS records, read past the end of a split when needed.
+TAIL_BYTES = PROBE_RECORDS * (262144 + 16)
 DAY = 86400
 
 
@@ -44,9 +46,9 @@ def _plausible(head, first_s, nanos):
     )
 
 
-def _record_start(data, record, first_s, nanos):
-    """First offset in ``data`` that starts PROBE_RECORDS plausible records in a row."""
-    for at in range(len(data) - RECORD_BYTES):
+def _record_start(data, span, record, first_s, nanos):
+    """First offset below ``span`` that starts PROBE_RECORDS plausible records in a row."""
+    for at in range(min(span, len(data) - RECORD_BYTES)):
         pos = at
         for _ in range(PROBE_RECORDS):
             if pos + RECORD_BYTES > len(data):
@@ -61,9 +63,8 @@ def _record_start(data, record, first_s, nanos):
 
 
 class PcapPart(InputPartition):
-    def __init__(self, path, name, start, stop, endian, nanos):
-        self.path, self.name, self.start, self.stop = path, name, start, stop
-        self.endian, self.nanos = endian, nanos
+    def __init__(self, path, name, number, size):
+        self.path, self.name, self.number, self.size = path, name, number, size
 
 
 class PcapReader(DataSourceReader):
@@ -72,53 +73,66 @@ class PcapReader(DataSourceReader):
         self.split = int(options.get("split_bytes", SPLIT_BYTES))
 
     def partitions(self):
-        store, _ = resolve(self.path)
         found, base = sizes(self.path)
         parts = []
         for name, size in sorted(found.items()):
             if name.startswith((".", "_")) or size < GLOBAL_BYTES:
                 continue
-            with store.open_input_file(f"{base}/{name}") as f:
-                parts += self._splits(f, f"{base}/{name}", name, size)
-        return parts or [PcapPart(None, None, 0, 0, "<", False)]
-
-    def _splits(self, f, path, name, size):
-        head = f.read(GLOBAL_BYTES + RECORD_BYTES)
-        endian, nanos = layout(head)
-        record = struct.Struct(endian + "IIII")
-        starts = [GLOBAL_BYTES]
-        if self.split and len(head) == GLOBAL_BYTES + RECORD_BYTES:
-            first_s = record.unpack(head[GLOBAL_BYTES:])[0]
-            for point in range(self.split, size, self.split):
-                f.seek(point)
-                at = _record_start(f.read(min(PROBE_BYTES, self.split)), record, first_s, nanos)
-                if at is not None and point + at > starts[-1]:
-                    starts.append(point + at)
-        stops = starts[1:] + [None]
-        return [PcapPart(path, name, a, b, endian, nanos) for a, b in zip(starts, stops)]
+            splits = -(-size // self.split) if self.split else 1
+            parts += [PcapPart(f"{base}/{name}", name, n, size) for n in range(splits)]
+        return parts or [PcapPart(None, None, 0, 0)]
 
     def read(self, part):
         return packet_batches(self._records(part)) if part.name else iter(())
 
+    def _start(self, f, number, record, first_s, nanos):
+        """First record of a split, None when the split has none."""
+        if number == 0:
+            return GLOBAL_BYTES
+        point, window = number * self.split, PROBE_BYTES
+        while True:
+            f.seek(point)
+            data = f.read(min(window, self.split + TAIL_BYTES))
+            at = _record_start(data, min(window, self.split), record, first_s, nanos)
+            if at is not None:
+                return point + at
+            if len(data) < window or window >= self.split + TAIL_BYTES:
+                return None
+            window *= 8
+
     def _records(self, part):
         store, _ = resolve(self.path)
-        record = struct.Struct(part.endian + "IIII")
-        blocks = Blocks(store, part.path, part.start, part.stop or 1 << 62)
-        pos = part.start
+        with store.open_input_file(part.path) as f:
+            head = f.read(GLOBAL_BYTES + RECORD_BYTES)
+            endian, nanos = layout(head)
+            record = struct.Struct(endian + "IIII")
+            if len(head) < GLOBAL_BYTES + RECORD_BYTES:
+                return
+            first_s = record.unpack(head[GLOBAL_BYTES:])[0]
+            start = self._start(f, part.number, record, first_s, nanos)
+            if start is None:
+                return
+            stop, last = None, part.size // self.split if self.split else 0
+            for number in range(part.number + 1, last + 1):
+                stop = self._start(f, number, record, first_s, nanos)
+                if stop is not None:
+                    break
+        blocks = Blocks(store, part.path, start, stop or part.size)
+        pos = start
         try:
             while (head := blocks.take(RECORD_BYTES)) is not None:
                 sec, frac, caplen, _orig = record.unpack(head)
                 frame = blocks.take(caplen)
                 if frame is None:
                     break
-                yield part.name, pos, sec * 10**9 + frac * (1 if part.nanos else 1000), frame
+                yield part.name, pos, sec * 10**9 + frac * (1 if nanos else 1000), frame
                 pos += RECORD_BYTES + caplen
         finally:
             blocks.close()
-        if part.stop is not None and pos != part.stop:
+        if stop is not None and pos != stop:
             raise ValueError(
-                f"{part.name}: records of the split at byte {part.start} end at {pos}, not at "
-                f"{part.stop}; read this file with split_bytes=0"
+                f"{part.name}: records of the split at byte {start} end at {pos}, not at "
+                f"{stop}; read this file with split_bytes=0"
             )
 
 

@@ -112,31 +112,47 @@ class SegmentReader(DataSourceReader):
 
 class SegmentStreamReader(DataSourceStreamReader):
     """Offset = (segment number, byte). Takes closed segments, and the open one up to its last
-    whole record, so a growing segment is tailed."""
+    whole record, so a growing segment is tailed. With ``delete_after_read`` a segment is removed
+    once a later one has been committed."""
 
     def __init__(self, options):
         self.folder, self.prefix = options["path"], options["prefix"]
+        self.delete = options.get("delete_after_read") == "true"
+        self.seen = (0, 0)
 
     def initialOffset(self):
         return {"segment": 1, "pos": 0}
 
+    def _lowest(self):
+        found, _ = sizes(self.folder)
+        head = f"{self.prefix}_"
+        numbers = [
+            int(n[len(head) : -4])
+            for n in found
+            if n.startswith(head) and n.endswith(".bin") and n[len(head) : -4].isdigit()
+        ]
+        return min(numbers, default=1)
+
     def _whole_until(self, number, size):
-        # A batch never splits a record: hop over the headers of the open segment.
+        """End of the last whole record of the open segment, walked on from the last call."""
         store, base = resolve(self.folder)
-        pos = 0
-        with store.open_input_file(f"{base}/{segment_name(self.prefix, number)}") as f:
-            while pos + RECORD.size <= size:
-                f.seek(pos)
-                magic, version, _link, _ts, length = RECORD.unpack(f.read(RECORD.size))
+        pos = self.seen[1] if self.seen[0] == number else 0
+        blocks = Blocks(store, f"{base}/{segment_name(self.prefix, number)}", pos, size)
+        try:
+            while (head := blocks.take(RECORD.size)) is not None:
+                magic, version, _link, _ts, length = RECORD.unpack(head)
                 if magic != MAGIC or version != VERSION or length > MAX_PACKET:
                     break
-                if pos + RECORD.size + length > size:
+                if blocks.take(length) is None:
                     break
                 pos += RECORD.size + length
+        finally:
+            blocks.close()
+        self.seen = (number, pos)
         return pos
 
     def latestOffset(self):
-        found = contiguous_segments(self.folder, self.prefix)
+        found = contiguous_segments(self.folder, self.prefix, self._lowest())
         if not found:
             return self.initialOffset()
         number, size = found[-1]
@@ -157,7 +173,11 @@ class SegmentStreamReader(DataSourceStreamReader):
         return packet_batches(read_records(self.folder, part.name, part.start, part.end))
 
     def commit(self, end):
-        pass
+        if not self.delete:
+            return
+        store, base = resolve(self.folder)
+        for number in range(self._lowest(), end["segment"]):
+            store.delete_file(f"{base}/{segment_name(self.prefix, number)}")
 
 
 class WrittenParts(WriterCommitMessage):
@@ -237,9 +257,17 @@ def read_segments(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     return spark.read.format("capseg").option("path", folder).option("prefix", prefix).load()
 
 
-def stream_segments(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+def stream_segments(
+    spark: SparkSession, folder: str, prefix: str, delete_after_read: bool = False
+) -> DataFrame:
     spark.dataSource.register(SegmentSource)
-    return spark.readStream.format("capseg").option("path", folder).option("prefix", prefix).load()
+    return (
+        spark.readStream.format("capseg")
+        .option("path", folder)
+        .option("prefix", prefix)
+        .option("delete_after_read", str(delete_after_read).lower())
+        .load()
+    )
 
 
 def write_segments(

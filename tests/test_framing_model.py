@@ -73,7 +73,7 @@ def blockwise(packets, proto, block_rows):
     ]
     names = [f.name for f in framing.CARRY.fields]
     frames, parts, lost = [], {}, 0
-    for i, (p, state) in enumerate(zip(pieces, framing._chain(summaries, proto))):
+    for i, (p, (_, state)) in enumerate(zip(pieces, framing._chain(summaries, proto))):
         carry = dict(zip(names, state))
         for kind, piece, start, stop, total in framing._cut(p, carry, proto):
             data = p.bytes[piece][start:stop]
