@@ -28,10 +28,13 @@ from quotemill.operators.reassembly import (
     INIT,
     MOD,
     RETRANSMIT,
+    by_flow,
     expected_carry,
+    flow_slices,
     fold_blocks,
     reassemble_by_offset,
     replay,
+    rows_table,
     with_blocks,
 )
 from quotemill.schemas import schema
@@ -203,15 +206,23 @@ def _exits(starts, nexts, whole):
     return limits[::-1], [v[0] for v in values[::-1]], [v[1] for v in values[::-1]]
 
 
+PACKET_COLUMNS = ("capture_seq", "ts_ns", "tcp_seq", "payload_len", "payload")
+
+
+def flow_pieces(table, expected):
+    """(flow, Pieces) of every flow of a block; ``expected`` maps flows to starting numbers."""
+    table, slices = flow_slices(table)
+    columns = [table[n].to_pylist() for n in PACKET_COLUMNS]
+    for flow, a, b in slices:
+        yield flow, Pieces(*(c[a:b] for c in columns), expected[flow])
+
+
 class Pieces:
     """Accepted bytes of a block, cut at gaps; ``continues`` when piece 0 goes on."""
 
-    def __init__(self, rows, expected):
-        rows = rows.sort_by("capture_seq")
-        payloads = rows["payload"].to_pylist()
-        self.capture_seq = rows["capture_seq"].to_pylist()
-        self.ts_ns = rows["ts_ns"].to_pylist()
-        verdicts, _ = replay(rows["tcp_seq"].to_pylist(), rows["payload_len"].to_pylist(), expected)
+    def __init__(self, capture_seq, ts_ns, seq, length, payloads, expected):
+        self.capture_seq, self.ts_ns = capture_seq, ts_ns
+        verdicts, _ = replay(seq, length, expected)
         parts, origins = [[]], [[]]
         self.continues = True
         size = 0
@@ -239,7 +250,7 @@ class Pieces:
 
 
 SUMMARY = schema(
-    "continues boolean, single boolean, size long, head binary, head_size long, "
+    "continues boolean, single boolean, size long, head binary, "
     "limits array<long>, exits array<long>, owners array<long>, tail_at long, tail binary"
 )
 CARRY = schema(
@@ -252,18 +263,17 @@ def _summarise(pieces, proto):
     last = pieces.bytes[-1]
     starts, nexts, whole, tail_at = _magics(last, proto)
     limits, exits, owners = _exits(starts, nexts, whole)
-    return {
-        "continues": pieces.continues,
-        "single": len(pieces.bytes) == 1,
-        "size": len(last),
-        "head": pieces.bytes[0][:LOOKAHEAD],
-        "head_size": len(pieces.bytes[0]),
-        "limits": limits,
-        "exits": exits,
-        "owners": owners,
-        "tail_at": tail_at,
-        "tail": last[tail_at:],
-    }
+    return (
+        pieces.continues,
+        len(pieces.bytes) == 1,
+        len(last),
+        pieces.bytes[0][:LOOKAHEAD],
+        limits,
+        exits,
+        owners,
+        tail_at,
+        last[tail_at:],
+    )
 
 
 def _with_lookahead(blocks):
@@ -370,8 +380,16 @@ def _flow_fields(df):
     return [df.schema[n] for n in FLOW]
 
 
+KINDS = ("frame", "open", "part", "junk", "residual")
+
+
 def cut_events(packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Everything the framing step sees: frames, parts of frames across blocks, and lost bytes."""
+    return _cut_kinds(packets, proto, block_bytes, [KINDS])[0]
+
+
+def _cut_kinds(packets, proto, block_bytes, wanted):
+    """One DataFrame per tuple of kinds; they share the packet and summary shuffles."""
     packets = with_blocks(
         packets.select("file", "capture_seq", "ts_ns", *FLOW, "tcp_seq", "payload", "payload_len"),
         block_bytes,
@@ -386,10 +404,13 @@ def cut_events(packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES) -> Dat
     summary_arrow = to_arrow_schema(summary_schema)
 
     def summarise(key, rows, carry):
-        seq = carry["expected_seq"][0].as_py()
-        row = dict(zip(keys, (k.as_py() for k in key)), expected_seq=seq)
-        row |= _summarise(Pieces(rows, seq), proto)
-        return pa.Table.from_pylist([row], schema=summary_arrow)
+        place = tuple(k.as_py() for k in key)
+        starts = by_flow(carry, "expected_seq")
+        found = [
+            (*flow, *place, *_summarise(pieces, proto), starts[flow])
+            for flow, pieces in flow_pieces(rows, starts)
+        ]
+        return rows_table(found, summary_arrow)
 
     def chain(rows):
         names = [f.name for f in CARRY.fields]
@@ -397,35 +418,42 @@ def cut_events(packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES) -> Dat
             for block, state in _chain(blocks, proto):
                 yield {k: block[k] for k in (*keys, "expected_seq")} | dict(zip(names, state))
 
-    by_block = packets.groupBy(*keys)
-    summaries = by_block.cogroup(expected.groupBy(*keys)).applyInArrow(summarise, summary_schema)
+    by_block = packets.groupBy(*BLOCK)
+    summaries = by_block.cogroup(expected.groupBy(*BLOCK)).applyInArrow(summarise, summary_schema)
     carry = fold_blocks(summaries, chain, carry_schema)
 
     out_schema = T.StructType(_flow_fields(packets) + META + proto.fields)
     out_arrow = to_arrow_schema(out_schema)
-    field_names = [f.name for f in proto.fields]
+    no_fields, no_open = (None,) * len(proto.fields), (None,) * 5
+    open_names = ("open_file", "open_block", "open_pos", "open_total")
 
-    def cut(key, rows, carry):
-        state = carry.to_pylist()[0]
-        pieces = Pieces(rows, state["expected_seq"])
-        base = dict(zip(keys, (k.as_py() for k in key)))
-        here = (base["file"], base["block"])
+    def cut(kinds, key, rows, carry):
+        place = tuple(k.as_py() for k in key)
+        states = {tuple(c[n] for n in FLOW): c for c in carry.to_pylist()}
+        starts = {flow: c["expected_seq"] for flow, c in states.items()}
         out = []
-        for kind, piece, start, stop, total in _cut(pieces, state, proto):
-            number, ts_ns = pieces.place(piece, start)
-            row = base | {"kind": kind, "frame_no": number, "ts_ns": ts_ns, "n_bytes": stop - start}
-            data = pieces.bytes[piece][start:stop]
-            if kind == "frame":
-                row |= dict(zip(field_names, proto.parse(data)))
-            elif kind == "open":
-                row |= dict(open_file=here[0], open_block=here[1], open_pos=start, open_total=total, raw=data)
-            elif kind == "part":
-                row |= {n: state[n] for n in ("open_file", "open_block", "open_pos", "open_total")}
-                row["raw"] = data
-            out.append(row)
-        return pa.Table.from_pylist(out, schema=out_arrow)
-
-    return by_block.cogroup(carry.groupBy(*keys)).applyInArrow(cut, out_schema)
+        for flow, pieces in flow_pieces(rows, starts):
+            state = states[flow]
+            for kind, piece, start, stop, total in _cut(pieces, state, proto):
+                if kind not in kinds:
+                    continue
+                data = pieces.bytes[piece][start:stop]
+                opened, values = no_open, no_fields
+                if kind == "frame":
+                    values = proto.parse(data)
+                elif kind == "open":
+                    opened = (*place, start, total, data)
+                elif kind == "part":
+                    opened = (*(state[n] for n in open_names), data)
+                number, ts_ns = pieces.place(piece, start)
+                out.append((*flow, kind, *place, number, ts_ns, stop - start, *opened, *values))
+        return rows_table(out, out_arrow)
+
+    def cutter(kinds):
+        return lambda key, rows, carry: cut(kinds, key, rows, carry)
+
+    both = by_block.cogroup(carry.groupBy(*BLOCK))
+    return [both.applyInArrow(cutter(kinds), out_schema) for kinds in wanted]
 
 
 OPEN = ["open_file", "open_block", "open_pos"]
@@ -447,9 +475,10 @@ def joined_parts(events: DataFrame) -> DataFrame:
     )
 
 
-def _whole(events: DataFrame, proto, extra=()) -> DataFrame:
+def _whole(packets: DataFrame, proto, block_bytes) -> DataFrame:
+    frames, parts = _cut_kinds(packets, proto, block_bytes, [("frame",), ("open", "part")])
     columns = [*FLOW, "file", "frame_no", "ts_ns", *[f.name for f in proto.fields]]
-    joined = joined_parts(events).filter(F.col("n_bytes") == F.col("open_total"))
+    joined = joined_parts(parts).filter(F.col("n_bytes") == F.col("open_total"))
     kept = [*FLOW, "file", "frame_no", "ts_ns"]
     parsed = T.StructType([joined.schema[n] for n in kept] + proto.fields)
     arrow = to_arrow_schema(parsed)
@@ -466,15 +495,15 @@ def _whole(events: DataFrame, proto, extra=()) -> DataFrame:
             )
 
     across = joined.select(*kept, "raw").mapInArrow(parse, parsed)
-    inside = events.filter(F.col("kind") == "frame").select(*columns)
-    return inside.unionByName(across)
+    return frames.select(*columns).unionByName(across)
 
 
 def in_stream_order(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Packets with overlaps merged by offset, renumbered by stream position."""
     merged = reassemble_by_offset(packets, block_bytes)
     return merged.select(
-        F.lit("").alias("file"),
+        # Blocks of a stream hold one flow: offsets of different flows are unrelated.
+        F.concat_ws(":", *FLOW).alias("file"),
         F.col("stream_offset").alias("capture_seq"),
         F.lit(0).cast("long").alias("ts_ns"),
         *FLOW,
@@ -501,7 +530,7 @@ def cut_step_frames(
     ``offset_merge`` orders by stream offset and trims overlaps first.
     """
     packets = _ordered(packets, policy, block_bytes)
-    return _whole(cut_events(packets, StepFrames, block_bytes), StepFrames)
+    return _whole(packets, StepFrames, block_bytes)
 
 
 def cut_v1_frames(
@@ -509,7 +538,7 @@ def cut_v1_frames(
 ) -> DataFrame:
     """40-byte-header frames; ``want`` is one (type, subtype)."""
     packets = _ordered(packets, policy, block_bytes)
-    frames = _whole(cut_events(packets, HeadedFrames, block_bytes), HeadedFrames)
+    frames = _whole(packets, HeadedFrames, block_bytes)
     return only_channel(frames, *want) if want else frames
 
 

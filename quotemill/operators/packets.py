@@ -45,7 +45,7 @@ def _dotted(values, known):
     return text.take(pa.array(inverse.reshape(-1), mask=~known))
 
 
-def parse_frames(column):
+def parse_frames(column, with_payload=True):
     """Header columns of one Arrow column of captured frames."""
     data, off = binary_parts(column)
     start, end = off[:-1], off[1:]
@@ -97,24 +97,33 @@ def parse_frames(column):
         _dotted(np.where(v4, u32(body + 16), 0), v4),
         ints(u16(trans + 2).astype(np.int32), ported, pa.int32()),
         ints(u32(trans + 4), tcp, pa.int64()),
-        binary_array(data, np.where(ported, data_at, 0), length, known=ported),
+        *(
+            [binary_array(data, np.where(ported, data_at, 0), length, known=ported)]
+            if with_payload
+            else []
+        ),
         ints(length.astype(np.int32), ported, pa.int32()),
     ]
 
 
-def parse_packets(packets: DataFrame) -> DataFrame:
-    """Replace ``frame`` by its header columns and payload; absent layers give nulls."""
+def parse_packets(packets: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Replace ``frame`` by its header columns and payload; absent layers give nulls.
+
+    Statistics need no payload: column pruning cannot reach into Python, so say so here.
+    """
     kept = [f for f in packets.schema.fields if f.name != "frame"]
     names = [f.name for f in kept]
-    out = names + [f.name for f in HEADER_FIELDS]
+    added = [f for f in HEADER_FIELDS if with_payload or f.name != "payload"]
+    out = names + [f.name for f in added]
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + parse_frames(batch.column("frame")), out
+                [batch.column(n) for n in names] + parse_frames(batch.column("frame"), with_payload),
+                out,
             )
 
-    return packets.mapInArrow(run, T.StructType(kept + HEADER_FIELDS))
+    return packets.mapInArrow(run, T.StructType(kept + added))
 
 
 def tcp_with_payload(parsed: DataFrame) -> DataFrame:

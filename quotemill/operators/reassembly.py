@@ -4,7 +4,8 @@ Arrival order of a flow is (file, capture_seq), where capture_seq is the byte po
 packet in its file. A flow is cut into blocks of that order; what a block does to the expected
 sequence number is a step function of the value it starts with, so blocks are summarised in
 parallel, the summaries of a flow are chained, and every block is then replayed from its exact
-starting value. No task holds more than one block of a flow.
+starting value. Packets are grouped by block, whatever their flow, so a task holds one block of
+bytes at a time however large a flow is or however many there are.
 """
 
 import numpy as np
@@ -89,25 +90,36 @@ def _flow_types(df, names):
     return [df.schema[n] for n in names]
 
 
+def flow_slices(table):
+    """(flow, start, stop) over a block's rows, which are sorted by flow and position first."""
+    table = table.sort_by([(n, "ascending") for n in (*FLOW, "capture_seq")])
+    flows = list(zip(*(table[n].to_pylist() for n in FLOW)))
+    cuts = [i for i in range(len(flows)) if i == 0 or flows[i] != flows[i - 1]]
+    return table, [(flows[a], a, b) for a, b in zip(cuts, [*cuts[1:], len(flows)])]
+
+
+def rows_table(rows, arrow):
+    """Arrow table of row tuples."""
+    columns = zip(*rows) if rows else ((),) * len(arrow)
+    return pa.table([pa.array(c, t) for c, t in zip(columns, arrow.types)], schema=arrow)
+
+
+def by_flow(table, column):
+    """{flow: value} of a block's carry rows."""
+    return dict(zip(zip(*(table[n].to_pylist() for n in FLOW)), table[column].to_pylist()))
+
+
 def expected_carry(packets: DataFrame) -> DataFrame:
     """(flow, block, expected_seq): the expected number each block starts with (null: first)."""
     keys = FLOW + BLOCK
     narrow = packets.select(*keys, "capture_seq", "tcp_seq", "payload_len")
 
     def summarise(key, table):
-        table = table.sort_by("capture_seq")
-        base, limits, results = expected_steps(
-            table["tcp_seq"].to_numpy(), table["payload_len"].to_numpy()
-        )
-        return pa.table(
-            {n: [k.as_py()] for n, k in zip(keys, key)}
-            | {
-                "base": pa.array([base], pa.int64()),
-                "limits": pa.array([limits], pa.list_(pa.int64())),
-                "results": pa.array([results], pa.list_(pa.int64())),
-            },
-            schema=summary_arrow,
-        )
+        table, slices = flow_slices(table)
+        seq, length = table["tcp_seq"].to_numpy(), table["payload_len"].to_numpy()
+        place = tuple(k.as_py() for k in key)
+        rows = [(*flow, *place, *expected_steps(seq[a:b], length[a:b])) for flow, a, b in slices]
+        return rows_table(rows, summary_arrow)
 
     summary_schema = T.StructType(_flow_types(narrow, keys) + schema(STEP_SCHEMA).fields)
     carry_schema = T.StructType(
@@ -123,7 +135,7 @@ def expected_carry(packets: DataFrame) -> DataFrame:
             yield {k: row[k] for k in keys} | {"expected_seq": expected}
             expected = apply_steps(expected, row["base"], row["limits"], row["results"])
 
-    blocks = narrow.groupBy(*keys).applyInArrow(summarise, summary_schema)
+    blocks = narrow.groupBy(*BLOCK).applyInArrow(summarise, summary_schema)
     return fold_blocks(blocks, chain, carry_schema)
 
 
@@ -183,25 +195,24 @@ def classify_segments(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> Dat
     arrow = to_arrow_schema(out)
 
     def run(rows, carry):
-        if not rows.num_rows:
-            return arrow.empty_table()
-        rows = rows.sort_by("capture_seq")
-        verdicts, before = replay(
-            rows["tcp_seq"].to_pylist(),
-            rows["payload_len"].to_pylist(),
-            carry["expected_seq"][0].as_py(),
-        )
+        rows, slices = flow_slices(rows)
+        starts = by_flow(carry, "expected_seq")
+        seq, length = rows["tcp_seq"].to_pylist(), rows["payload_len"].to_pylist()
+        verdicts, before = [], []
+        for flow, a, b in slices:
+            v, e = replay(seq[a:b], length[a:b], starts[flow])
+            verdicts += v
+            before += e
         return (
             rows.select(columns)
-            .append_column("verdict", pa.array(verdicts))
+            .append_column("verdict", pa.array(verdicts, pa.string()))
             .append_column("expected_seq", pa.array(before, pa.int64()))
             .cast(arrow)
         )
 
-    keys = FLOW + BLOCK
     return (
-        packets.groupBy(*keys)
-        .cogroup(expected_carry(packets).groupBy(*keys))
+        packets.groupBy(*BLOCK)
+        .cogroup(expected_carry(packets).groupBy(*BLOCK))
         .applyInArrow(run, out)
     )
 

@@ -3,10 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.functions.predicates import filter_ports
+from quotemill.functions.fields import packet_time
+from quotemill.functions.predicates import ETH_IPV4, filter_ports, has_prefix, protocol_class
 from quotemill.operators.framing import cut_step_frames
 from quotemill.operators.packets import parse_packets, tcp_with_payload
 from quotemill.operators.reassembly import BLOCK_BYTES
+from quotemill.operators import traffic
 from quotemill.operators.routing import first_arrival, route
 from quotemill.operators.snapshots import decode_snapshots, valid_snapshots
 from quotemill.operators.ticks import decode_ticks, valid_ticks
@@ -51,10 +53,18 @@ def snapshots_of(routed: DataFrame, all_dedup: bool = True) -> DataFrame:
 
 
 def decode_segments(
-    spark: SparkSession, folder: str, prefix: str, rules, port: int = 0
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    rules,
+    port: int = 0,
+    block_bytes: int = BLOCK_BYTES,
 ) -> dict[str, DataFrame]:
     """{"ticks": ..., "snapshots": ...} for the outputs named by the rules."""
-    routed = routed_frames(tcp_table(read_segments(spark, folder, prefix), port), rules)
+    tcp = tcp_table(read_segments(spark, folder, prefix), port)
+    routed = routed_frames(tcp, rules, block_bytes=block_bytes)
+    # One folder per output: each decoder then reads only its own frames.
+    routed = staged(routed, "frames", partition_by=["output"])
     by_type = {(9, 5803): ("ticks", ticks_of), (6, 3202): ("snapshots", snapshots_of)}
     out = {}
     for rule in rules:
@@ -62,3 +72,33 @@ def decode_segments(
         if name and name not in out:
             out[name] = job(routed, rule.get("dedup", True))
     return out
+
+
+MAGIC = b"\x00\x04\xc4\x53"
+
+
+def traffic_tables(packets: DataFrame, ports=(), tz: str = "UTC") -> dict[str, DataFrame]:
+    """The capture's statistics tables, all from one parsed and written header table."""
+    headers = parse_packets(packets).withColumns(
+        {
+            "proto": protocol_class(F.col("eth_type"), F.col("ip_proto")),
+            "magic": has_prefix(F.col("payload"), MAGIC),
+            "ts": packet_time(F.col("ts_ns")),
+            "n": F.coalesce("payload_len", F.lit(0)),
+        }
+    )
+    headers = staged(headers.drop("payload"), "headers")
+    matched = headers.filter(F.col("eth_type") == ETH_IPV4)
+    if ports:
+        matched = filter_ports(matched, ports)
+    ends = traffic.endpoint_counts(matched)
+    return {
+        "src_ip_port": ends.filter("side = 'src'").drop("side"),
+        "dst_ip_port": ends.filter("side = 'dst'").drop("side"),
+        "proto_all": traffic.count_by(headers, ["proto"]),
+        "proto_matched": traffic.count_by(matched, ["proto"]),
+        "per_minute": traffic.per_minute(matched, "ts", "n", tz),
+        "magic": matched.agg(
+            F.count_if("magic").alias("hits"), F.count_if(~F.col("magic")).alias("misses")
+        ),
+    }

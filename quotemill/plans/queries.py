@@ -19,7 +19,7 @@ from quotemill.operators import (
     traffic,
 )
 from quotemill.operators.scan import block_of
-from quotemill.plans import fixtures, pipeline
+from quotemill.plans import batch, fixtures
 from quotemill.plans import sqltext as sql
 from quotemill.plans.fixtures import table
 from quotemill.session import configure, scratch_dir, staged
@@ -110,7 +110,7 @@ _tables: dict[tuple, DataFrame] = {}
 
 
 def captured_tcp(spark, sf_dir):
-    return once(spark, sf_dir, "step", lambda: pipeline.tcp_table(captured(spark, sf_dir), 9129))
+    return once(spark, sf_dir, "step", lambda: batch.tcp_table(captured(spark, sf_dir), 9129))
 
 
 RULES = [
@@ -137,8 +137,9 @@ def ticks_roundtrip(spark, sf_dir):
 @query(sql.with_(sql.TICKS, f"SELECT {sql.TICK_FIELDS} FROM ticks"))
 def capture_ticks(spark, sf_dir):
     """The whole batch pipeline: segments to packets, frames, routing, ticks, first arrival."""
-    routed = pipeline.routed_frames(captured_tcp(spark, sf_dir), RULES, block_bytes=SMALL_BLOCK)
-    return pipeline.ticks_of(routed).select(*TICK_FIELDS)
+    folder = capture(spark, sf_dir, "step")
+    outputs = batch.decode_segments(spark, folder, "cap", RULES, 9129, SMALL_BLOCK)
+    return outputs["ticks"].select(*TICK_FIELDS)
 
 
 @query(
@@ -632,7 +633,7 @@ def event_segments(spark, sf_dir):
 
 
 def event_tcp(spark, sf_dir):
-    return once(spark, sf_dir, "event-tcp", lambda: pipeline.tcp_table(event_segments(spark, sf_dir)))
+    return once(spark, sf_dir, "event-tcp", lambda: batch.tcp_table(event_segments(spark, sf_dir)))
 
 
 _CAPTURE_SQL = sql.with_(
@@ -672,7 +673,7 @@ def segment_roundtrip(spark, sf_dir):
 )
 def packet_headers(spark, sf_dir):
     """Headers behind zero to two VLAN tags; padding is not payload."""
-    parsed = packets.parse_packets(event_segments(spark, sf_dir))
+    parsed = packets.parse_packets(event_segments(spark, sf_dir), with_payload=False)
     return parsed.select(
         "ts_ns", "eth_type", "ip_proto", "src_ip", "sport", "dst_ip", "dport", "tcp_seq", "payload_len"
     )
@@ -691,11 +692,56 @@ def packet_headers(spark, sf_dir):
 )
 def segment_classes(spark, sf_dir):
     """R1 with repeats, gaps and a sequence wrap, across many blocks of each flow."""
-    rows = event_tcp(spark, sf_dir)
+    rows = event_tcp(spark, sf_dir).drop("payload")
     found = reassembly.classify_segments(rows, block_bytes=SMALL_BLOCK)
     return found.select("ts_ns", "tcp_seq", "verdict")
 
 
+@query(
+    sql.with_(
+        _PACKETS,
+        f"""
+        , seen AS (
+          SELECT '10.3.0.' || channel AS src, CASE WHEN is_udp THEN 7001 ELSE 7000 END AS sport, size,
+            CASE WHEN is_udp THEN 'UDP' ELSE 'TCP' END AS proto, make_timestamp(({_CLOCK}) // 1000) AS ts
+          FROM wire)
+        SELECT 'src_ip_port' AS stat, src || ':' || sport AS key, count(*) AS count, 0 AS bytes
+        FROM seen WHERE sport = 7000 GROUP BY ALL
+        UNION ALL SELECT 'dst_ip_port', '10.4.0.1:51000', count(*), 0 FROM seen WHERE sport = 7000
+        UNION ALL SELECT 'proto_all', proto, count(*), 0 FROM seen GROUP BY ALL
+        UNION ALL SELECT 'proto_matched', proto, count(*), 0 FROM seen WHERE sport = 7000 GROUP BY ALL
+        UNION ALL SELECT 'per_minute', strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M'), count(*),
+          CAST(sum(size) AS BIGINT) FROM seen WHERE sport = 7000 GROUP BY ALL
+        UNION ALL SELECT 'magic', 'misses', count(*) FILTER (size >= 4), 0 FROM seen WHERE sport = 7000
+        """,
+    )
+)
+def capture_stats(spark, sf_dir):
+    """The statistics tables of a capture, written and read back."""
+    stats = batch.traffic_tables(event_segments(spark, sf_dir), [51000], TZ)
+    folder = scratch_dir(spark, "stats")
+    tables.write_stats(stats, folder, "parquet")
+
+    def back(name, key, bytes_=F.lit(0)):
+        return spark.read.parquet(f"{folder}/{name}").select(
+            F.lit(name).alias("stat"), key.alias("key"), "count", bytes_.cast("long").alias("bytes")
+        )
+
+    end = F.concat_ws(":", "ip", "port")
+    magic = spark.read.parquet(f"{folder}/magic").select(
+        F.lit("magic").alias("stat"), F.lit("misses").alias("key"),
+        F.col("misses").alias("count"), F.lit(0).cast("long").alias("bytes"),
+    )
+    return reconcile.concat(
+        back("src_ip_port", end),
+        back("dst_ip_port", end),
+        back("proto_all", F.col("proto")),
+        back("proto_matched", F.col("proto")),
+        back("per_minute", F.col("minute"), F.col("bytes")),
+        magic,
+    )
+
+
 @query(
     sql.with_(
         """

@@ -20,15 +20,15 @@ RUNTIME_CONF = {
 }
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by=()) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Python sources and decoders are recomputed by every branch of a plan that uses them; a written
     table is read with column pruning, and its shuffles are shared between branches.
     """
     folder = scratch_dir(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    df.write.partitionBy(*partition_by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def spread(scan: DataFrame) -> DataFrame:

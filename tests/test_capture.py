@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill.operators import framing, packets, ticks
-from quotemill.plans import fixtures, pipeline
+from quotemill.plans import batch, fixtures
 from quotemill.plans.queries import RULES
 from quotemill.session import staged
 from quotemill.sources import pcap, segments, tables
@@ -89,7 +89,7 @@ def test_pcap_stops_at_cut_record_and_filters_ports(spark, tmp_path):
 
 
 def test_frames_do_not_depend_on_blocks_or_partitions(spark, landed, derived):
-    tcp = pipeline.tcp_table(segments.read_segments(spark, landed, "cap"), 9129)
+    tcp = batch.tcp_table(segments.read_segments(spark, landed, "cap"), 9129)
     want = sorted(
         tuple(r) * 1
         for r in fixtures.tick_frames(derived)
@@ -120,7 +120,7 @@ def test_partial_overlap_policies(spark):
 
 
 def test_pipeline_outputs(spark, landed, derived):
-    out = pipeline.decode_segments(spark, landed, "cap", RULES, 9129)
+    out = batch.decode_segments(spark, landed, "cap", RULES, 9129)
     fields = ["channel", "biz_index", "security_id", "money_e5", "bs_flag"]
     assert values(out["ticks"], *fields) == values(derived, *fields)
     assert out["snapshots"].count() == 0

@@ -2,7 +2,7 @@
 
 import random
 
-import pyarrow as pa
+import numpy as np
 import pytest
 
 from quotemill.operators import framing, reassembly
@@ -46,30 +46,20 @@ def sequential(packets, proto):
 def blockwise(packets, proto, block_rows):
     """The same through block summaries, their chain and per-block cuts."""
     blocks = [packets[i : i + block_rows] for i in range(0, len(packets), block_rows)]
-    tables = []
+    expected, pieces, verdicts = None, [], []
     for b, rows in enumerate(blocks):
-        tables.append(
-            pa.table(
-                {
-                    "capture_seq": [b * block_rows + i for i in range(len(rows))],
-                    "ts_ns": [0] * len(rows),
-                    "tcp_seq": [s for s, _ in rows],
-                    "payload_len": [len(d) for _, d in rows],
-                    "payload": pa.array([d for _, d in rows], pa.binary()),
-                }
-            )
+        seq, sizes = [s for s, _ in rows], [len(d) for _, d in rows]
+        places = [b * block_rows + i for i in range(len(rows))]
+        pieces.append(
+            framing.Pieces(places, [0] * len(rows), seq, sizes, [d for _, d in rows], expected)
         )
-    expected, starts, verdicts = None, [], []
-    for t in tables:
-        starts.append(expected)
-        verdicts += reassembly.replay(
-            t["tcp_seq"].to_pylist(), t["payload_len"].to_pylist(), expected
-        )[0]
-        steps = reassembly.expected_steps(t["tcp_seq"].to_numpy(), t["payload_len"].to_numpy())
+        verdicts += reassembly.replay(seq, sizes, expected)[0]
+        steps = reassembly.expected_steps(np.array(seq), np.array(sizes))
         expected = reassembly.apply_steps(expected, *steps)
-    pieces = [framing.Pieces(t, e) for t, e in zip(tables, starts)]
+    summary = [f.name for f in framing.SUMMARY.fields]
     summaries = [
-        framing._summarise(p, proto) | {"file": "f", "block": i} for i, p in enumerate(pieces)
+        dict(zip(summary, framing._summarise(p, proto))) | {"file": "f", "block": i}
+        for i, p in enumerate(pieces)
     ]
     names = [f.name for f in framing.CARRY.fields]
     frames, parts, lost = [], {}, 0
