@@ -1011,7 +1011,7 @@ def frame_numbering(spark, sf_dir):
     rows = (
         table(spark, sf_dir, "events")
         .filter(F.col("event_type") == "purchase")
-        .select("event_id", block_of(F.col("event_id"), 1000).alias("block"), block_of(F.col("event_id"), 50).alias("frame"))
+        .select("event_id", block_of(F.col("event_id"), 1 << 16).alias("block"), block_of(F.col("event_id"), 50).alias("frame"))
     )
     numbered = routing.number_frames(rows, block=["block"], order=["event_id"])
     return routing.number_records(numbered, ["frame"], ["event_id"]).select(
@@ -1293,9 +1293,18 @@ def type_counts(spark, sf_dir):
 
 # ---- sequence checks and samples ----------------------------------------------------------------
 
-_SHIP_MONTH = "year(l_shipdate) * 12 + month(l_shipdate)"
+def with_line_blocks(lines):
+    """Add block columns that coarsen the line order: shipping day, then a range of parts."""
+    return lines.withColumns(
+        {
+            "block_day": F.datediff("l_shipdate", F.lit("1970-01-01")),
+            "block_part": block_of(F.col("l_partkey"), 256),
+        }
+    )
 
 
+LINE_BLOCK = ["block_day", "block_part"]
+
 @query(
     f"""
     WITH t AS (
@@ -1306,10 +1315,13 @@ _SHIP_MONTH = "year(l_shipdate) * 12 + month(l_shipdate)"
     """
 )
 def seq_gaps(spark, sf_dir):
-    """Lines of an order in shipping order; a block is one month of an order."""
-    rows = table(spark, sf_dir, "lineitem").withColumn("block", F.expr(_SHIP_MONTH))
+    """Lines of an order in shipping order."""
     found = checks.sequence_gaps(
-        rows, group=["l_orderkey"], seq="l_linenumber", block=["block"], order=[*LINE_ORDER, "l_linenumber"]
+        with_line_blocks(table(spark, sf_dir, "lineitem")),
+        group=["l_orderkey"],
+        seq="l_linenumber",
+        block=LINE_BLOCK,
+        order=[*LINE_ORDER, "l_linenumber"],
     )
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "previous_seq")
 
@@ -1332,8 +1344,9 @@ def sample_per_group(spark, sf_dir):
 
 def reconciled(spark, sf_dir):
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = with_line_blocks(table(spark, sf_dir, "lineitem")).select(
         *LINE_ORDER,
+        *LINE_BLOCK,
         F.col("l_orderkey").alias("channel"),
         F.col("l_linenumber").cast("long").alias("biz_index"),
         F.col("l_partkey").cast("string").alias("security_id"),
@@ -1345,13 +1358,12 @@ def reconciled(spark, sf_dir):
         F.col("l_quantity").cast("long").alias("qty"),
         F.round(F.col("l_tax") * 100).cast("long").alias("money"),
         F.col("l_linestatus").alias("bs_flag"),
-        F.year("l_shipdate").alias("block"),
     )
     decoded = lines.filter(F.col("l_partkey") % 43 != 0)
     moved = F.when(F.col("l_partkey") % 37 == 0, F.col("price") + 1).otherwise(F.col("price"))
     reference = lines.filter(F.col("l_suppkey") % 41 != 0).withColumn("price", moved)
     return reconcile.reconcile(
-        decoded, reference, key=["channel", "biz_index"], block=["block"], order=LINE_ORDER
+        decoded, reference, key=["channel", "biz_index"], block=LINE_BLOCK, order=LINE_ORDER
     )
 
 
@@ -1424,7 +1436,7 @@ def positional_match(spark, sf_dir):
         rows = (
             table(spark, sf_dir, "events")
             .filter(F.col("event_type") == kind)
-            .select("event_id", (F.col("user_id") % 3).alias("u"), block_of(F.col("event_id"), 1000).alias("block"))
+            .select("event_id", (F.col("user_id") % 3).alias("u"), block_of(F.col("event_id"), 1 << 16).alias("block"))
         )
         return routing.number_frames(rows, block=["block"], order=["event_id"])
 

@@ -153,6 +153,33 @@ def test_stream_equals_batch_across_triggers(spark, landed, derived, tmp_path):
     assert values(got.filter("dst_ip = '10.2.0.2'"), *fields) == values(derived, *fields)
 
 
+def test_consumed_segments_are_deleted(spark, landed, tmp_path):
+    folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    os.mkdir(folder)
+    names = sorted(n for n in os.listdir(landed) if n.endswith(".bin"))
+    total = segments.read_segments(spark, landed, "cap").count()
+    for upto in (2, len(names)):
+        for n in names[:upto] if upto == 2 else names[2:]:
+            with open(f"{landed}/{n}", "rb") as src, open(f"{folder}/{n}", "wb") as dst:
+                dst.write(src.read())
+        stream = segments.stream_segments(spark, folder, "cap", delete_after_read=True)
+        streaming.run_available(stream, sink, state, timeout_s=300)
+    assert spark.read.parquet(sink).count() == total
+    assert names[0] not in os.listdir(folder) and names[-1] in os.listdir(folder)
+
+
+def test_snapshot_dedup_keeps_first_arrival(spark):
+    books = fixtures.snapshot_projection(spark, SF)
+    frames = fixtures.snapshot_frames(books.coalesce(1)).withColumns(
+        {"file": F.lit("f"), "ts_ns": F.lit(1).cast("long"), "dedup": F.lit(True)}
+    )
+    twice = frames.withColumn("frame_no", F.explode(F.array(*[F.lit(i).cast("long") for i in (2, 1)])))
+    kept = batch.snapshots_of(twice)
+    assert kept.count() == books.select("security_id", "tick_time").distinct().count()
+    assert {r["frame_no"] for r in kept.select("frame_no").distinct().collect()} == {1}
+    assert batch.snapshots_of(twice.withColumn("dedup", F.lit(False)), False).count() == 2 * books.count()
+
+
 def test_vendor_csv_keeps_bad_rows(spark, tmp_path):
     (tmp_path / "v.csv").write_text(
         "BizIndex,Channel,SecurityID,TickTime,Type,BuyOrderNO,SellOrderNO,Price,Qty,TradeMoney,TickBSFlag\n"
