@@ -196,7 +196,7 @@ def _book_sql(count, sign):
     sql.with_(
         sql.SNAPSHOTS,
         f"""
-        SELECT {_SNAPSHOT_SCALARS}, 0 AS close_px, {_book_sql('n', '-')} AS bid_book,
+        SELECT {_SNAPSHOT_SCALARS}, CAST(0 AS BIGINT) AS close_px, {_book_sql('n', '-')} AS bid_book,
           {_book_sql('n % 3', '+')} AS offer_book FROM book
         """,
     )
@@ -666,7 +666,7 @@ def segment_roundtrip(spark, sf_dir):
         SELECT {_CLOCK} AS ts_ns, 2048 AS eth_type, CASE WHEN is_udp THEN 17 ELSE 6 END AS ip_proto,
           '10.3.0.' || channel AS src_ip, CASE WHEN is_udp THEN 7001 ELSE 7000 END AS sport,
           '10.4.0.1' AS dst_ip, CASE WHEN is_udp THEN 1985 ELSE 51000 END AS dport,
-          CASE WHEN NOT is_udp THEN tcp_seq END AS tcp_seq, size AS payload_len
+          CASE WHEN NOT is_udp THEN tcp_seq END AS tcp_seq, CAST(size AS INTEGER) AS payload_len
         FROM wire
         """,
     )
@@ -802,7 +802,8 @@ def offset_reassembly(spark, sf_dir):
         sql.FRAMES,
         """
         SELECT concat('10.1.0.', channel) AS src_ip, 9129 AS sport, concat('10.2.0.', copy) AS dst_ip,
-          50000 + channel AS dport, msg_seq_id, 9 AS category_id, 5803 AS msg_type, sending_time,
+          CAST(50000 + channel AS INTEGER) AS dport, msg_seq_id, CAST(9 AS BIGINT) AS category_id,
+          CAST(5803 AS BIGINT) AS msg_type, sending_time,
           CASE WHEN frame_no % 11 = 3 THEN 'ODD' ELSE 'VDE' END AS sender, 'VSS' AS target
         FROM frames, range(1, 3) AS t(copy)
         """,
@@ -864,7 +865,8 @@ def v1_frames(spark, sf_dir, want=None):
     sql.with_(
         sql.FRAMES,
         """
-        SELECT concat('10.1.0.', channel) AS src_ip, 9 AS type, 5803 AS subtype, frame_no + 1 AS seq,
+        SELECT concat('10.1.0.', channel) AS src_ip, CAST(9 AS BIGINT) AS type, CAST(5803 AS BIGINT) AS subtype,
+          frame_no + 1 AS seq,
           frame_no % 2 AS compressed, frame_no % 2 = 1 AS zip_ok, records FROM frames
         UNION ALL
         SELECT concat('10.1.0.', channel), 6, 3115, frame_no // 4 + 1, 0, false, 0
