@@ -9,7 +9,8 @@ from quotemill.operators.framing import cut_step_frames
 from quotemill.operators.packets import parse_packets, tcp_with_payload
 from quotemill.operators.reassembly import BLOCK_BYTES
 from quotemill.operators import traffic
-from quotemill.operators.routing import first_arrival, route
+from quotemill.operators.routing import first_arrival, number_frames, route
+from quotemill.operators.scan import block_of
 from quotemill.operators.snapshots import decode_snapshots, valid_snapshots
 from quotemill.operators.ticks import decode_ticks, valid_ticks
 from quotemill.session import staged
@@ -26,9 +27,17 @@ def tcp_table(packets: DataFrame, port: int = 0) -> DataFrame:
 def routed_frames(
     tcp: DataFrame, rules, policy: str = "strict", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Frames with a rule and a payload; the filter runs before any decoding."""
-    frames = cut_step_frames(tcp, policy, block_bytes)
-    return route(frames, rules).filter(F.octet_length("payload") > 0)
+    """Frames with a rule, chosen before any decoding. Empty payloads decode to no rows."""
+    return route(cut_step_frames(tcp, policy, block_bytes), rules)
+
+
+def numbered_frames(routed: DataFrame) -> DataFrame:
+    """Add ``frame_idx``, the number of a routed frame in capture order."""
+    # frame_no is the packet's byte position times 2^16, plus the offset in its payload.
+    block = block_of(F.col("frame_no"), BLOCK_BYTES << 16)
+    return number_frames(
+        routed.withColumn("_block", block), block=["file", "_block"], order=["file", "frame_no"]
+    ).drop("_block")
 
 
 def _deduped(rows: DataFrame, keys) -> DataFrame:
@@ -59,12 +68,18 @@ def decode_segments(
     rules,
     port: int = 0,
     block_bytes: int = BLOCK_BYTES,
+    numbered: bool = False,
 ) -> dict[str, DataFrame]:
-    """{"ticks": ..., "snapshots": ...} for the outputs named by the rules."""
+    """{"ticks": ..., "snapshots": ...} for the rules that have a decoder.
+
+    ``numbered`` adds the export column ``frame_idx`` at the price of one more shuffle of frames.
+    """
     tcp = tcp_table(read_segments(spark, folder, prefix), port)
     routed = routed_frames(tcp, rules, block_bytes=block_bytes)
     # One folder per output: each decoder then reads only its own frames.
     routed = staged(routed, "frames", partition_by=["output"])
+    if numbered:
+        routed = numbered_frames(routed)
     by_type = {(9, 5803): ("ticks", ticks_of), (6, 3202): ("snapshots", snapshots_of)}
     out = {}
     for rule in rules:

@@ -1361,11 +1361,15 @@ def reconciled(spark, sf_dir):
         F.round(F.col("l_tax") * 100).cast("long").alias("money"),
         F.col("l_linestatus").alias("bs_flag"),
     )
-    decoded = lines.filter(F.col("l_partkey") % 43 != 0)
-    moved = F.when(F.col("l_partkey") % 37 == 0, F.col("price") + 1).otherwise(F.col("price"))
-    reference = lines.filter(F.col("l_suppkey") % 41 != 0).withColumn("price", moved)
+    price, index = F.col("price"), F.col("biz_index")
+    reference = lines.withColumns(
+        {
+            "price": F.when(F.col("l_partkey") % 37 == 0, price + 1).otherwise(price),
+            "biz_index": F.when(F.col("l_suppkey") % 41 == 0, index + 100).otherwise(index),
+        }
+    )
     return reconcile.reconcile(
-        decoded, reference, key=["channel", "biz_index"], block=LINE_BLOCK, order=LINE_ORDER
+        lines, reference, key=["channel", "biz_index"], block=LINE_BLOCK, order=LINE_ORDER
     )
 
 

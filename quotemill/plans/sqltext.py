@@ -89,7 +89,7 @@ LINE_ORDER = (
     "l_returnflag, l_linestatus"
 )
 
-# Both sides of the comparison: some reference prices differ, some rows are on one side only.
+# Both sides of the comparison: some reference prices differ, some keys are on one side only.
 RECONCILE = dedent(f"""\
     lines AS (
       SELECT *, CAST(l_orderkey AS BIGINT) AS channel, CAST(l_linenumber AS BIGINT) AS biz_index,
@@ -101,12 +101,14 @@ RECONCILE = dedent(f"""\
     d AS (
       SELECT *, cents AS price, row_number() OVER (
         PARTITION BY channel, biz_index ORDER BY {LINE_ORDER}) AS occurrence
-      FROM lines WHERE l_partkey % 43 <> 0),
+      FROM lines),
+    moved AS (
+      SELECT * REPLACE (CASE WHEN l_suppkey % 41 = 0 THEN biz_index + 100 ELSE biz_index END AS biz_index)
+      FROM lines),
     r AS (
-      SELECT * REPLACE (CASE WHEN l_partkey % 37 = 0 THEN cents + 1 ELSE cents END AS cents),
-        CASE WHEN l_partkey % 37 = 0 THEN cents + 1 ELSE cents END AS price,
+      SELECT *, CASE WHEN l_partkey % 37 = 0 THEN cents + 1 ELSE cents END AS price,
         row_number() OVER (PARTITION BY channel, biz_index ORDER BY {LINE_ORDER}) AS occurrence
-      FROM lines WHERE l_suppkey % 41 <> 0),
+      FROM moved),
     compared AS (
       SELECT channel, biz_index, occurrence, d.price AS decoded_price, r.price AS reference_price,
         CASE WHEN r.price IS NULL THEN 'miss' WHEN d.price IS NULL THEN 'ref_remain'

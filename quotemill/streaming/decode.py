@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from quotemill.functions.predicates import filter_ports
-from quotemill.operators.framing import MAX_FRAME, StepFrames, _magics, _walk
+from quotemill.operators.framing import StepFrames, _magics, _walk
 from quotemill.operators.packets import FLOW, parse_packets, tcp_with_payload
 from quotemill.operators.reassembly import GAP, INIT, RETRANSMIT, replay
 from quotemill.operators.routing import route
@@ -92,7 +92,7 @@ def reassemble_stream(packets: DataFrame, proto=StepFrames) -> DataFrame:
             if i == len(pieces) - 1:
                 if keep > covered:
                     events.append(["junk", *place(covered), keep - covered, *empty])
-                rest = buf[keep : keep + MAX_FRAME]
+                rest = buf[keep:]
                 rest_no = place(keep)[0] if rest else 0
             elif len(buf) > covered:
                 events.append(["junk", *place(covered), len(buf) - covered, *empty])
@@ -113,7 +113,7 @@ def frame_stream(packets: DataFrame, port: int = 0) -> DataFrame:
 def decode_stream(spark: SparkSession, folder: str, prefix: str, rules, port: int = 0) -> DataFrame:
     """Ticks of landed and growing segments."""
     events = frame_stream(stream_segments(spark, folder, prefix), port)
-    frames = events.filter((F.col("kind") == "frame") & (F.octet_length("payload") > 0))
+    frames = events.filter(F.col("kind") == "frame")
     return decode_ticks(route(frames.drop("kind", "n_bytes"), rules))
 
 

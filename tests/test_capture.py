@@ -126,6 +126,18 @@ def test_pipeline_outputs(spark, landed, derived):
     assert out["snapshots"].count() == 0
 
 
+def test_export_columns_and_numbers(spark, landed, derived, tmp_path):
+    out = batch.decode_segments(spark, landed, "cap", RULES, 9129, numbered=True)["ticks"]
+    tables.write_ticks(out, str(tmp_path / "ticks"), "csv")
+    back = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "ticks"))
+    assert back.columns == list(tables.EXPORT_NAMES.values())
+    frames = derived.selectExpr("channel", "(biz_index - 1) div 50 AS f").distinct().count()
+    found = back.select("OuterSeq", "FrameIdx").distinct()
+    assert found.count() == frames and back.count() == derived.count()
+    last = back.agg(F.max("FrameIdx")).first()[0]
+    assert frames <= last <= 2 * frames
+
+
 def test_stream_equals_batch_across_triggers(spark, landed, derived, tmp_path):
     """Segments arrive one by one; a frame cut by a trigger continues in the next."""
     folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
