@@ -8,7 +8,6 @@ starting value. Packets are grouped by block, whatever their flow, so a task hol
 bytes at a time however large a flow is or however many there are.
 """
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

@@ -1013,7 +1013,7 @@ def frame_numbering(spark, sf_dir):
     rows = (
         table(spark, sf_dir, "events")
         .filter(F.col("event_type") == "purchase")
-        .select("event_id", block_of(F.col("event_id"), 1 << 16).alias("block"), block_of(F.col("event_id"), 50).alias("frame"))
+        .select("event_id", block_of(F.col("event_id")).alias("block"), block_of(F.col("event_id"), 50).alias("frame"))
     )
     numbered = routing.number_frames(rows, block=["block"], order=["event_id"])
     return routing.number_records(numbered, ["frame"], ["event_id"]).select(
@@ -1442,7 +1442,7 @@ def positional_match(spark, sf_dir):
         rows = (
             table(spark, sf_dir, "events")
             .filter(F.col("event_type") == kind)
-            .select("event_id", (F.col("user_id") % 3).alias("u"), block_of(F.col("event_id"), 1 << 16).alias("block"))
+            .select("event_id", (F.col("user_id") % 3).alias("u"), block_of(F.col("event_id")).alias("block"))
         )
         return routing.number_frames(rows, block=["block"], order=["event_id"])
 

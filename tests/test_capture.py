@@ -113,7 +113,10 @@ def test_partial_overlap_policies(spark):
         ("f", i, i, "10.0.0.1", 9129, "10.0.0.2", 5, a, bytearray(message[a:b]), b - a)
         for i, (a, b) in enumerate(cuts)
     ]
-    ddl = "file string, capture_seq long, ts_ns long, src_ip string, sport int, dst_ip string, dport int, tcp_seq long, payload binary, payload_len int"
+    ddl = (
+        "file string, capture_seq long, ts_ns long, src_ip string, sport int, dst_ip string, "
+        "dport int, tcp_seq long, payload binary, payload_len int"
+    )
     df = spark.createDataFrame(rows, ddl)
     assert framing.cut_step_frames(df).count() == 0
     assert framing.cut_step_frames(df, policy="offset_merge").first()["payload"] == b"x" * 300

@@ -12,7 +12,6 @@ from quotemill.operators import records, routing, traffic
 from quotemill.operators.reassembly import (
     classify_segments,
     direction_bytes,
-    merge_intervals,
     reassemble_by_offset,
     replay,
 )
@@ -169,7 +168,10 @@ def test_status_records_match_plain_reading(spark):
         assert got == plain_status(bodies[r["i"]]), bodies[r["i"]].hex()
 
 
-FLOW_ROW = "file string, capture_seq long, src_ip string, sport int, dst_ip string, dport int, tcp_seq long, payload binary, payload_len int"
+FLOW_ROW = (
+    "file string, capture_seq long, src_ip string, sport int, dst_ip string, dport int, "
+    "tcp_seq long, payload binary, payload_len int"
+)
 
 
 def random_segments(seed, n=400, base=(1 << 32) - 900):

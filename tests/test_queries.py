@@ -7,7 +7,6 @@ import pytest
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 
 from compare import check_connection, compare  # noqa: E402
-from conftest import ROOT  # noqa: E402, F401
 
 import __spark_entry__ as entry  # noqa: E402
 
