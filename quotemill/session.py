@@ -64,15 +64,34 @@ def _package_zip() -> str:
     return path
 
 
-_fallback: dict[str, str] = {}
+_own: dict[str, str] = {}
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which all executors share.
 
-    The local temporary folder is used only where the session names none (tests).
+    A session on one machine that names none gets a temporary folder of its own; a cluster must
+    name one, as executors can't read each other's disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _fallback.setdefault("base", tempfile.mkdtemp(prefix="quotemill-"))
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="quotemill-")
+    return _own[app]
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder for this application's intermediate tables; see ``clear_scratch``."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/quotemill-{app}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove this application's intermediate tables, once no result that reads them is needed."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/quotemill-{spark.sparkContext.applicationId}")
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
