@@ -11,6 +11,7 @@ from quotemill.session import configure, scratch_dir
 
 # A space between two chunks starts a new pre-token unless white space stands on both sides of it.
 _UNSAFE_SPACE = re.compile(r"\s \s|  ")
+_WIDE_SPACE = re.compile(" [\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +41,8 @@ def space_chunks(text: str):
     The usual byte-level split pattern puts a space only at the start of a token or into a run of
     white space, so pre-tokens never cross these cuts.
     """
-    if _UNSAFE_SPACE.search(text):
+    doubtful = any(x in text for x in ("  ", " \n", " \t", " \r", " \v", " \f", " \x1c", " \x1d", " \x1e", " \x1f")) or (not text.isascii() and _WIDE_SPACE.search(text))
+    if doubtful and _UNSAFE_SPACE.search(text):
         return None
     head, *rest = text.split(" ")
     return [head, *[" " + x for x in rest]]

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, brown, quality
+from quotemill.llm import bpe, brown, fmindex, quality, wavelet
 from quotemill.llm.common import table
 
 DIGEST_BITS = 256
@@ -15,6 +15,29 @@ def op1_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    shards = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    read = wavelet.read_documents(shards).withColumn("ids_crc32", wavelet.crc32_column("ids"))
+    start = (F.col("first") + F.col("at")).alias("start")
+    narrow = read.select("part", "seq", "doc_id", "at", "n_tokens", "ids_crc32")
+    return narrow.join(wavelet.shard_starts(shards), ["part", "seq"]).select("doc_id", start, "n_tokens", "ids_crc32")
+
+
+def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fmindex.contamination(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), DIGEST_BITS).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -33,5 +56,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_brown": op1_brown, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
+QUERIES = {"op1_brown": op1_brown, "op4_wavelet": op4_wavelet, "op6_fmindex": op6_fmindex, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {}
