@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, brown, chat, fmindex, licences, quality, wavelet
+from quotemill.llm import bpe, brown, chat, fmindex, fuzzy_lines, licences, quality, superminhash, wavelet
 from quotemill.llm.common import table
 
 DIGEST_BITS = 256
@@ -15,6 +15,14 @@ def op1_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+
+
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     shards = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -77,5 +85,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_brown": op1_brown, "op4_wavelet": op4_wavelet, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
+QUERIES = {"op1_brown": op1_brown, "op2_superminhash": op2_superminhash, "op3_fuzzy_lines": op3_fuzzy_lines, "op4_wavelet": op4_wavelet, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {"op7_licences": licences.duckdb_sql()}
