@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, brown, chat, fmindex, fuzzy_lines, licences, quality, superminhash, wavelet
+from quotemill.llm import bpe, brown, bwt_dedup, chat, fmindex, fuzzy_lines, licences, quality, superminhash, wavelet
 from quotemill.llm.common import table
 
 DIGEST_BITS = 256
@@ -32,6 +32,11 @@ def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrow.join(wavelet.shard_starts(shards), ["part", "seq"]).select("doc_id", start, "n_tokens", "ids_crc32")
 
 
+def op5_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = bwt_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", DIGEST_BITS).alias("kept_sha256"))
+
+
 def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = fmindex.contamination(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
@@ -85,5 +90,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_brown": op1_brown, "op2_superminhash": op2_superminhash, "op3_fuzzy_lines": op3_fuzzy_lines, "op4_wavelet": op4_wavelet, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
+QUERIES = {"op1_brown": op1_brown, "op2_superminhash": op2_superminhash, "op3_fuzzy_lines": op3_fuzzy_lines, "op4_wavelet": op4_wavelet, "op5_bwt_dedup": op5_bwt_dedup, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {"op7_licences": licences.duckdb_sql()}
