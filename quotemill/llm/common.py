@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, label: str, row_group_mb: int = 32) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    A writer holds a row group in memory; tables of large values take a smaller one.
+    """
     folder = scratch_dir(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.option("parquet.block.size", str(row_group_mb << 20)).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -204,7 +204,7 @@ def build_shards(docs: DataFrame, keep: list[str], text: str = "text", shard_wor
         if texts:
             yield flush()
 
-    return stage(docs.select(*keep, text).mapInArrow(run, "shard long, file binary"), "fm-index")
+    return stage(docs.select(*keep, text).mapInArrow(run, "shard long, file binary"), "fm-index", 8)
 
 
 def windows(data: bytes, width: int) -> list[tuple[bytes, ...]]:

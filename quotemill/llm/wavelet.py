@@ -28,7 +28,7 @@ from quotemill.llm.common import space_chunks, stage
 
 MAGIC = b"QMWM"
 SHARD_TOKENS = 1 << 21
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 200_000
 MEMO_CHARS = 64
 _INNER_SPACE = re.compile(r".\s|^\s*$|^[^\S ]", re.DOTALL).search
 
@@ -232,7 +232,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 0, doc_id:
         if lengths:
             yield flush()
 
-    return stage(ordered.mapInArrow(run, "part int, seq int, n_docs long, n_tokens long, file binary"), "token-shards")
+    return stage(ordered.mapInArrow(run, "part int, seq int, n_docs long, n_tokens long, file binary"), "token-shards", 8)
 
 
 def read_documents(shards: DataFrame, id_type: str = "long") -> DataFrame:
