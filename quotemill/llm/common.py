@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from quotemill.session import configure, scratch_dir
 
-# A space between two chunks starts a new pre-token unless white space stands on both sides of it.
-_UNSAFE_SPACE = re.compile(r"\s \s|  ")
-_WIDE_SPACE = re.compile(" [\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# A space or line feed next to white space may be inside one pre-token with it.
+_UNSAFE_SPACE = re.compile(r" \s|\s |\n\s|\s\n")
+_WIDE_SPACE = re.compile("[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,16 +39,22 @@ def raw_texts(column: pa.Array):
 
 
 def space_chunks(text: str):
-    """``text`` cut before every single space, or None where such cuts could split a pre-token.
+    """``text`` cut before every single space and around every single line feed, or None where such cuts could split a pre-token.
 
     The usual byte-level split pattern puts a space only at the start of a token or into a run of
-    white space, so pre-tokens never cross these cuts.
+    white space, and a line feed only into such a run, so pre-tokens never cross these cuts.
     """
-    doubtful = any(x in text for x in ("  ", " \n", " \t", " \r", " \v", " \f", " \x1c", " \x1d", " \x1e", " \x1f")) or (not text.isascii() and _WIDE_SPACE.search(text))
-    if doubtful and _UNSAFE_SPACE.search(text):
+    doubtful = any(x in text for x in ("  ", " \n", "\n ", "\n\n", " \t", " \r", " \v", " \f", " \x1c", " \x1d", " \x1e", " \x1f"))
+    if (doubtful or _WIDE_SPACE.search(text)) and _UNSAFE_SPACE.search(text):
         return None
-    head, *rest = text.split(" ")
-    return [head, *[" " + x for x in rest]]
+    out = []
+    for line in text.split("\n"):
+        head, *rest = line.split(" ")
+        out.append(head)
+        out += [" " + x for x in rest]
+        out.append("\n")
+    out.pop()
+    return out
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -28,8 +28,7 @@ from quotemill.llm.common import space_chunks, stage
 
 MAGIC = b"QMWM"
 SHARD_TOKENS = 1 << 21
-MEMO_ENTRIES = 200_000
-MEMO_CHARS = 64
+MEMO_ENTRIES = 400_000
 _INNER_SPACE = re.compile(r".\s|^\s*$|^[^\S ]", re.DOTALL).search
 
 
@@ -154,6 +153,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         split = self.tokenizer.pre_tokenizer
         self.chunked = self.tokenizer.normalizer is None and isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+        self.tokenizer.model._resize_cache(0)  # only new pieces come here
         self.line_feed = self.tokenizer.token_to_id("Ċ")
         self.memo: dict[str, bytes] = {}
 
@@ -176,22 +176,18 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers, as the library gives them for whole texts."""
         cut = [space_chunks(t) if self.chunked else None for t in texts]
         memo = self.memo
-        once: dict[str, bytes] = {}
-        new = {c for chunks in cut if chunks for c in chunks if c not in memo} | {t for t, c in zip(texts, cut) if c is None}
+        seen = set().union(*[c for c in cut if c])
+        if len(memo) > MEMO_ENTRIES:
+            memo = self.memo = {c: memo[c] for c in seen if c in memo}
+        new = seen.difference(memo)
         single = [c for c in new if not _INNER_SPACE(c)]
         for at in range(0, len(single), 4096):
             part = single[at : at + 4096]
-            once.update(zip(part, self._pieces(part), strict=True))
-        whole = [c for c in new if c not in once]
-        once.update(zip(whole, self._library(whole), strict=True))
-        out = [
-            once[t] if chunks is None else b"".join([memo[c] if c in memo else once[c] for c in chunks])
-            for t, chunks in zip(texts, cut, strict=True)
-        ]
-        if len(memo) + len(once) > MEMO_ENTRIES:
-            memo.clear()
-        memo.update((c, ids) for c, ids in once.items() if len(c) <= MEMO_CHARS)
-        return out
+            memo.update(zip(part, self._pieces(part), strict=True))
+        whole = [c for c in new if c not in memo]
+        memo.update(zip(whole, self._library(whole), strict=True))
+        uncut = iter(self._library([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        return [next(uncut) if chunks is None else b"".join(map(memo.__getitem__, chunks)) for chunks in cut]
 
 
 @lru_cache(maxsize=2)
