@@ -43,6 +43,8 @@ MAX_FRAME = 16 * 1024 * 1024
 LOOKAHEAD = 64
 SOH = b"\x01"
 ZIP_HEADER = b"PK\x03\x04"
+MAX_NUMBER = 18
+_IS_DIGIT = frozenset(b"0123456789").__contains__
 
 
 class StepFrames:
@@ -50,6 +52,7 @@ class StepFrames:
 
     magic = b"8=STEP.1.0.0\x01"
     trailer = 7
+    payload_tag = SOH + b"96="
     max_digits = LOOKAHEAD - len(magic) - 3
     fields = [
         T.StructField("category_id", T.LongType()),
@@ -59,6 +62,7 @@ class StepFrames:
         T.StructField("sender", T.StringType()),
         T.StructField("target", T.StringType()),
         T.StructField("payload", T.BinaryType()),
+        T.StructField("frame_reject", T.StringType()),
     ]
 
     @classmethod
@@ -81,46 +85,36 @@ class StepFrames:
 
     @classmethod
     def parse(cls, raw):
-        """Tag walk; tag 95 gives the length of tag 96, which may hold any byte."""
-        category = kind = seq = raw_len = 0
-        sending = sender = target = None
-        payload = b""
-        pos = raw.find(SOH, len(cls.magic)) + 1
-        end = len(raw)
-        while pos < end:
-            eq = raw.find(b"=", pos)
-            tag = raw[pos:eq]
-            if eq < 0 or (tag and not tag.isdigit()) or tag == b"10":
-                break
-            pos = eq + 1
-            if tag == b"96":
-                if pos + raw_len > end:
-                    break
-                payload = raw[pos : pos + raw_len]
-                pos += raw_len
-                if raw[pos : pos + 1] == SOH:
-                    pos += 1
-                continue
-            stop = raw.find(SOH, pos)
-            if stop < 0:
-                break
-            value = raw[pos:stop]
-            pos = stop + 1
-            if tag == b"35":
-                kind = _digits(value[2:])
-            elif tag == b"10142":
-                category = _digits(value)
-            elif tag == b"10072":
-                seq = _digits(value)
-            elif tag == b"95":
-                raw_len = _digits(value)
-            elif tag == b"52":
-                sending = value.decode("latin-1")
-            elif tag == b"49":
-                sender = value.decode("latin-1")
-            elif tag == b"56":
-                target = value.decode("latin-1")
-        return category, kind, seq, sending, sender, target, payload
+        """Fields by tag. All but tag 96 is plain text between SOHs; tag 95 measures tag 96, which
+        may hold any byte. A number above 63 bits is left out, as is a payload that its length would
+        carry past the frame; ``frame_reject`` says so."""
+        text, _, rest = raw.partition(cls.payload_tag)
+        fields = _plain_fields(text)
+        reasons = []
+
+        def number(tag, prefix=0):
+            digits = bytes(filter(_IS_DIGIT, fields.get(tag, b"")[prefix:])).lstrip(b"0")
+            if len(digits) > MAX_NUMBER:
+                reasons.append(f"number in tag {tag.decode()}")
+                return 0
+            return int(digits or b"0")
+
+        size = number(b"95")
+        payload = rest[:size]
+        if len(payload) < size:
+            reasons.append("payload longer than frame" if rest else "no payload")
+            payload = b""
+        else:
+            fields = _plain_fields(rest[size:]) | fields
+        words = [fields[t].decode("latin-1") if t in fields else None for t in (b"52", b"49", b"56")]
+        numbers = number(b"10142"), number(b"35", len(b"UA")), number(b"10072")
+        return (*numbers, *words, payload, "; ".join(reasons) or None)
+
+
+def _plain_fields(text):
+    """{tag: value} of ``tag=value`` items between SOHs."""
+    parts = (item.partition(b"=") for item in text.split(SOH))
+    return {tag: value for tag, eq, value in parts if eq}
 
 
 class HeadedFrames:
@@ -153,13 +147,6 @@ class HeadedFrames:
         return (*cls.head.unpack_from(raw)[1:], raw[cls.head.size :])
 
 
-def _digits(value):
-    if value.isdigit():
-        return int(value)
-    kept = bytes(c for c in value if 48 <= c <= 57)
-    return int(kept) if kept else 0
-
-
 def _magics(buf, proto):
     """(starts, next positions, frame flags, tail): headers fully inside ``buf``.
 
@@ -500,12 +487,12 @@ def _whole(packets: DataFrame, proto, block_bytes) -> DataFrame:
 
 def in_stream_order(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Packets with overlaps merged by offset, renumbered by stream position."""
-    merged = reassemble_by_offset(packets, block_bytes)
+    merged = reassemble_by_offset(packets, block_bytes, keep=["ts_ns"])
     return merged.select(
         # Blocks of a stream hold one flow: offsets of different flows are unrelated.
         F.concat_ws(":", *FLOW).alias("file"),
         F.col("stream_offset").alias("capture_seq"),
-        F.lit(0).cast("long").alias("ts_ns"),
+        "ts_ns",
         *FLOW,
         F.pmod(F.col("stream_offset"), F.lit(MOD)).alias("tcp_seq"),
         "payload",
@@ -563,6 +550,11 @@ def lost_bytes(resync: DataFrame) -> DataFrame:
     return resync.groupBy(*FLOW).agg(F.sum("n_bytes").alias("lost_bytes"))
 
 
+def rejected_frames(frames: DataFrame) -> DataFrame:
+    """STEP frames of which a number or the payload could not be taken."""
+    return frames.filter(F.col("frame_reject").isNotNull())
+
+
 def envelope_issues(frames: DataFrame) -> DataFrame:
     """Frames whose sender or target is not the expected one."""
     return frames.filter(

@@ -272,8 +272,11 @@ def merge_intervals(
     )
 
 
-def reassemble_by_offset(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(flow, stream_offset, payload, hole_start, hole_end), overlap trimmed, one row per piece."""
+def reassemble_by_offset(packets: DataFrame, block_bytes: int = BLOCK_BYTES, keep=()) -> DataFrame:
+    """(flow, stream_offset, payload, hole_start, hole_end), overlap trimmed, one row per piece.
+
+    ``keep`` names packet columns that go with each piece.
+    """
     merged = merge_intervals(
         stream_positions(packets, block_bytes),
         group=FLOW,
@@ -288,6 +291,7 @@ def reassemble_by_offset(packets: DataFrame, block_bytes: int = BLOCK_BYTES) ->
         F.expr("substring(payload, cast(skip as int) + 1)").alias("payload"),
         "hole_start",
         "hole_end",
+        *keep,
     )
 
 

@@ -90,8 +90,20 @@ HEAD = f"^((?:{TOKEN}){{0,3}}?)({SECURITY})(.*)$"
 TAIL = f"^((?:[0-9A-F]{{2}})*?)({TEXT})$"
 
 
+def _tokens(hex_text):
+    return F.regexp_extract_all(hex_text, F.lit(rf"\G({TOKEN})"), F.lit(1))
+
+
+# A stop-bit number of nine bytes has 63 bits; longer ones, leading zero bytes aside, overflow.
+WIDE = "^(?:00)*(?!00)(?:[0-9A-F]{2}){10,}$"
+
+
+def _too_wide(hex_text):
+    return F.exists(_tokens(hex_text), lambda t: t.rlike(WIDE))
+
+
 def _numbers(hex_text):
-    tokens = F.regexp_extract_all(hex_text, F.lit(rf"\G({TOKEN})"), F.lit(1))
+    tokens = F.transform(_tokens(hex_text), lambda t: F.when(~t.rlike(WIDE), F.right(t, F.lit(18))))
 
     def number(token):
         at = F.sequence(F.lit(1), F.length(token), F.lit(2))
@@ -102,7 +114,7 @@ def _numbers(hex_text):
             + F.conv(F.substring(token, i, F.lit(2)), 16, 10).cast("long") % 128,
         )
 
-    return F.transform(tokens, number)
+    return F.transform(tokens, lambda t: F.when(t.isNotNull(), number(t)))
 
 
 def _text(hex_text):
@@ -115,9 +127,9 @@ def _text(hex_text):
 
 
 def status_records(raw_records: DataFrame, body: str = "body") -> DataFrame:
-    """prefix_ints, sec_id, mid_ints, status, trailer (null where not found).
+    """prefix_ints, sec_id, mid_ints, status, trailer (null where not found) and overflow.
 
-    Body: up to three numbers, a six-digit id, numbers, a status text, and maybe one raw byte.
+    A number above 63 bits is null in its list and sets ``overflow``. Body: up to three numbers, a six-digit id, numbers, a status text, and maybe one raw byte.
     """
     text = raw_records.withColumn("_hex", F.hex(body))
     found = F.col("_hex").rlike(HEAD)
@@ -133,16 +145,18 @@ def status_records(raw_records: DataFrame, body: str = "body") -> DataFrame:
     )
     ends = F.col("_core").rlike(TAIL)
     none = F.array().cast("array<bigint>")
+    middle = F.when(ends, F.regexp_extract("_core", TAIL, 1)).otherwise(F.col("_core"))
     return text.select(
         *raw_records.columns,
         F.when(found, _numbers(F.regexp_extract("_hex", HEAD, 1))).otherwise(none).alias("prefix_ints"),
         F.when(found, _text(F.regexp_extract("_hex", HEAD, 2))).alias("sec_id"),
         F.when(
             found,
-            _numbers(F.when(ends, F.regexp_extract("_core", TAIL, 1)).otherwise(F.col("_core"))),
+            _numbers(middle),
         )
         .otherwise(none)
         .alias("mid_ints"),
         F.when(ends, _text(F.regexp_extract("_core", TAIL, 2))).alias("status"),
         F.conv("_trailer", 16, 10).cast("int").alias("trailer"),
+        F.when(found, _too_wide(F.regexp_extract("_hex", HEAD, 1)) | _too_wide(middle)).otherwise(F.lit(False)).alias("overflow"),
     )

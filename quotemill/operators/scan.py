@@ -68,6 +68,12 @@ def _block_total(spec, position):
     return {"sum": F.sum, "max": F.max}[spec.kind](spec.value)
 
 
+def _null_safe(carry: DataFrame, keys):
+    """(carry with renamed keys, condition): null is a group like any other."""
+    renamed = carry.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return renamed, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+
+
 def ordered_scan(df: DataFrame, *, group, block, order, **specs: Running) -> DataFrame:
     """Add one running column per spec, over ``order`` within ``group``."""
     group, block, order = list(group), list(block), list(order)
@@ -100,7 +106,7 @@ def ordered_scan(df: DataFrame, *, group, block, order, **specs: Running) -> Dat
     carry = blocks.select(
         *keys, *[carried(n, s).alias(f"_c_{n}") for n, s in specs.items()]
     ).filter(some)
-    joined = local.join(carry, keys, "left")
+    joined = local.join(*_null_safe(carry, keys), "left")
 
     def combined(name, spec):
         here, before_block = F.col(f"_l_{name}"), F.col(f"_c_{name}")
@@ -134,13 +140,10 @@ def occurrence_number(df: DataFrame, *, keys, block, order, name="occurrence") -
     )
     return (
         df.withColumn("_row", F.row_number().over(w))
-        .join(carry, keys + block, "left")
+        .join(*_null_safe(carry, keys + block), "left")
         .select(
             *df.columns,
             (F.col("_row") + F.coalesce("_carry", F.lit(0))).cast("long").alias(name),
         )
     )
 
-
-def same_columns(*frames: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -237,13 +237,3 @@ def until_first_bad(df: DataFrame, bad, frame, order) -> DataFrame:
         .drop("_bad")
     )
 
-
-def with_decimals(ticks: DataFrame) -> DataFrame:
-    """Exact price, quantity and money columns next to the scaled integers."""
-    return ticks.withColumns(
-        {
-            "price": fixed_decimal(F.col("price_e3"), 3),
-            "qty": fixed_decimal(F.col("qty_e3"), 3),
-            "money": fixed_decimal(F.col("money_e5"), 5),
-        }
-    )

@@ -2,11 +2,11 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from quotemill.functions.predicates import has_prefix, is_noise
 
 CONVERSATION = ["src_ip", "sport", "dst_ip", "dport", "ip_proto"]
-BROADCAST_NAMES = 10_000
 
 
 def count_by(df: DataFrame, keys, n: int | None = None, name: str = "count") -> DataFrame:
@@ -77,7 +77,8 @@ def flow_stats(df: DataFrame, ts_us: str = "ts_us", nbytes: str = "payload_len")
         F.max(ts_us).alias("last_us"),
     )
     lasted = F.col("last_us") - F.col("first_us")
-    rate = F.call_function("div", F.col("bytes") * 1_000_000, lasted)
+    # Bytes of a flow times a million exceed 63 bits from 9.2 TB on.
+    rate = F.call_function("div", F.col("bytes").cast("decimal(19,0)") * F.lit(1_000_000).cast("decimal(7,0)"), lasted.cast("decimal(19,0)"))
     return flows.withColumn("duration_us", lasted).withColumn(
         "avg_bps", F.when(lasted > 0, rate).otherwise(F.lit(0)).cast("long")
     )
@@ -162,12 +163,14 @@ def label_histogram(df: DataFrame, body, keys=()) -> DataFrame:
 
 
 def value_histograms(df: DataFrame, columns, n: int = 20) -> DataFrame:
-    """(field, value, count): the n most frequent values of each column, nulls included."""
+    """(field, value, count): the n most frequent values of each column, nulls included, bytes as hex."""
+    binary = {f.name for f in df.schema.fields if f.dataType == BinaryType()}
+    text = {c: F.hex(c) if c in binary else F.col(c).cast("string") for c in columns}
     long = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"))
+                    F.struct(F.lit(c).alias("field"), text[c].alias("value"))
                     for c in columns
                 ]
             )

@@ -27,12 +27,19 @@ def tcp_table(packets: DataFrame, port: int = 0) -> DataFrame:
 def routed_frames(
     tcp: DataFrame, rules, policy: str = "strict", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Frames with a rule, chosen before any decoding. Empty payloads decode to no rows."""
-    return route(cut_step_frames(tcp, policy, block_bytes), rules)
+    """Frames with a rule, chosen before any decoding. Empty payloads decode to no rows.
+
+    Frames whose header could not be read are listed by ``framing.rejected_frames``.
+    """
+    return route(cut_step_frames(tcp, policy, block_bytes).drop("frame_reject"), rules)
 
 
 def numbered_frames(routed: DataFrame) -> DataFrame:
-    """Add ``frame_idx``, the number of a routed frame in capture order."""
+    """Add ``frame_idx``, the number of a routed frame in capture order.
+
+    The order is that of the first bytes; where flows interleave, a frame that completes later may
+    have the smaller number.
+    """
     # frame_no is the packet's byte position times 2^16, plus the offset in its payload.
     block = block_of(F.col("frame_no"), BLOCK_BYTES << 16)
     return number_frames(

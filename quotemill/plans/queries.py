@@ -19,7 +19,7 @@ from quotemill.operators import (
     traffic,
 )
 from quotemill.operators.scan import block_of
-from quotemill.plans import batch, fixtures
+from quotemill.plans import batch, fixtures, jobs
 from quotemill.plans import sqltext as sql
 from quotemill.plans.fixtures import table
 from quotemill.session import configure, scratch_dir, staged
@@ -1584,3 +1584,114 @@ def stream_dedup(spark, sf_dir):
     kept = streaming.dedup_stream(rows, ["user_id", "event_type"], "ts", "400 days")
     streaming.run_available(kept.select("user_id", "event_type"), sink, checkpoint)
     return spark.read.parquet(sink)
+
+
+# ---- data that used to be lost or to abort ------------------------------------------------------
+
+
+@query(
+    """
+    WITH t AS (SELECT *, lag(l_linenumber) OVER (PARTITION BY l_shipmode_null ORDER BY l_shipdate, l_orderkey, l_linenumber) AS previous_seq
+      FROM (SELECT *, CASE WHEN l_returnflag = 'A' THEN 'A' END AS l_shipmode_null FROM lineitem))
+    SELECT l_shipmode_null AS flag, l_orderkey, l_linenumber, previous_seq FROM t WHERE l_linenumber <> previous_seq + 1
+    """
+)
+def seq_gaps_null(spark, sf_dir):
+    """A null group runs through its blocks like any other."""
+    rows = table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "flag": F.when(F.col("l_returnflag") == "A", F.lit("A")),
+            "month": F.trunc("l_shipdate", "month"),
+        }
+    )
+    found = checks.sequence_gaps(
+        rows, group=["flag"], seq="l_linenumber", block=["month"], order=["l_shipdate", "l_orderkey", "l_linenumber"]
+    )
+    return found.select("flag", "l_orderkey", "l_linenumber", "previous_seq")
+
+
+@query(
+    sql.with_(
+        sql.FLOWS,
+        """
+        SELECT src_ip, sport, dst_ip, dport, ip_proto, pkts, CAST(bytes AS BIGINT) * 100000000 AS bytes,
+          CAST(CASE WHEN last_us > first_us
+            THEN CAST(bytes AS HUGEINT) * 100000000 * 1000000 // (last_us - first_us) ELSE 0 END AS BIGINT) AS avg_bps
+        FROM flows
+        """,
+    )
+)
+def flow_stats_large(spark, sf_dir):
+    """Flows of many terabytes."""
+    rows = traffic_rows(spark, sf_dir)
+    rows = rows.withColumn("payload_len", F.col("payload_len") * F.lit(100_000_000).cast("long"))
+    return traffic.flow_stats(rows).select(*traffic.CONVERSATION, "pkts", "bytes", "avg_bps")
+
+
+@query(
+    """
+    SELECT event_id, event_id % 3 = 0 AS overflow, CASE WHEN event_id % 3 <> 0 THEN event_id % 128 END AS first_number,
+      '600880' AS sec_id FROM events
+    """
+)
+def status_overflow(spark, sf_dir):
+    """A number above 63 bits is flagged, and its record stays."""
+    number = F.lpad(F.hex(F.col("event_id") % 128 + 128), 2, "0")
+    wide = F.when(F.col("event_id") % 3 == 0, F.repeat(F.lit("7F"), 9)).otherwise("")
+    body = F.unhex(F.concat(wide, number, F.lit("3630303838B0"), F.lit("83")))
+    rows = table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    found = records.status_records(rows)
+    return found.select("event_id", "overflow", F.get("prefix_ints", F.lit(0)).alias("first_number"), "sec_id")
+
+
+@query(
+    """
+    SELECT event_id % 2 AS part, count(*) AS n FROM events GROUP BY 1
+    """
+)
+def segment_append(spark, sf_dir):
+    """A second write goes on after the segments of the first."""
+    folder = scratch_dir(spark, "appended")
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("memory").alias("file"),
+        F.col("event_id").alias("capture_seq"),
+        F.col("event_id").alias("ts_ns"),
+        F.encode(F.concat_ws("-", F.lit("packet"), F.col("event_id") % 2), "UTF-8").alias("frame"),
+    )
+    for part in (0, 1):
+        segments.write_segments(rows.filter(F.col("capture_seq") % 2 == part), folder, "cap", max_bytes=64 << 10)
+    back = segments.read_segments(spark, folder, "cap")
+    part = F.substring_index(F.decode("frame", "UTF-8"), "-", -1).cast("long")
+    return back.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    sql.with_(
+        sql.TICKS,
+        """
+        SELECT count(*) FILTER (event_id % 7 <> 0 AND event_id % 11 <> 0) AS matches,
+          count(*) FILTER (event_id % 7 <> 0 AND event_id % 11 = 0) AS errors,
+          count(*) FILTER (event_id % 7 = 0) AS miss,
+          count(*) FILTER (event_id % 7 <> 0 AND event_id % 11 = 0) AS ref_remain,
+          count(*) AS decoded, count(*) FILTER (event_id % 7 <> 0) AS reference FROM ticks
+        """,
+    )
+)
+def verify_ticks(spark, sf_dir):
+    """Decoded ticks against a vendor file that lacks rows and has other prices."""
+    made = fixtures.tick_projection(spark, sf_dir)
+    decoded = ticks.valid_ticks(ticks.decode_ticks(fixtures.tick_frames(made)))
+    price = F.when(F.col("event_id") % 11 == 0, F.col("price_e3") + 1).otherwise(F.col("price_e3"))
+    folder = scratch_dir(spark, "vendor")
+    tables.write_ticks(made.filter(F.col("event_id") % 7 != 0).withColumn("price_e3", price), folder, "csv")
+    return jobs.verify_to(decoded, tables.read_ticks_csv(spark, folder), scratch_dir(spark, "verified"))
+
+
+@query(sql.with_(sql.TICKS, f"SELECT {sql.TICK_FIELDS} FROM ticks"))
+def stream_ticks_deduped(spark, sf_dir):
+    """Every tick is captured twice and leaves the stream once."""
+    folder = capture(spark, sf_dir, "step")
+    sink, checkpoint = scratch_dir(spark, "stream-deduped"), scratch_dir(spark, "stream-state")
+    stream = streaming.decode_stream(spark, folder, "cap", RULES, port=9129, dedup_delay="400 days")
+    streaming.run_available(stream.select(*TICK_FIELDS), sink, checkpoint)
+    return spark.read.parquet(sink)

@@ -5,10 +5,13 @@ packet. ``capture_seq`` is the byte position of the record in its segment: uniqu
 within a file, and the same however the read is split.
 """
 
+import json
 import struct
 import uuid
+import warnings
 
 import pyarrow as pa
+from pyarrow.fs import FileType
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
@@ -42,6 +45,17 @@ def segment_name(prefix, number):
     return f"{prefix}_{number:06d}.bin"
 
 
+def segment_numbers(folder, prefix):
+    """{number: size} of the segments that are there."""
+    found, _ = sizes(folder)
+    head = f"{prefix}_"
+    return {
+        int(n[len(head) : -4]): size
+        for n, size in found.items()
+        if n.startswith(head) and n.endswith(".bin") and n[len(head) : -4].isdigit()
+    }
+
+
 def contiguous_segments(folder, prefix, first=1):
     """[(number, size)] from ``first`` up to the first missing one."""
     found, _ = sizes(folder)
@@ -90,18 +104,42 @@ def read_records(folder, name, start, end):
         blocks.close()
 
 
+def record_walk(folder, name):
+    """(records, end of the last whole record, size) of one segment."""
+    store, base = resolve(folder)
+    size = store.get_file_info(f"{base}/{name}").size
+    records, end = 0, 0
+    for _, pos, _, packet in read_records(folder, name, 0, size):
+        records, end = records + 1, pos + RECORD.size + len(packet)
+    return records, end, size
+
+
 class SegmentPart(InputPartition):
     def __init__(self, name, start, end):
         self.name, self.start, self.end = name, start, end
 
 
 class SegmentReader(DataSourceReader):
+    """Segments from the lowest number that is there; earlier ones may have been read and removed.
+
+    At a hole in the numbers reading stops with a warning (``holes`` = "stop"), fails ("error") or
+    goes on ("skip"); ``segment_report`` lists what lies behind a hole.
+    """
+
     def __init__(self, options):
         self.folder, self.prefix = options["path"], options["prefix"]
+        self.holes = options.get("holes", "stop")
 
     def partitions(self):
-        found = contiguous_segments(self.folder, self.prefix)
-        parts = [SegmentPart(segment_name(self.prefix, n), 0, size) for n, size in found]
+        found = segment_numbers(self.folder, self.prefix)
+        missing = sorted(set(range(min(found, default=0), max(found, default=0))) - set(found))
+        if missing and self.holes != "skip":
+            message = f"segments of {self.prefix} are missing from number {missing[0]} on"
+            if self.holes == "error":
+                raise ValueError(message)
+            warnings.warn(message, stacklevel=2)
+            found = {n: size for n, size in found.items() if n < missing[0]}
+        parts = [SegmentPart(segment_name(self.prefix, n), 0, found[n]) for n in sorted(found)]
         return parts or [SegmentPart(None, 0, 0)]
 
     def read(self, part):
@@ -124,14 +162,7 @@ class SegmentStreamReader(DataSourceStreamReader):
         return {"segment": 1, "pos": 0}
 
     def _lowest(self):
-        found, _ = sizes(self.folder)
-        head = f"{self.prefix}_"
-        numbers = [
-            int(n[len(head) : -4])
-            for n in found
-            if n.startswith(head) and n.endswith(".bin") and n[len(head) : -4].isdigit()
-        ]
-        return min(numbers, default=1)
+        return min(segment_numbers(self.folder, self.prefix), default=1)
 
     def _whole_until(self, number, size):
         """End of the last whole record of the open segment, walked on from the last call."""
@@ -220,12 +251,20 @@ class SegmentWriter(DataSourceArrowWriter):
         return WrittenParts(task.partitionId(), names, records, dropped)
 
     def commit(self, messages):
+        """Numbers go on from the highest segment there; packets too long for a record are counted."""
         store, base = resolve(self.folder)
-        number = 1
-        for message in sorted((m for m in messages if m), key=lambda m: m.partition):
+        written = sorted((m for m in messages if m), key=lambda m: m.partition)
+        number = max(segment_numbers(self.folder, self.prefix), default=0) + 1
+        for message in written:
             for name in message.names:
-                store.move(f"{base}/{name}", f"{base}/{segment_name(self.prefix, number)}")
+                target = f"{base}/{segment_name(self.prefix, number)}"
+                if store.get_file_info(target).type != FileType.NotFound:
+                    raise FileExistsError(target)
+                store.move(f"{base}/{name}", target)
                 number += 1
+        report = {"records": sum(m.records for m in written), "dropped": sum(m.dropped for m in written)}
+        with store.open_output_stream(f"{base}/{self.prefix}.write-{uuid.uuid4().hex}.json") as out:
+            out.write(json.dumps(report).encode())
 
     def abort(self, messages):
         store, base = resolve(self.folder)
@@ -252,9 +291,40 @@ class SegmentSource(DataSource):
         return SegmentWriter(self.options)
 
 
-def read_segments(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+def read_segments(spark: SparkSession, folder: str, prefix: str, holes: str = "stop") -> DataFrame:
     spark.dataSource.register(SegmentSource)
-    return spark.read.format("capseg").option("path", folder).option("prefix", prefix).load()
+    reader = spark.read.format("capseg").option("path", folder).option("prefix", prefix)
+    return reader.option("holes", holes).load()
+
+
+def segment_report(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+    """(file, records, whole_bytes, lost_bytes, behind_hole) of each segment.
+
+    What follows a bad or cut record is lost; segments behind a hole in the numbers are not read by default.
+    """
+    numbers = sorted(segment_numbers(folder, prefix))
+    names = [segment_name(prefix, n) for n in numbers]
+    behind = {segment_name(prefix, n) for i, n in enumerate(numbers) if n != numbers[0] + i}
+    listed = spark.createDataFrame([(n,) for n in names], "file string")
+
+    def walk(batches):
+        for b in batches:
+            rows = [(n, *record_walk(folder, n)) for n in b.column(0).to_pylist()]
+            cols = list(zip(*rows)) if rows else [(), (), (), ()]
+            lost = [size - end for size, end in zip(cols[3], cols[2])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in (cols[1], cols[2], lost)], pa.array([n in behind for n in cols[0]], pa.bool_())],
+                ["file", "records", "whole_bytes", "lost_bytes", "behind_hole"],
+            )
+
+    spread = listed.repartition(max(len(names), 1), "file")
+    return spread.mapInArrow(walk, "file string, records long, whole_bytes long, lost_bytes long, behind_hole boolean")
+
+
+def write_report(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+    """One row per finished write: records written and packets dropped as too long for a record."""
+    files = f"{folder.rstrip('/')}/{prefix}.write-*.json"
+    return spark.read.schema("records long, dropped long").json(files)
 
 
 def stream_segments(

@@ -18,6 +18,7 @@ from quotemill.operators.framing import StepFrames, _magics, _walk
 from quotemill.operators.packets import FLOW, parse_packets, tcp_with_payload
 from quotemill.operators.reassembly import GAP, INIT, RETRANSMIT, replay
 from quotemill.operators.routing import route
+from quotemill.operators.snapshots import decode_snapshots
 from quotemill.operators.ticks import decode_ticks
 from quotemill.schemas import schema
 from quotemill.sources.segments import stream_segments
@@ -110,16 +111,43 @@ def frame_stream(packets: DataFrame, port: int = 0) -> DataFrame:
     return reassemble_stream(tcp_with_payload(filter_ports(parse_packets(packets), port)))
 
 
-def decode_stream(spark: SparkSession, folder: str, prefix: str, rules, port: int = 0) -> DataFrame:
-    """Ticks of landed and growing segments."""
+# What each decoded output is made of: frame type, decoder, keys of a repeated record.
+OUTPUTS = {
+    "ticks": ((9, 5803), decode_ticks, ["channel", "biz_index"]),
+    "snapshots": ((6, 3202), decode_snapshots, ["security_id", "tick_time"]),
+}
+
+
+def decode_stream(
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    rules,
+    port: int = 0,
+    output: str = "ticks",
+    dedup_delay: str | None = None,
+) -> DataFrame:
+    """Ticks or snapshots of landed and growing segments (T1), each decoded from its own frames only.
+
+    With ``dedup_delay`` the first valid arrival of a record is kept in the stream; copies come in
+    within that time of capture.
+    """
+    (category, kind), decode, keys = OUTPUTS[output]
     events = frame_stream(stream_segments(spark, folder, prefix), port)
-    frames = events.filter(F.col("kind") == "frame")
-    return decode_ticks(route(frames.drop("kind", "n_bytes"), rules))
+    frames = events.filter(F.col("kind") == "frame").drop("kind", "n_bytes", "frame_reject")
+    routed = route(frames, rules)
+    rows = decode(routed.filter((F.col("category_id") == category) & (F.col("msg_type") == kind)))
+    if dedup_delay is None:
+        return rows
+    timed = rows.filter(F.col("reject_reason").isNull()).withColumn(
+        "arrived", F.timestamp_micros(F.call_function("div", F.col("ts_ns"), F.lit(1000)))
+    )
+    return dedup_stream(timed, keys, "arrived", dedup_delay).drop("arrived")
 
 
-def dedup_stream(ticks: DataFrame, keys, ts: str, delay: str) -> DataFrame:
+def dedup_stream(rows: DataFrame, keys, ts: str, delay: str) -> DataFrame:
     """First arrival per key; the watermark bounds the state."""
-    return ticks.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def publish_batches(
@@ -136,9 +164,11 @@ def publish_batches(
     )
 
 
-def run_available(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int = 600) -> None:
-    """Process everything that is there, then stop (T5)."""
+def run_available(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int | None = None) -> None:
+    """Process everything that is there, then stop (T5); without ``timeout_s`` however long it takes."""
     query = publish_batches(stream, sink, checkpoint, {"availableNow": True})
-    if not query.awaitTermination(timeout_s):
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream still running after {timeout_s} s")

@@ -1,6 +1,8 @@
 """Vectorised codecs against one-record-at-a-time readings of the same bytes."""
 
 import random
+
+import pytest
 import struct
 
 import numpy as np
@@ -347,33 +349,46 @@ def test_packet_headers_match_plain_reading():
         assert got == want, frame.hex()
 
 
-def plain_split(data, tid=b"\x2d\xab", min_gap=4):
-    at, i = [], 1
-    while i + 1 < len(data):
-        if data[i : i + 2] == tid and data[i - 1] & 0x80 and (not at or i - at[-1] >= min_gap + 2):
-            at.append(i)
-            i += 2
-        else:
-            i += 1
-    starts = []
-    for k, t in enumerate(at):
-        s, floor = t - 1, at[k - 1] + 1 if k else -1
-        while s - 1 > floor and not data[s - 1] & 0x80:
-            s -= 1
-        starts.append(s)
-    ends = starts[1:] + [len(data)]
-    return [(s, t, e) for s, t, e in zip(starts, at, ends)]
-
-
-def test_template_split_matches_plain_scan():
-    rng = random.Random(4)
-    alphabet = [0x2D, 0xAB, 0x81, 0x05, 0x80, 0x33, 0xD3]
-    payloads = [bytes(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
-    _, off, row, number, start, at, end = records.find_records(pa.array(payloads, pa.binary()), b"\x2d\xab", 4)
-    got = {}
+def split(payloads, tid=b"\x2d\xab", min_gap=4):
+    """Per payload: [(number, start, template place, end)] as offsets into it."""
+    _, off, row, number, start, at, end = records.find_records(pa.array(payloads, pa.binary()), tid, min_gap)
+    out = [[] for _ in payloads]
     for r, n, s, t, e in zip(row.tolist(), number.tolist(), start.tolist(), at.tolist(), end.tolist()):
         base = int(off[r])
-        got.setdefault(r, []).append((s - base, t - base, e - base))
-        assert n == len(got[r]) - 1
-    for i, p in enumerate(payloads):
-        assert got.get(i, []) == plain_split(p), p.hex()
+        out[r].append((n, s - base, t - base, e - base))
+    return out
+
+
+def test_template_split_finds_encoded_records():
+    """Records are made with known boundaries: a presence map ending in a stop byte, the template word, a body."""
+    rng = random.Random(4)
+    payloads, want = [], []
+    for _ in range(400):
+        data, records_here = b"", []
+        for n in range(rng.randint(1, 6)):
+            head = bytes(rng.randrange(1, 0x2D) for _ in range(rng.randint(0, 3))) + bytes([0x80 | rng.randrange(0x20)])
+            body = bytes(0x80 | rng.randrange(0x20) if rng.random() < 0.4 else rng.randrange(0x2D) for _ in range(rng.randint(4, 30)))
+            body += bytes([0x80 | rng.randrange(0x20)])
+            begin = len(data)
+            data += head + b"\x2d\xab" + body
+            records_here.append((n, begin, begin + len(head)))
+        ends = [r[1] for r in records_here[1:]] + [len(data)]
+        payloads.append(data)
+        want.append([(*r, e) for r, e in zip(records_here, ends)])
+    assert split(payloads) == want
+
+
+@pytest.mark.parametrize(
+    ("data", "want"),
+    [
+        ("", []),
+        ("2dab", []),  # no presence map before the template
+        ("052dab81", []),  # the byte before has no stop bit
+        ("812dab", [(0, 0, 1, 3)]),
+        ("05812dab8181", [(0, 0, 2, 6)]),
+        ("812dab812dab", [(0, 0, 1, 6)]),  # too close to the record before
+        ("812dab0505050581812dab81", [(0, 0, 1, 8), (1, 8, 9, 12)]),
+    ],
+)
+def test_template_split_by_hand(data, want):
+    assert split([bytes.fromhex(data)]) == [want]

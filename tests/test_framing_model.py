@@ -159,4 +159,5 @@ def test_large_frame_is_not_lost():
     packets = [(i, data[i : i + 60000]) for i in range(0, len(data), 60000)]
     _, frames, _ = blockwise(packets, StepFrames, 4)
     assert frames == [data]
-    assert StepFrames.parse(data)[-1] == body
+    named = dict(zip([f.name for f in StepFrames.fields], StepFrames.parse(data)))
+    assert named["payload"] == body and named["frame_reject"] is None

@@ -99,73 +99,52 @@ def test_field_texts(spark):
     ]
 
 
-def plain_status(body):
-    def token(at):
-        v = 0
-        for i in range(at, len(body)):
-            v = v << 7 | body[i] & 0x7F
-            if body[i] & 0x80:
-                return v, i + 1 - at
-        return 0, 0
-
-    def is_id(p):
-        return (
-            p + 6 <= len(body)
-            and all(0x30 <= b <= 0x39 for b in body[p : p + 5])
-            and 0xB0 <= body[p + 5] <= 0xB9
-        )
-
-    at, prefix = 0, []
-    for _ in range(4):
-        if at >= len(body) or is_id(at):
-            break
-        v, n = token(at)
-        if not n:
-            return [], None, [], None, None
-        prefix.append(v)
-        at += n
-    if len(prefix) > 3 or not is_id(at):
-        return [], None, [], None, None
-    sec = body[at : at + 5].decode() + chr(body[at + 5] & 0x7F)
-    at, end, trailer, status = at + 6, len(body), None, None
-    if end > at and not body[end - 1] & 0x80:
-        end -= 1
-        trailer = body[end]
-    stop = end
-    if end > at and body[end - 1] & 0x80 and 0x20 <= body[end - 1] & 0x7F <= 0x7E:
-        i = end - 2
-        while i >= at and 0x20 <= body[i] <= 0x7E:
-            i -= 1
-        stop = i + 1
-        status = body[stop : end - 1].decode() + chr(body[end - 1] & 0x7F)
-    mid = []
-    while at < stop:
-        v, n = token(at)
-        if not n or at + n > stop:
-            break
-        mid.append(v)
-        at += n
-    return prefix, sec, mid, status, trailer
+def stop_bit(value):
+    """A number as 7-bit groups, the last one with the stop bit."""
+    groups = [value & 0x7F | 0x80]
+    while value := value >> 7:
+        groups.append(value & 0x7F)
+    return bytes(reversed(groups))
 
 
-def test_status_records_match_plain_reading(spark):
-    rng = random.Random(8)
+def stop_text(text):
+    return text[:-1].encode() + bytes([ord(text[-1]) | 0x80])
 
-    def number():
-        return bytes(rng.randrange(128) for _ in range(rng.randint(0, 3))) + bytes([128 + rng.randrange(128)])
-
-    bodies = []
-    for _ in range(800):
-        body = b"".join(number() for _ in range(rng.randint(0, 4)))
-        if rng.random() < 0.9:
-            body += b"60088" + bytes([0xB0 + rng.randint(0, 9)])
-        body += b"".join(number() for _ in range(rng.randint(0, 3)))
-        body += rng.choice([b"SUS\xd0", b"\xd3", b"", b"STAR\xd4"]) + rng.choice([b"", b"H", b"\x01"])
-        bodies.append(body)
-    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(bodies)], "i int, body binary")
+
+def test_status_records_read_back_what_was_encoded(spark):
+    """Fields are chosen, encoded and expected back; numbers stay outside the letters of a status."""
+    rng = random.Random(8)
+    cases = []
+    for _ in range(400):
+        prefix = [rng.choice([0, 5, 1000, 70_000, 2**40]) for _ in range(rng.randint(0, 3))]
+        middle = [rng.choice([1, 9, 2**13, 2**62]) for _ in range(rng.randint(0, 2))] + [3]
+        status = rng.choice([None, "SUSP", "START", "T"])
+        trailer = rng.choice([None, 1, 72])
+        sec = f"60088{rng.randint(0, 9)}"
+        body = b"".join(map(stop_bit, prefix)) + stop_text(sec) + b"".join(map(stop_bit, middle))
+        body += (stop_text(status) if status else b"") + (bytes([trailer]) if trailer is not None else b"")
+        cases.append((body, (prefix, sec, middle, status, trailer, False)))
+    df = spark.createDataFrame([(i, bytearray(b)) for i, (b, _) in enumerate(cases)], "i int, body binary")
     for r in records.status_records(df).collect():
-        got = (r["prefix_ints"], r["sec_id"], r["mid_ints"], r["status"], r["trailer"])
-        assert got == plain_status(bodies[r["i"]]), bodies[r["i"]].hex()
+        got = (r.prefix_ints, r.sec_id, r.mid_ints, r.status, r.trailer, r.overflow)
+        assert got == cases[r.i][1], cases[r.i][0].hex()
+
+
+def test_status_records_by_hand(spark):
+    wide = "7f" * 9 + "ff"
+    cases = {
+        "": ([], None, [], None, None, False),
+        "81": ([], None, [], None, None, False),  # no id
+        "8182838436303038b83030b081": ([], None, [], None, None, False),  # four numbers before the id
+        "3630303838b0": ([], "600880", [], None, None, False),
+        "813630303838b083" + "53d4" + "48": ([1], "600880", [3], "ST", 72, False),
+        wide + "3630303838b083": ([None], "600880", [3], None, None, True),
+        "00" * 12 + "85" + "3630303838b083": ([5], "600880", [3], None, None, False),
+    }
+    df = spark.createDataFrame([(k, bytearray(bytes.fromhex(k))) for k in cases], "k string, body binary")
+    for r in records.status_records(df).collect():
+        assert (r.prefix_ints, r.sec_id, r.mid_ints, r.status, r.trailer, r.overflow) == cases[r.k], r.k
+
 
 
 FLOW_ROW = (
