@@ -2,8 +2,8 @@
 
 A turn is ``[open] role [colon] text [close]``; role and text are encoded separately, and the marks
 are reserved ids above the vocabulary, spliced between the segments, so no content can produce them. In
-the written form the marks are the control strings of MARKS; wherever one occurs inside content it
-is escaped by a backslash, as is a backslash, and reading takes the escapes away again. The loss
+the written form the marks are the control strings of MARKS; inside content the character that a
+mark needs is escaped by a backslash, as is a backslash, so no mark stands there, and reading takes the escapes away again. The loss
 mask of a turn is the range of its text tokens if the role is LOSS_ROLE. Places in the token stream of a
 conversation are prefix sums of segment lengths, in blocks of turns, so a conversation of any length
 is spread over tasks.
@@ -28,7 +28,7 @@ OPEN, COLON, CLOSE = "### ", ": ", " </turn>\n"
 MARKS = (OPEN, COLON, CLOSE)
 LOSS_ROLE = "assistant"
 BLOCK_TURNS = 256
-_CONTROL = re.compile("|".join([r"\\", *(re.escape(x) for x in ("###", "</turn>", ": "))]))
+_CONTROL = re.compile(r"[\\#<:]")  # every mark holds one of these
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
