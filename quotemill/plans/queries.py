@@ -1295,17 +1295,14 @@ def type_counts(spark, sf_dir):
 
 # ---- sequence checks and samples ----------------------------------------------------------------
 
+
 def with_line_blocks(lines):
-    """Add block columns that coarsen the line order: shipping day, then a range of parts."""
-    return lines.withColumns(
-        {
-            "block_day": F.datediff("l_shipdate", F.lit("1970-01-01")),
-            "block_part": block_of(F.col("l_partkey"), 256),
-        }
-    )
+    """Add a block column that coarsens the line order: the month of shipping."""
+    return lines.withColumn("block_month", F.trunc("l_shipdate", "month"))
+
 
+LINE_BLOCK = ["block_month"]
 
-LINE_BLOCK = ["block_day", "block_part"]
 
 @query(
     f"""
