@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, brown, bwt_dedup, chat, fmindex, fuzzy_lines, licences, quality, superminhash, wavelet
+from quotemill.llm import bpe, brown, bwt_dedup, chat, fmindex, fuzzy_lines, licences, quality, sqltext, superminhash, wavelet
 from quotemill.llm.common import table
 
 DIGEST_BITS = 256
@@ -91,4 +91,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_brown": op1_brown, "op2_superminhash": op2_superminhash, "op3_fuzzy_lines": op3_fuzzy_lines, "op4_wavelet": op4_wavelet, "op5_bwt_dedup": op5_bwt_dedup, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
-ORACLES: dict[str, str] = {"op7_licences": licences.duckdb_sql()}
+ORACLES: dict[str, str] = {
+    "op6_fmindex": sqltext.contamination(),
+    "op7_licences": licences.duckdb_sql(),
+    "op8_quality": sqltext.judged(),
+}
