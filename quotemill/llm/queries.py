@@ -92,7 +92,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_brown": op1_brown, "op2_superminhash": op2_superminhash, "op3_fuzzy_lines": op3_fuzzy_lines, "op4_wavelet": op4_wavelet, "op5_bwt_dedup": op5_bwt_dedup, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {
+    "op2_superminhash": sqltext.near_duplicates(2),
     "op6_fmindex": sqltext.contamination(),
     "op7_licences": licences.duckdb_sql(),
     "op8_quality": sqltext.judged(),
+    "op9_chat": sqltext.chat_digests(),
 }
