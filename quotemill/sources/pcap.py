@@ -9,6 +9,7 @@ record, so if all checks pass all starts are right; if one fails the job stops a
 
 import struct
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -24,7 +25,8 @@ SPLIT_BYTES = 128 << 20
 PROBE_BYTES = 64 << 10
 PROBE_RECORDS = 12
 # Longest run of PROBE_RECORDS records, read past the end of a split when needed.
-TAIL_BYTES = PROBE_RECORDS * (262144 + 16)
+MAX_RECORD = 262144
+TAIL_BYTES = PROBE_RECORDS * (MAX_RECORD + RECORD_BYTES)
 DAY = 86400
 
 
@@ -37,26 +39,40 @@ def layout(head):
     return ">", False
 
 
-def _plausible(head, first_s, nanos):
-    sec, frac, caplen, origlen = head
-    return (
-        abs(sec - first_s) <= 7 * DAY
-        and frac < (10**9 if nanos else 10**6)
-        and 0 < caplen <= origlen <= 262144
+def _candidates(data, endian, nanos):
+    """Offsets whose 16 bytes look like a record header, for all offsets at once."""
+    raw = np.frombuffer(data, np.uint8).astype(np.uint32)
+    n = len(raw) - RECORD_BYTES + 1
+
+    def field(at):
+        order = range(4) if endian == "<" else range(3, -1, -1)
+        return sum((raw[at + k : at + k + n] << np.uint32(8 * i)) for i, k in enumerate(order))
+
+    sec, frac, caplen, origlen = (field(4 * i) for i in range(4))
+    return np.flatnonzero(
+        (sec > 0) & (frac < (10**9 if nanos else 10**6)) & (caplen <= origlen) & (origlen <= MAX_RECORD)
     )
 
 
-def _record_start(data, span, record, first_s, nanos):
-    """First offset below ``span`` that starts PROBE_RECORDS plausible records in a row."""
-    for at in range(min(span, len(data) - RECORD_BYTES)):
-        pos = at
+def _record_start(data, span, record, endian, nanos):
+    """First offset below ``span`` that starts PROBE_RECORDS header-like places in a row.
+
+    Times of neighbours are within DAY; how far they are from the start of the file does not matter.
+    Empty records are allowed, all-zero headers are not.
+    """
+    if len(data) < RECORD_BYTES:
+        return None
+    found = _candidates(data, endian, nanos)
+    likely = set(found.tolist())
+    for at in found[: np.searchsorted(found, min(span, len(data) - RECORD_BYTES))].tolist():
+        pos, last = at, None
         for _ in range(PROBE_RECORDS):
-            if pos + RECORD_BYTES > len(data):
+            if pos not in likely:
                 break
-            head = record.unpack_from(data, pos)
-            if not _plausible(head, first_s, nanos):
+            sec, _, caplen, _ = record.unpack_from(data, pos)
+            if last is not None and abs(sec - last) > DAY:
                 break
-            pos += RECORD_BYTES + head[2]
+            pos, last = pos + RECORD_BYTES + caplen, sec
         else:
             return at
     return None
@@ -85,7 +101,7 @@ class PcapReader(DataSourceReader):
     def read(self, part):
         return packet_batches(self._records(part)) if part.name else iter(())
 
-    def _start(self, f, number, record, first_s, nanos):
+    def _start(self, f, number, record, endian, nanos):
         """First record of a split, None when the split has none."""
         if number == 0:
             return GLOBAL_BYTES
@@ -93,7 +109,7 @@ class PcapReader(DataSourceReader):
         while True:
             f.seek(point)
             data = f.read(min(window, self.split + TAIL_BYTES))
-            at = _record_start(data, min(window, self.split), record, first_s, nanos)
+            at = _record_start(data, min(window, self.split), record, endian, nanos)
             if at is not None:
                 return point + at
             if len(data) < window or window >= self.split + TAIL_BYTES:
@@ -108,13 +124,12 @@ class PcapReader(DataSourceReader):
             record = struct.Struct(endian + "IIII")
             if len(head) < GLOBAL_BYTES + RECORD_BYTES:
                 return
-            first_s = record.unpack(head[GLOBAL_BYTES:])[0]
-            start = self._start(f, part.number, record, first_s, nanos)
+            start = self._start(f, part.number, record, endian, nanos)
             if start is None:
                 return
             stop, last = None, part.size // self.split if self.split else 0
             for number in range(part.number + 1, last + 1):
-                stop = self._start(f, number, record, first_s, nanos)
+                stop = self._start(f, number, record, endian, nanos)
                 if stop is not None:
                     break
         blocks = Blocks(store, part.path, start, stop or part.size)

@@ -1,6 +1,7 @@
 """Sources, the whole capture path and streaming."""
 
 import os
+import random
 import struct
 
 import pytest
@@ -77,6 +78,42 @@ def test_pcap_layouts_and_splits(spark, tmp_path, nanos, endian):
     assert values(whole, "file", "capture_seq") == values(split, "file", "capture_seq")
 
 
+def test_pcap_over_a_month_with_empty_records(spark, tmp_path):
+    rng = random.Random(3)
+    data = struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1)
+    for i in range(2000):
+        body = rng.randbytes(rng.choice([0, 0, 20, 200])) + bytes(rng.choice([0, 40]))
+        data += struct.pack("<IIII", 1_700_000_000 + i * 1500, i % 10**6, len(body), len(body)) + body
+    (tmp_path / "month.pcap").write_bytes(data)
+    columns = ["file", "capture_seq", "ts_ns", "frame"]
+    whole = pcap.read_pcap(spark, str(tmp_path), split_bytes=0).select(*columns)
+    split = pcap.read_pcap(spark, str(tmp_path), split_bytes=30_000).select(*columns)
+    assert split.rdd.getNumPartitions() > 3
+    filled = {i for i, n in enumerate(split.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()) if n}
+    assert len(filled) > 3
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect())) and whole.count() == 2000
+
+
+def test_segments_append_and_holes(spark, tmp_path):
+    rows = [("m", i, i, bytearray(b"x" * 50)) for i in range(40)]
+    packets = spark.createDataFrame(rows, "file string, capture_seq long, ts_ns long, frame binary").coalesce(1)
+    folder = str(tmp_path / "seg")
+    segments.write_segments(packets, folder, "cap", max_bytes=500)
+    segments.write_segments(packets.limit(3), folder, "cap")
+    assert segments.read_segments(spark, folder, "cap").count() == 43
+    numbers = sorted(segments.segment_numbers(folder, "cap"))
+    assert numbers == list(range(1, numbers[-1] + 1))
+    (tmp_path / "seg" / segments.segment_name("cap", 1)).unlink()
+    first = segments.segment_report(spark, folder, "cap").agg({"records": "sum"}).first()[0]
+    assert segments.read_segments(spark, folder, "cap").count() == first > 0
+    (tmp_path / "seg" / segments.segment_name("cap", 4)).unlink()
+    left = segments.segment_report(spark, folder, "cap").collect()
+    assert sum(r.behind_hole for r in left) == numbers[-1] - 4
+    assert segments.read_segments(spark, folder, "cap", holes="skip").count() == sum(r.records for r in left)
+    with pytest.raises(Exception, match="missing from number 4"):
+        segments.read_segments(spark, folder, "cap", holes="error").count()
+
+
 def test_pcap_stops_at_cut_record_and_filters_ports(spark, tmp_path):
     head = struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1)
     frame = fixtures.tcp_frame(bytes(4), 9129, bytes(4), 1, 5, b"hello")
