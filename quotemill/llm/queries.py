@@ -26,7 +26,7 @@ def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     shards = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
-    read = wavelet.read_documents(shards).withColumn("ids_crc32", wavelet.crc32_column("ids"))
+    read = wavelet.read_documents(shards).withColumn("ids_crc32", F.crc32("ids"))
     start = (F.col("first") + F.col("at")).alias("start")
     narrow = read.select("part", "seq", "doc_id", "at", "n_tokens", "ids_crc32")
     return narrow.join(wavelet.shard_starts(shards), ["part", "seq"]).select("doc_id", start, "n_tokens", "ids_crc32")

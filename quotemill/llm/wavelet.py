@@ -12,7 +12,6 @@ own; an empty table gives no shards.
 """
 
 import re
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -287,7 +286,3 @@ def token_places(shards: DataFrame, token_ids: list[int]) -> DataFrame:
 
     return shards.select("part", "seq", "file").mapInArrow(run, "part int, seq int, token long, place long")
 
-
-def crc32_column(ids):
-    """Unsigned crc32 of the bytes of a binary column."""
-    return F.arrow_udf(lambda c: pa.array([None if x is None else zlib.crc32(x) for x in c.to_pylist()], pa.int64()), "long")(ids)
