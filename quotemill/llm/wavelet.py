@@ -27,7 +27,7 @@ from quotemill.llm.common import space_chunks, stage
 
 MAGIC = b"QMWM"
 SHARD_TOKENS = 1 << 21
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 1_200_000  # about 200 MB
 _INNER_SPACE = re.compile(r".\s|^\s*$|^[^\S ]", re.DOTALL).search
 
 
