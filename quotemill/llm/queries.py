@@ -52,7 +52,7 @@ def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), wrapped=None)
     ids = F.concat_ws(" ", F.concat(F.array(F.lit("")), F.col("sentence_ids")))
     return found.select(
         "doc_id",
