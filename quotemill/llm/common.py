@@ -73,3 +73,11 @@ def slices(batch: pa.RecordBatch, text: str, limit: int):
     for a, b in zip([0, *cuts], [*cuts, len(sizes)], strict=True):
         if b > a:
             yield batch.slice(a, b - a)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores added as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -4,7 +4,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, brown, bwt_dedup, chat, fmindex, fuzzy_lines, licences, quality, sqltext, superminhash, wavelet
+from quotemill.llm import (
+    bpe,
+    brown,
+    bwt_dedup,
+    chat,
+    fmindex,
+    fuzzy_lines,
+    hardneg,
+    licences,
+    periodic,
+    quality,
+    sqltext,
+    superminhash,
+    urlfilter,
+    wavelet,
+)
 from quotemill.llm.common import table
 
 DIGEST_BITS = 256
@@ -90,11 +105,47 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_brown": op1_brown, "op2_superminhash": op2_superminhash, "op3_fuzzy_lines": op3_fuzzy_lines, "op4_wavelet": op4_wavelet, "op5_bwt_dedup": op5_bwt_dedup, "op6_fmindex": op6_fmindex, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op11_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    index = urlfilter.build_index(spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+    return urlfilter.judge_urls(pages, index).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.repeat_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("size"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.size")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.size") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), DIGEST_BITS).alias("runs_sha256"),
+        F.sha2("collapsed", DIGEST_BITS).alias("collapsed_sha256"),
+    )
+
+
+def op13_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hardneg.mine(rows.withColumn("label", moved))
+
+
+_ALL = [op1_brown, op2_superminhash, op3_fuzzy_lines, op4_wavelet, op5_bwt_dedup, op6_fmindex, op7_licences, op9_chat, op8_quality, op10_bpe, op11_urlfilter, op12_periodic, op13_hardneg]
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {
     "op2_superminhash": sqltext.near_duplicates(2),
     "op6_fmindex": sqltext.contamination(),
     "op7_licences": licences.duckdb_sql(),
     "op8_quality": sqltext.judged(),
     "op9_chat": sqltext.chat_digests(),
+    "op11_urlfilter": sqltext.judged_urls(URL_RULES),
+    "op13_hardneg": sqltext.hard_negatives(),
 }

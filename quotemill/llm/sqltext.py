@@ -119,3 +119,51 @@ def near_duplicates(width: int) -> str:
         sizes AS (SELECT doc_id, count(*) AS n FROM cut GROUP BY 1)
         SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM least_of LEFT JOIN sizes USING (doc_id)""")
+
+
+def judged_urls(rules: list[tuple[str, str, str]]) -> str:
+    """Host, path, longest rule and verdict of every page."""
+    listed = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rules)
+    return f"""
+with cut as (
+  select page_id, url, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+), named as (
+  select page_id, url,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from cut
+), rules(rule_host, rule_path, says) as (values {listed}
+), fitting as (
+  select distinct host, path, rule_host || rule_path as rule, says,
+    row_number() over (partition by host, path order by length(rule_host || rule_path) desc, length(rule_host) desc) as k
+  from (select distinct host, path from named) join rules
+    on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+)
+select page_id, n.host, n.path, rule, coalesce(says, 'allow') as verdict
+from named n left join fitting f on n.host = f.host and n.path = f.path and k = 1"""
+
+
+def hard_negatives() -> str:
+    """Inner products of whole numbers over all pairs of an anchor and a row."""
+    return """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (((label + 1) % 10) + 10) % 10 else label end as label,
+    list_transform(embedding, x -> floor(256 * x::double)) as codes
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+    cast(list_sum(list_transform(list_zip(a.codes, b.codes), z -> coalesce(z[1], 0) * coalesce(z[2], 0))) as bigint) as score
+  from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from (
+    select *, row_number() over (partition by anchor_id order by score desc, other_id) as k from scored where same
+  ) where k <= 5
+), negatives as (
+  select p.*, s.other_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.other_id) as rank
+  from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+    and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from negatives where rank <= 10"""
