@@ -148,13 +148,13 @@ def hard_negatives() -> str:
     return """
 with rows as (
   select vec_id, case when vec_id % 7 = 0 then (((label + 1) % 10) + 10) % 10 else label end as label,
-    list_transform(embedding, x -> floor(256 * x::double)) as codes
+    list_transform(embedding, lambda x: floor(256 * x::double)) as codes
   from embeddings
   where vec_id is not null and label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
-    cast(list_sum(list_transform(list_zip(a.codes, b.codes), z -> coalesce(z[1], 0) * coalesce(z[2], 0))) as bigint) as score
+    cast(list_sum(list_transform(list_zip(a.codes, b.codes), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))) as bigint) as score
   from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
 ), positives as (
   select anchor_id, other_id as positive_id, score as positive_score from (
