@@ -2,15 +2,15 @@
 
 The bytes a flow accepts between two gaps form one stream, and a frame ends where its header says.
 So what a block of packets does to the resume position is again a step function of the position it
-starts with. Blocks are summarised in parallel (``_summarise``), the small summaries of a flow are
-chained (``_chain``), and every block then cuts its own frames (``_cut``). A frame that runs past
-its block leaves parts, which meet in a group bounded by the 16 MB frame limit.
+starts with. Blocks are summarised in parallel (``_summarise``), every block is told the few bytes that
+follow it, the functions of a flow are composed in a tree (``folds``), and every block then cuts its
+own frames (``_cut``), once: what it finds is written by kind and read by all that follows. A frame
+that runs past its block leaves parts, which meet in a group bounded by the 16 MB frame limit.
 """
 
 import struct
 import zlib
 from bisect import bisect_left
-from itertools import groupby
 from operator import itemgetter
 
 import pandas as pd
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quotemill.operators.folds import WIDTH, states_before
 from quotemill.operators.packets import FLOW
 from quotemill.operators.reassembly import (
     BLOCK,
@@ -31,13 +32,13 @@ from quotemill.operators.reassembly import (
     by_flow,
     expected_carry,
     flow_slices,
-    fold_blocks,
     reassemble_by_offset,
     replay,
     rows_table,
     with_blocks,
 )
 from quotemill.schemas import schema
+from quotemill.session import staged
 
 MAX_FRAME = 16 * 1024 * 1024
 LOOKAHEAD = 64
@@ -263,63 +264,152 @@ def _summarise(pieces, proto):
     )
 
 
-def _with_lookahead(blocks):
-    """(block, up to LOOKAHEAD bytes that follow it in the same stream), in order.
+def _seen_by_previous(ahead, row):
+    """The bytes that the block before ``row`` sees behind its end; ``ahead`` is what ``row`` sees."""
+    if not row["continues"]:
+        return b""
+    return (row["head"] + ahead if row["single"] else row["head"])[:LOOKAHEAD]
 
-    Blocks wait only until enough following bytes are known.
+
+def _merge_heads(a, b):
+    """Two neighbours as one block, as far as the bytes at its start go."""
+    joined = a["single"] and b["continues"]
+    return a | {
+        "single": joined and b["single"],
+        "head": (a["head"] + b["head"] if joined else a["head"])[:LOOKAHEAD],
+    }
+
+
+NOBODY = (None, None, None, None)
+ALWAYS = 1 << 62
+
+
+def _enter(row, skip, owner):
+    """(skip after, its owner, tail starts, tail totals) of a block whose last piece starts ``skip`` bytes in.
+
+    ``skip``: bytes of the piece that belong to a frame or header begun before it; ``owner``: the frame
+    (file, block, position, total), or NOBODY.
     """
-    waiting = []
-    for block in blocks:
-        for w in waiting:
-            if w["open"] and block["continues"]:
-                w["ahead"] = (w["ahead"] + block["head"])[:LOOKAHEAD]
-            w["open"] &= (
-                block["continues"] and block["single"] and len(w["ahead"]) < LOOKAHEAD
-            )
-        while waiting and not waiting[0]["open"]:
-            w = waiting.pop(0)
-            yield w["block"], w["ahead"]
-        waiting.append({"block": block, "ahead": b"", "open": True})
-    for w in waiting:
-        yield w["block"], w["ahead"]
-
-
-def _chain(blocks, proto):
-    """Starting state of every block of one flow, from its ordered summaries."""
-    skip, opened = 0, None
-    for block, ahead in _with_lookahead(blocks):
-        skip_in, open_in = (skip, opened) if block["continues"] else (0, None)
-        entry, owner = (skip_in, open_in) if block["single"] else (0, None)
-        here = (block["file"], block["block"])
-        i = bisect_left(block["limits"], entry)
-        end = entry
-        if i < len(block["limits"]):
-            end, start = block["exits"][i], block["owners"][i]
-            owner = (*here, start, end - start) if start >= 0 else None
-        starts, totals = [], []
-        if end < block["size"]:
-            owner = None
-            # A position in the tail is looked at together with the bytes that follow it.
-            base = block["tail_at"]
-            buf = block["tail"] + ahead
-            pos = max(end, base)
-            while pos < block["size"]:
-                at = buf.find(proto.magic, pos - base)
-                size = proto.header(buf, at) if at >= 0 else None
-                if size is None or base + at >= block["size"]:
-                    pos, owner = block["size"], None
-                    break
-                pos = base + at + abs(size)
-                owner = None
-                if size > 0:
-                    starts.append(base + at)
-                    totals.append(size)
-                    owner = (*here, base + at, size)
-            end = pos
-        skip = end - block["size"]
-        opened = owner if skip > 0 else None
-        ids = open_in or (None, None, None, None)
-        yield block, [skip_in, *ids, starts, totals]
+    here = (row["file"], row["block"])
+    i = bisect_left(row["limits"], skip)
+    end = skip
+    if i < len(row["limits"]):
+        end, start = row["exits"][i], row["owners"][i]
+        owner = (*here, start, end - start) if start >= 0 else NOBODY
+    starts, totals = [], []
+    if end < row["size"]:
+        owner = NOBODY
+        # A position in the tail is looked at together with the bytes that follow it.
+        base, buf = row["tail_at"], row["tail"] + row["ahead"]
+        pos = max(end, base)
+        while pos < row["size"]:
+            at = buf.find(row["magic"], pos - base)
+            size = row["proto"].header(buf, at) if at >= 0 else None
+            if size is None or base + at >= row["size"]:
+                pos, owner = row["size"], NOBODY
+                break
+            pos = base + at + abs(size)
+            owner = NOBODY
+            if size > 0:
+                starts.append(base + at)
+                totals.append(size)
+                owner = (*here, base + at, size)
+        end = pos
+    over = end - row["size"]
+    return over, owner if over > 0 else NOBODY, starts, totals
+
+
+def _effect(row, proto):
+    """The step function of a block: ``steps`` of (limit, skip after, owner), read like ``_leave``."""
+    row = row | {"magic": proto.magic, "proto": proto}
+    if not row["single"]:
+        return [(ALWAYS, *_enter(row, 0, NOBODY)[:2])]
+    limits, buf = list(row["limits"]), row["tail"] + row["ahead"]
+    at = buf.find(proto.magic)
+    while 0 <= at < row["size"] - row["tail_at"]:
+        limits.append(row["tail_at"] + at)
+        at = buf.find(proto.magic, at + 1)
+    return _joined((lim, *_enter(row, lim, NOBODY)[:2]) for lim in sorted(set(limits)))
+
+
+def _joined(steps):
+    """Neighbouring steps of equal outcome as one."""
+    out = []
+    for step in steps:
+        if out and out[-1][1:] == step[1:]:
+            out[-1] = step
+        else:
+            out.append(step)
+    return out
+
+
+def _leave(continues, size, steps, skip, owner):
+    """(skip, owner) behind a block or a run of blocks that is entered with ``skip`` bytes of ``owner``."""
+    if not continues:
+        skip, owner = 0, NOBODY
+    i = bisect_left(steps, skip, key=itemgetter(0))
+    if i < len(steps):
+        return steps[i][1:]
+    return (skip - size, owner) if skip > size else (0, NOBODY)
+
+
+def _compose(a, b):
+    """(continues, size, steps) of two neighbours as one."""
+    if not b[0]:
+        return a[0], a[1], [(ALWAYS, *_leave(*b, 0, NOBODY))]
+    steps = [(lim, *_leave(*b, skip, owner)) for lim, skip, owner in a[2]]
+    reached = steps[-1][0] if steps else -1
+    if reached < a[1]:
+        steps.append((a[1], *_leave(*b, 0, NOBODY)))
+        reached = a[1]
+    if reached < ALWAYS:
+        shifted = [(min(lim + a[1], ALWAYS), skip, owner) for lim, skip, owner in b[2]]
+        steps += [x for x in shifted if x[0] > reached]
+    return a[0], a[1] + b[1], _joined(steps)
+
+
+OWNER = schema("file string, block long, pos long, total long")
+STEP = T.StructType([*schema("limit long, skip long").fields, T.StructField("owner", OWNER)])
+STEPS = T.StructType([T.StructField("steps", T.ArrayType(STEP))])
+OPENED = T.StructType([T.StructField("skip", T.LongType()), T.StructField("opened", OWNER)])
+AHEAD = schema("ahead binary")
+OWNER_FIELDS = OWNER.names
+
+
+def _from_row(row):
+    """(continues, size, steps) out of a written row."""
+    steps = [(s["limit"], s["skip"], _owner(s["owner"])) for s in row["steps"]]
+    return row["continues"], row["size"], steps
+
+
+def _owner(value):
+    return NOBODY if value is None else tuple(value[k] for k in OWNER_FIELDS)
+
+
+def _as_struct(owner):
+    return None if owner == NOBODY else dict(zip(OWNER_FIELDS, owner))
+
+
+def _as_steps(steps):
+    return [{"limit": lim, "skip": skip, "owner": _as_struct(owner)} for lim, skip, owner in steps]
+
+
+def _merge_effects(a, b):
+    continues, size, steps = _compose(_from_row(a), _from_row(b))
+    return a | {"continues": continues, "size": size, "steps": _as_steps(steps)}
+
+
+def _advance(state, row):
+    skip, owner = _leave(*_from_row(row), state[0], _owner(state[1]))
+    return skip, _as_struct(owner)
+
+
+def _state_of(row, proto):
+    """What a block needs for its cut: skip at its start, whose frame that is, and frames in its tail."""
+    row = row | {"magic": proto.magic, "proto": proto}
+    entry = (row["skip"], _owner(row["opened"])) if row["continues"] else (0, NOBODY)
+    last = entry if row["single"] else (0, NOBODY)
+    return [entry[0], *entry[1], *_enter(row, *last)[2:]]
 
 
 def _cut(pieces, carry, proto):
@@ -367,27 +457,12 @@ def _flow_fields(df):
     return [df.schema[n] for n in FLOW]
 
 
-KINDS = ("frame", "open", "part", "junk", "residual")
-
-
-def cut_events(packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Everything the framing step sees: frames, parts of frames across blocks, and lost bytes."""
-    return _cut_kinds(packets, proto, block_bytes, [KINDS])[0]
-
-
-def _cut_kinds(packets, proto, block_bytes, wanted):
-    """One DataFrame per tuple of kinds; they share the packet and summary shuffles."""
-    packets = with_blocks(
-        packets.select("file", "capture_seq", "ts_ns", *FLOW, "tcp_seq", "payload", "payload_len"),
-        block_bytes,
-    )
+def _cut_state(packets: DataFrame, proto, width: int) -> DataFrame:
+    """(flow, block, expected_seq, CARRY): the state in which every block starts to cut."""
     keys = FLOW + BLOCK
-    expected = expected_carry(packets)
     key_fields = [packets.schema[n] for n in keys]
-
-    summary_schema = T.StructType(key_fields + SUMMARY.fields)
-    carry_schema = T.StructType(key_fields + [T.StructField("expected_seq", T.LongType())] + CARRY.fields)
-    summary_schema.add("expected_seq", T.LongType())
+    expected = [T.StructField("expected_seq", T.LongType())]
+    summary_schema = T.StructType(key_fields + SUMMARY.fields + expected)
     summary_arrow = to_arrow_schema(summary_schema)
 
     def summarise(key, rows, carry):
@@ -399,22 +474,60 @@ def _cut_kinds(packets, proto, block_bytes, wanted):
         ]
         return rows_table(found, summary_arrow)
 
-    def chain(rows):
-        names = [f.name for f in CARRY.fields]
-        for _, blocks in groupby(rows, key=itemgetter(*FLOW)):
-            for block, state in _chain(blocks, proto):
-                yield {k: block[k] for k in (*keys, "expected_seq")} | dict(zip(names, state))
+    by_block = packets.groupBy(*BLOCK).cogroup(expected_carry(packets, width).groupBy(*BLOCK))
+    summaries = staged(by_block.applyInArrow(summarise, summary_schema), "summaries")
+
+    heads = summaries.select(*keys, "continues", "single", "head")
+    behind = states_before(
+        heads, BLOCK, _merge_heads, lambda s, row: (_seen_by_previous(s[0], row),), (b"",), AHEAD, True, width
+    )
+    effect_schema = T.StructType(summary_schema.fields + AHEAD.fields + STEPS.fields)
+    effect_arrow = to_arrow_schema(effect_schema)
 
-    by_block = packets.groupBy(*BLOCK)
-    summaries = by_block.cogroup(expected.groupBy(*BLOCK)).applyInArrow(summarise, summary_schema)
-    carry = fold_blocks(summaries, chain, carry_schema)
+    def effects(batches):
+        for batch in batches:
+            rows = [row | {"steps": _as_steps(_effect(row, proto))} for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=effect_arrow)
+
+    told = summaries.join(behind.select(*keys, "ahead"), keys)
+    ready = staged(told.select(*summaries.columns, "ahead").mapInArrow(effects, effect_schema), "effects")
+    entered = states_before(
+        ready.select(*keys, "continues", "size", "steps"), BLOCK, _merge_effects, _advance, (0, None), OPENED, width=width
+    )
+    carry_schema = T.StructType(key_fields + expected + CARRY.fields)
+    carry_arrow = to_arrow_schema(carry_schema)
+    names = [f.name for f in CARRY.fields]
 
+    def states(batches):
+        for batch in batches:
+            rows = [
+                {k: row[k] for k in (*keys, "expected_seq")} | dict(zip(names, _state_of(row, proto)))
+                for row in batch.to_pylist()
+            ]
+            yield pa.RecordBatch.from_pylist(rows, schema=carry_arrow)
+
+    found = ready.drop("steps").join(entered.select(*keys, "skip", "opened"), keys)
+    return found.mapInArrow(states, carry_schema)
+
+
+def cut_events(
+    packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES, width: int = WIDTH
+) -> DataFrame:
+    """Everything the framing step sees: frames, parts of frames across blocks, and lost bytes.
+
+    Payload is cut once; the events are a table with a folder per ``kind``, so frames, parts and lost
+    bytes are read apart from each other.
+    """
+    packets = with_blocks(
+        packets.select("file", "capture_seq", "ts_ns", *FLOW, "tcp_seq", "payload", "payload_len"),
+        block_bytes,
+    )
     out_schema = T.StructType(_flow_fields(packets) + META + proto.fields)
     out_arrow = to_arrow_schema(out_schema)
     no_fields, no_open = (None,) * len(proto.fields), (None,) * 5
     open_names = ("open_file", "open_block", "open_pos", "open_total")
 
-    def cut(kinds, key, rows, carry):
+    def cut(key, rows, carry):
         place = tuple(k.as_py() for k in key)
         states = {tuple(c[n] for n in FLOW): c for c in carry.to_pylist()}
         starts = {flow: c["expected_seq"] for flow, c in states.items()}
@@ -422,8 +535,6 @@ def _cut_kinds(packets, proto, block_bytes, wanted):
         for flow, pieces in flow_pieces(rows, starts):
             state = states[flow]
             for kind, piece, start, stop, total in _cut(pieces, state, proto):
-                if kind not in kinds:
-                    continue
                 data = pieces.bytes[piece][start:stop]
                 opened, values = no_open, no_fields
                 if kind == "frame":
@@ -436,11 +547,9 @@ def _cut_kinds(packets, proto, block_bytes, wanted):
                 out.append((*flow, kind, *place, number, ts_ns, stop - start, *opened, *values))
         return rows_table(out, out_arrow)
 
-    def cutter(kinds):
-        return lambda key, rows, carry: cut(kinds, key, rows, carry)
-
-    both = by_block.cogroup(carry.groupBy(*BLOCK))
-    return [both.applyInArrow(cutter(kinds), out_schema) for kinds in wanted]
+    state = _cut_state(packets, proto, width)
+    cuts = packets.groupBy(*BLOCK).cogroup(state.groupBy(*BLOCK)).applyInArrow(cut, out_schema)
+    return staged(cuts, "cuts", partition_by=["kind"])
 
 
 OPEN = ["open_file", "open_block", "open_pos"]
@@ -462,10 +571,11 @@ def joined_parts(events: DataFrame) -> DataFrame:
     )
 
 
-def _whole(packets: DataFrame, proto, block_bytes) -> DataFrame:
-    frames, parts = _cut_kinds(packets, proto, block_bytes, [("frame",), ("open", "part")])
+def whole_frames(events: DataFrame, proto) -> DataFrame:
+    """The frames of ``cut_events``, those that crossed blocks put together and parsed."""
     columns = [*FLOW, "file", "frame_no", "ts_ns", *[f.name for f in proto.fields]]
-    joined = joined_parts(parts).filter(F.col("n_bytes") == F.col("open_total"))
+    frames = events.filter(F.col("kind") == "frame")
+    joined = joined_parts(events).filter(F.col("n_bytes") == F.col("open_total"))
     kept = [*FLOW, "file", "frame_no", "ts_ns"]
     parsed = T.StructType([joined.schema[n] for n in kept] + proto.fields)
     arrow = to_arrow_schema(parsed)
@@ -509,7 +619,7 @@ def _ordered(packets, policy, block_bytes):
 
 
 def cut_step_frames(
-    packets: DataFrame, policy: str = "strict", block_bytes: int = BLOCK_BYTES
+    packets: DataFrame, policy: str = "strict", block_bytes: int = BLOCK_BYTES, width: int = WIDTH
 ) -> DataFrame:
     """STEP frames with their tags and payload.
 
@@ -517,15 +627,19 @@ def cut_step_frames(
     ``offset_merge`` orders by stream offset and trims overlaps first.
     """
     packets = _ordered(packets, policy, block_bytes)
-    return _whole(packets, StepFrames, block_bytes)
+    return whole_frames(cut_events(packets, StepFrames, block_bytes, width), StepFrames)
 
 
 def cut_v1_frames(
-    packets: DataFrame, want=None, policy: str = "strict", block_bytes: int = BLOCK_BYTES
+    packets: DataFrame,
+    want=None,
+    policy: str = "strict",
+    block_bytes: int = BLOCK_BYTES,
+    width: int = WIDTH,
 ) -> DataFrame:
     """40-byte-header frames; ``want`` is one (type, subtype)."""
     packets = _ordered(packets, policy, block_bytes)
-    frames = _whole(packets, HeadedFrames, block_bytes)
+    frames = whole_frames(cut_events(packets, HeadedFrames, block_bytes, width), HeadedFrames)
     return only_channel(frames, *want) if want else frames
 
 

@@ -3,8 +3,8 @@
 Arrival order of a flow is (file, capture_seq), where capture_seq is the byte position of the
 packet in its file. A flow is cut into blocks of that order; what a block does to the expected
 sequence number is a step function of the value it starts with, so blocks are summarised in
-parallel, the summaries of a flow are chained, and every block is then replayed from its exact
-starting value. Packets are grouped by block, whatever their flow, so a task holds one block of
+parallel, the summaries of a flow are composed in a tree (``folds``), and every block is then replayed
+from its exact starting value. Packets are grouped by block, whatever their flow, so a task holds one block of
 bytes at a time however large a flow is or however many there are.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quotemill.operators.folds import WIDTH, states_before
 from quotemill.operators.packets import FLOW
 from quotemill.operators.scan import (
     block_of,
@@ -23,6 +24,7 @@ from quotemill.operators.scan import (
     running_sum,
 )
 from quotemill.schemas import schema
+from quotemill.session import staged
 
 BLOCK_BYTES = 8 << 20
 BLOCK = ["file", "block"]
@@ -82,7 +84,40 @@ def apply_steps(expected, base, limits, results):
     return expected
 
 
+def merge_steps(a, b):
+    """The effect of block ``a``, then block ``b``, on the expected number (each base, limits, results).
+
+    Positions of ``a`` are not wrapped, so the two may cover more than 32 bits of numbers.
+    """
+    base, limits, results = a
+    steps = []
+    for limit, r in zip(limits, results):
+        e = signed_distance(base + r, b[0])
+        landed = next((x for lim, x in zip(b[1], b[2]) if e <= lim), e)
+        steps.append((limit, r + landed - e))
+    shift = results[-1] - signed_distance(base + results[-1], b[0])
+    steps += [(lim + shift, r + shift) for lim, r in zip(b[1], b[2]) if lim + shift > limits[-1]]
+    limits, results = [], []
+    for limit, r in steps:
+        if results and results[-1] == r:
+            limits[-1] = limit
+        else:
+            limits.append(limit)
+            results.append(r)
+    return base, limits, results
+
+
 STEP_SCHEMA = "base long, limits array<long>, results array<long>"
+STEPS = ("base", "limits", "results")
+EXPECTED = T.StructType([T.StructField("expected_seq", T.LongType())])
+
+
+def _merge_rows(a, b):
+    return dict(zip(STEPS, merge_steps(*[tuple(x[s] for s in STEPS) for x in (a, b)])))
+
+
+def _advance(state, row):
+    return (apply_steps(state[0], *(row[s] for s in STEPS)),)
 
 
 def _flow_types(df, names):
@@ -108,7 +143,7 @@ def by_flow(table, column):
     return dict(zip(zip(*(table[n].to_pylist() for n in FLOW)), table[column].to_pylist()))
 
 
-def expected_carry(packets: DataFrame) -> DataFrame:
+def expected_carry(packets: DataFrame, width: int = WIDTH) -> DataFrame:
     """(flow, block, expected_seq): the expected number each block starts with (null: first)."""
     keys = FLOW + BLOCK
     narrow = packets.select(*keys, "capture_seq", "tcp_seq", "payload_len")
@@ -121,47 +156,10 @@ def expected_carry(packets: DataFrame) -> DataFrame:
         return rows_table(rows, summary_arrow)
 
     summary_schema = T.StructType(_flow_types(narrow, keys) + schema(STEP_SCHEMA).fields)
-    carry_schema = T.StructType(
-        _flow_types(narrow, keys) + [T.StructField("expected_seq", T.LongType())]
-    )
     summary_arrow = to_arrow_schema(summary_schema)
-
-    def chain(rows):
-        flow, expected = None, None
-        for row in rows:
-            if flow != (flow := tuple(row[k] for k in FLOW)):
-                expected = None
-            yield {k: row[k] for k in keys} | {"expected_seq": expected}
-            expected = apply_steps(expected, row["base"], row["limits"], row["results"])
-
-    blocks = narrow.groupBy(*BLOCK).applyInArrow(summarise, summary_schema)
-    return fold_blocks(blocks, chain, carry_schema)
-
-
-FOLD_ROWS = 4096
-
-
-def fold_blocks(summaries: DataFrame, fold, out: T.StructType) -> DataFrame:
-    """Run ``fold`` (rows in, rows out) over the block summaries of each flow in order.
-
-    A task streams its sorted summaries and keeps only the fold's own state, so the length of a
-    flow does not show in memory.
-    """
-    arrow = to_arrow_schema(out)
-
-    def run(batches):
-        rows = (row for batch in batches for row in batch.to_pylist())
-        done = []
-        for row in fold(rows):
-            done.append(row)
-            if len(done) == FOLD_ROWS:
-                yield pa.RecordBatch.from_pylist(done, schema=arrow)
-                done = []
-        if done:
-            yield pa.RecordBatch.from_pylist(done, schema=arrow)
-
-    ordered = summaries.repartition(*FLOW).sortWithinPartitions(*FLOW, *BLOCK)
-    return ordered.mapInArrow(run, out)
+    blocks = staged(narrow.groupBy(*BLOCK).applyInArrow(summarise, summary_schema), "steps")
+    found = states_before(blocks, BLOCK, _merge_rows, _advance, (None,), EXPECTED, width=width)
+    return found.select(*keys, "expected_seq")
 
 
 INIT, IN_ORDER, RETRANSMIT, GAP = "init", "in_order", "retransmit", "gap"
@@ -183,7 +181,9 @@ def replay(seq, length, expected):
     return verdicts, before
 
 
-def classify_segments(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def classify_segments(
+    packets: DataFrame, block_bytes: int = BLOCK_BYTES, width: int = WIDTH
+) -> DataFrame:
     """Add ``verdict`` and ``expected_seq`` (before the packet) in arrival order of each flow."""
     packets = with_blocks(packets, block_bytes)
     out = T.StructType(
@@ -211,7 +211,7 @@ def classify_segments(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> Dat
 
     return (
         packets.groupBy(*BLOCK)
-        .cogroup(expected_carry(packets).groupBy(*BLOCK))
+        .cogroup(expected_carry(packets, width).groupBy(*BLOCK))
         .applyInArrow(run, out)
     )
 

@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotemill.session import staged
+
 BLOCK_ROWS = 1 << 18
 
 
@@ -147,3 +149,26 @@ def occurrence_number(df: DataFrame, *, keys, block, order, name="occurrence") -
         )
     )
 
+
+ROW_BITS = 33  # monotonically_increasing_id: partition above, row in it below
+
+
+def row_numbers(df: DataFrame, order, name: str, start: int = 0, partitions: int | None = None) -> DataFrame:
+    """Number all rows by ``order``, from ``start`` on.
+
+    Rows are written in range partitions, so that their places stay as they are; a partition counts its
+    rows, and the counts of those before it are joined back. The driver sees one count per partition.
+    """
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    held = staged(ranged.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", ROW_BITS).alias("_part")
+    before, counts = start, []
+    for row in sorted(held.groupBy(part).count().collect()):
+        counts.append((row["_part"], before))
+        before += row["count"]
+    offsets = F.broadcast(spark.createDataFrame(counts, "_part long, _before long"))
+    placed = held.withColumn("_part", F.shiftright("_at", ROW_BITS)).join(offsets, "_part")
+    row = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return placed.select(*df.columns, (F.col("_before") + row).alias(name))

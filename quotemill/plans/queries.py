@@ -113,6 +113,15 @@ def captured_tcp(spark, sf_dir):
     return once(spark, sf_dir, "step", lambda: batch.tcp_table(captured(spark, sf_dir), 9129))
 
 
+def step_events(spark, sf_dir):
+    """Frames, parts and lost bytes of the capture, cut once."""
+
+    def make():
+        return framing.cut_events(captured_tcp(spark, sf_dir), framing.StepFrames, SMALL_BLOCK)
+
+    return once(spark, sf_dir, "step-events", make)
+
+
 RULES = [
     {"category_id": 9, "msg_type": 5803, "output": "ticks", "dedup": True},
     {"category_id": 6, "msg_type": 3202, "output": "snapshots", "dedup": True},
@@ -829,15 +838,29 @@ def frames_roundtrip(spark, sf_dir):
     )
 )
 def resync_report(spark, sf_dir):
-    """Bytes skipped between frames."""
-    events = framing.cut_events(captured_tcp(spark, sf_dir), framing.StepFrames, SMALL_BLOCK)
+    """Bytes skipped between frames."""
     return (
-        framing.resync_report(events)
+        framing.resync_report(step_events(spark, sf_dir))
         .groupBy("src_ip", "dst_ip", "kind")
         .agg(F.sum("n_bytes").alias("n_bytes"))
     )
 
 
+@query(
+    sql.with_(
+        sql.FRAMES,
+        """
+        SELECT concat('10.1.0.', channel) AS src_ip, 9129 AS sport, concat('10.2.0.', copy) AS dst_ip,
+          CAST(50000 + channel AS INTEGER) AS dport, CAST(count(*) * 37 AS BIGINT) AS lost_bytes
+        FROM groups, range(1, 3) AS t(copy) WHERE group_no % 3 = 1 GROUP BY channel, copy
+        """,
+    )
+)
+def lost_bytes(spark, sf_dir):
+    """Lost bytes per flow, read from the same cut as the frames."""
+    return framing.lost_bytes(framing.resync_report(step_events(spark, sf_dir)))
+
+
 @query(
     sql.with_(
         sql.FRAMES,
@@ -847,7 +870,7 @@ def resync_report(spark, sf_dir):
     )
 )
 def envelope_check(spark, sf_dir):
-    frames = framing.cut_step_frames(captured_tcp(spark, sf_dir), block_bytes=SMALL_BLOCK)
+    frames = framing.whole_frames(step_events(spark, sf_dir), framing.StepFrames)
     return framing.envelope_issues(frames).select("msg_seq_id", "sender")
 
 

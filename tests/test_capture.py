@@ -134,8 +134,8 @@ def test_frames_do_not_depend_on_blocks_or_partitions(spark, landed, derived):
         .select("copy", "msg_seq_id", "payload")
         .collect()
     )
-    for block in (700, 6000, 8 << 20):
-        frames = framing.cut_step_frames(tcp, block_bytes=block)
+    for block, width in ((700, 1000), (700, 7), (6000, 2), (8 << 20, 1000)):
+        frames = framing.cut_step_frames(tcp, block_bytes=block, width=width)
         assert values(frames, "dst_ip", "msg_seq_id", "payload") == want
     shuffled = framing.cut_step_frames(tcp.repartition(13), block_bytes=6000)
     assert values(shuffled, "dst_ip", "msg_seq_id", "payload") == want

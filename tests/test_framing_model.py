@@ -1,6 +1,7 @@
 """Block-wise framing against a plain sequential pass over each flow."""
 
 import random
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -43,28 +44,50 @@ def sequential(packets, proto):
     return verdicts, frames
 
 
-def blockwise(packets, proto, block_rows):
-    """The same through block summaries, their chain and per-block cuts."""
+def scan(rows, merge, advance, start, width):
+    """States before each row, by a tree of groups of ``width``."""
+    if len(rows) <= width:
+        out = []
+        for row in rows:
+            out.append(start)
+            start = advance(start, row)
+        return out
+    groups = [rows[i : i + width] for i in range(0, len(rows), width)]
+    above = scan([reduce(merge, g) for g in groups], merge, advance, start, width)
+    return [s for g, own in zip(groups, above) for s in scan(g, merge, advance, own, width)]
+
+
+def blockwise(packets, proto, block_rows, width=1000):
+    """The same through block summaries, the tree of their effects and per-block cuts."""
     blocks = [packets[i : i + block_rows] for i in range(0, len(packets), block_rows)]
-    expected, pieces, verdicts = None, [], []
+    steps = []
+    for rows in blocks:
+        seq, sizes = [s for s, _ in rows], [len(d) for _, d in rows]
+        steps.append(reassembly.expected_steps(np.array(seq), np.array(sizes)))
+    advance = lambda e, s: reassembly.apply_steps(e, *s)
+    expected = scan(steps, reassembly.merge_steps, advance, None, width)
+    pieces, verdicts = [], []
     for b, rows in enumerate(blocks):
         seq, sizes = [s for s, _ in rows], [len(d) for _, d in rows]
         places = [b * block_rows + i for i in range(len(rows))]
         pieces.append(
-            framing.Pieces(places, [0] * len(rows), seq, sizes, [d for _, d in rows], expected)
+            framing.Pieces(places, [0] * len(rows), seq, sizes, [d for _, d in rows], expected[b])
         )
-        verdicts += reassembly.replay(seq, sizes, expected)[0]
-        steps = reassembly.expected_steps(np.array(seq), np.array(sizes))
-        expected = reassembly.apply_steps(expected, *steps)
+        verdicts += reassembly.replay(seq, sizes, expected[b])[0]
     summary = [f.name for f in framing.SUMMARY.fields]
     summaries = [
         dict(zip(summary, framing._summarise(p, proto))) | {"file": "f", "block": i}
         for i, p in enumerate(pieces)
     ]
+    turned = lambda a, b: framing._merge_heads(b, a)
+    ahead = scan(summaries[::-1], turned, framing._seen_by_previous, b"", width)[::-1]
+    summaries = [s | {"ahead": a} for s, a in zip(summaries, ahead)]
+    summaries = [s | {"steps": framing._as_steps(framing._effect(s, proto))} for s in summaries]
+    states = scan(summaries, framing._merge_effects, framing._advance, (0, None), width)
     names = [f.name for f in framing.CARRY.fields]
     frames, parts, lost = [], {}, 0
-    for i, (p, (_, state)) in enumerate(zip(pieces, framing._chain(summaries, proto))):
-        carry = dict(zip(names, state))
+    for i, (p, row, (skip, opened)) in enumerate(zip(pieces, summaries, states)):
+        carry = dict(zip(names, framing._state_of(row | {"skip": skip, "opened": opened}, proto)))
         for kind, piece, start, stop, total in framing._cut(p, carry, proto):
             data = p.bytes[piece][start:stop]
             order = p.place(piece, start)[0]
@@ -133,10 +156,10 @@ def test_blocks_equal_sequential_pass(proto):
         if not packets:
             continue
         want_verdicts, want = sequential(packets, proto)
-        for rows in (1, 2, 3, 7, 1000):
-            verdicts, frames, _ = blockwise(packets, proto, rows)
+        for rows, width in ((1, 1000), (1, 2), (1, 3), (2, 2), (2, 5), (3, 1000), (7, 2), (1000, 2)):
+            verdicts, frames, _ = blockwise(packets, proto, rows, width)
             assert verdicts == want_verdicts
-            assert frames == want, (rows, packets)
+            assert frames == want, (rows, width, packets)
         whole += len(want)
     assert whole > 300
 
@@ -161,3 +184,23 @@ def test_large_frame_is_not_lost():
     assert frames == [data]
     named = dict(zip([f.name for f in StepFrames.fields], StepFrames.parse(data)))
     assert named["payload"] == body and named["frame_reject"] is None
+
+
+def test_effects_compose_over_more_than_32_bits():
+    """Three hundred blocks of 60 MB: 18 GB of numbers, which wrap four times, with repeats and gaps."""
+    rng = random.Random(21)
+    at, steps = MOD - 5, []
+    for _ in range(300):
+        seq, sizes = [], []
+        for _ in range(4):
+            n = rng.choice([15_000_000, 14_000_000])
+            back = rng.choice([0, 0, 0, 7, -9])
+            seq.append((at - back) % MOD)
+            sizes.append(n)
+            at += n
+        steps.append(reassembly.expected_steps(np.array(seq), np.array(sizes)))
+    advance = lambda e, s: reassembly.apply_steps(e, *s)
+    for start in (None, MOD - 5, MOD - 40_000_000, 7_000_000_000 % MOD, 1_000_000):
+        want = scan(steps, None, advance, start, 1000)
+        for width in (2, 3, 17):
+            assert scan(steps, reassembly.merge_steps, advance, start, width) == want

@@ -173,8 +173,8 @@ def test_classify_segments_any_block_size(spark):
     packets = random_segments(11)
     want, _ = replay([p[6] for p in packets], [p[8] for p in packets], None)
     df = spark.createDataFrame(packets, FLOW_ROW)
-    for block in (300, 5000, 1 << 30):
-        got = classify_segments(df, block_bytes=block).orderBy("file", "capture_seq")
+    for block, width in ((300, 1000), (300, 2), (5000, 3), (1 << 30, 1000)):
+        got = classify_segments(df, block_bytes=block, width=width).orderBy("file", "capture_seq")
         assert [r["verdict"] for r in got.collect()] == want
 
 
