@@ -32,6 +32,7 @@ TZ = "Asia/Shanghai"
 TICK_FIELDS = sql.TICK_FIELDS.split(", ")
 LINE_ORDER = sql.LINE_ORDER.split(", ")
 SMALL_BLOCK = 64 << 10
+STREAM_BATCH = 16 << 20
 
 
 def query(oracle: str | None = None):
@@ -1557,7 +1558,9 @@ def stream_ticks(spark, sf_dir):
     """Segments streamed to a Parquet sink, then first arrival."""
     folder = capture(spark, sf_dir, "step")
     sink, checkpoint = scratch_dir(spark, "stream-ticks"), scratch_dir(spark, "stream-state")
-    stream = streaming.decode_stream(spark, folder, "cap", RULES, port=9129)
+    stream = streaming.decode_stream(
+        spark, folder, "cap", RULES, port=9129, checkpoint=checkpoint, max_batch_bytes=STREAM_BATCH
+    )
     streaming.run_available(stream, sink, checkpoint)
     landed = ticks.valid_ticks(spark.read.parquet(sink))
     first = routing.first_arrival(
@@ -1585,7 +1588,8 @@ def stream_frames(spark, sf_dir):
     """Frames, gaps and skipped bytes of the streamed capture."""
     folder = capture(spark, sf_dir, "step")
     sink, checkpoint = scratch_dir(spark, "stream-frames"), scratch_dir(spark, "stream-state")
-    events = streaming.frame_stream(segments.stream_segments(spark, folder, "cap"), 9129)
+    landed = segments.stream_segments(spark, folder, "cap", checkpoint=checkpoint, max_batch_bytes=STREAM_BATCH)
+    events = streaming.frame_stream(landed, 9129)
     streaming.run_available(events.drop("payload"), sink, checkpoint)
     counted = spark.read.parquet(sink).filter(F.col("kind").isin("frame", "gap", "junk"))
     size = F.when(F.col("kind") == "junk", F.col("n_bytes")).otherwise(0)

@@ -31,6 +31,7 @@ RECORD = struct.Struct("<IHHQI")
 MAGIC, VERSION, LINK_ETHERNET, MAX_PACKET = 0x31425353, 1, 1, 65535
 SEGMENT_BYTES = 256 << 20
 BATCH_BYTES = 16 << 20
+MICRO_BATCH_BYTES = 256 << 20
 PACKET_ARROW = pa.schema(
     [
         ("file", pa.string()),
@@ -56,14 +57,16 @@ def segment_numbers(folder, prefix):
     }
 
 
-def contiguous_segments(folder, prefix, first=1):
-    """[(number, size)] from ``first`` up to the first missing one."""
-    found, _ = sizes(folder)
-    out = []
-    while segment_name(prefix, first) in found:
-        out.append((first, found[segment_name(prefix, first)]))
-        first += 1
-    return out
+def no_hole(numbers, prefix, holes):
+    """The sorted numbers up to the first hole, all of them (``holes`` = "skip"), or an error ("error")."""
+    whole = [n for i, n in enumerate(numbers) if n == numbers[0] + i]
+    if len(whole) == len(numbers) or holes == "skip":
+        return numbers
+    message = f"segments of {prefix} are missing from number {whole[-1] + 1} on"
+    if holes == "error":
+        raise ValueError(message)
+    warnings.warn(message, stacklevel=2)
+    return whole
 
 
 def packet_batches(records):
@@ -86,10 +89,14 @@ def _batch(rows):
 
 
 def read_records(folder, name, start, end):
-    """Records of one segment; a bad header or a cut record ends the segment."""
+    """Records of one segment that end after byte ``start`` and not after ``end``.
+
+    A bad header or a cut record ends the segment. Ranges that meet share no record and lose none,
+    wherever they meet; what lies before ``start`` is walked over.
+    """
     store, base = resolve(folder)
-    blocks = Blocks(store, f"{base}/{name}", start, end)
-    pos = start
+    blocks = Blocks(store, f"{base}/{name}", 0, end)
+    pos = 0
     try:
         while (head := blocks.take(RECORD.size)) is not None:
             magic, version, _link, ts_ns, length = RECORD.unpack(head)
@@ -98,7 +105,8 @@ def read_records(folder, name, start, end):
             packet = blocks.take(length)
             if packet is None:
                 return
-            yield name, pos, ts_ns, packet
+            if pos + RECORD.size + length > start:
+                yield name, pos, ts_ns, packet
             pos += RECORD.size + length
     finally:
         blocks.close()
@@ -122,24 +130,18 @@ class SegmentPart(InputPartition):
 class SegmentReader(DataSourceReader):
     """Segments from the lowest number that is there; earlier ones may have been read and removed.
 
-    At a hole in the numbers reading stops with a warning (``holes`` = "stop"), fails ("error") or
+    At a hole in the numbers reading fails (``holes`` = "error"), stops there with a warning ("stop") or
     goes on ("skip"); ``segment_report`` lists what lies behind a hole.
     """
 
     def __init__(self, options):
         self.folder, self.prefix = options["path"], options["prefix"]
-        self.holes = options.get("holes", "stop")
+        self.holes = options.get("holes", "error")
 
     def partitions(self):
         found = segment_numbers(self.folder, self.prefix)
-        missing = sorted(set(range(min(found, default=0), max(found, default=0))) - set(found))
-        if missing and self.holes != "skip":
-            message = f"segments of {self.prefix} are missing from number {missing[0]} on"
-            if self.holes == "error":
-                raise ValueError(message)
-            warnings.warn(message, stacklevel=2)
-            found = {n: size for n, size in found.items() if n < missing[0]}
-        parts = [SegmentPart(segment_name(self.prefix, n), 0, found[n]) for n in sorted(found)]
+        numbers = no_hole(sorted(found), self.prefix, self.holes)
+        parts = [SegmentPart(segment_name(self.prefix, n), 0, found[n]) for n in numbers]
         return parts or [SegmentPart(None, 0, 0)]
 
     def read(self, part):
@@ -149,55 +151,58 @@ class SegmentReader(DataSourceReader):
 
 
 class SegmentStreamReader(DataSourceStreamReader):
-    """Offset = (segment number, byte). Takes closed segments, and the open one up to its last
-    whole record, so a growing segment is tailed. With ``delete_after_read`` a segment is removed
-    once a later one has been committed."""
+    """Offset = (segment number, byte), (0, 0) before the first segment.
+
+    A micro-batch takes at most ``max_batch_bytes``, from the lowest segment that was there at the start, over
+    segment borders and up to the size the open one has by then. Any byte is a good offset: a record
+    belongs to the batch in which it ends. So the driver lists files and never opens one, and tasks
+    find the records. A hole in the numbers and a start segment that is gone fail the query, or are
+    passed over with ``holes`` = "skip". With ``delete_after_read`` a segment is removed once a later one
+    has been committed.
+
+    Spark asks for the latest offset without saying where the query stands, so that is read from
+    ``checkpoint``; where none is given, the first batch after a start takes all there is.
+    """
 
     def __init__(self, options):
         self.folder, self.prefix = options["path"], options["prefix"]
         self.delete = options.get("delete_after_read") == "true"
-        self.seen = (0, 0)
+        self.holes = options.get("holes", "error")
+        self.limit = int(options.get("max_batch_bytes", 0))
+        self.planned = (checkpointed(options["checkpoint"]) or (0, 0)) if "checkpoint" in options else None
 
     def initialOffset(self):
-        return {"segment": 1, "pos": 0}
-
-    def _lowest(self):
-        return min(segment_numbers(self.folder, self.prefix), default=1)
+        return {"segment": 0, "pos": 0}
 
-    def _whole_until(self, number, size):
-        """End of the last whole record of the open segment, walked on from the last call."""
-        store, base = resolve(self.folder)
-        pos = self.seen[1] if self.seen[0] == number else 0
-        blocks = Blocks(store, f"{base}/{segment_name(self.prefix, number)}", pos, size)
-        try:
-            while (head := blocks.take(RECORD.size)) is not None:
-                magic, version, _link, _ts, length = RECORD.unpack(head)
-                if magic != MAGIC or version != VERSION or length > MAX_PACKET:
-                    break
-                if blocks.take(length) is None:
-                    break
-                pos += RECORD.size + length
-        finally:
-            blocks.close()
-        self.seen = (number, pos)
-        return pos
+    def _from(self, start):
+        """[(number, first byte, size)] of the segments at and behind an offset, up to a hole."""
+        number, pos = start
+        found = segment_numbers(self.folder, self.prefix)
+        numbers = sorted(n for n in found if n >= number)
+        if number and number not in found and self.holes != "skip":
+            raise ValueError(f"segment {number} of {self.prefix} is gone, which was read up to byte {pos}")
+        return [(n, pos if n == number else 0, found[n]) for n in no_hole(numbers, self.prefix, self.holes)]
 
     def latestOffset(self):
-        found = contiguous_segments(self.folder, self.prefix, self._lowest())
-        if not found:
-            return self.initialOffset()
-        number, size = found[-1]
-        return {"segment": number, "pos": self._whole_until(number, size)}
+        start = self.planned or (0, 0)
+        end, left = start, self.limit if self.limit and self.planned else None
+        for number, lo, size in self._from(start):
+            if left is not None and size - lo > left:
+                end = (number, lo + left)
+                break
+            end = (number, max(lo, size))
+            left = None if left is None else left - (end[1] - lo)
+        self.planned = end
+        return {"segment": end[0], "pos": end[1]}
 
     def partitions(self, start, end):
+        first, last = ((o["segment"], o["pos"]) for o in (start, end))
+        self.planned = max(self.planned or last, last)
         parts = []
-        for n, size in contiguous_segments(self.folder, self.prefix, start["segment"]):
-            if n > end["segment"]:
-                break
-            lo = start["pos"] if n == start["segment"] else 0
-            hi = end["pos"] if n == end["segment"] else size
-            if hi > lo:
-                parts.append(SegmentPart(segment_name(self.prefix, n), lo, hi))
+        for number, lo, size in self._from(first) if first < last else ():
+            hi = last[1] if number == last[0] else size
+            if number <= last[0] and hi > lo:
+                parts.append(SegmentPart(segment_name(self.prefix, number), lo, hi))
         return parts
 
     def read(self, part):
@@ -207,8 +212,28 @@ class SegmentStreamReader(DataSourceStreamReader):
         if not self.delete:
             return
         store, base = resolve(self.folder)
-        for number in range(self._lowest(), end["segment"]):
-            store.delete_file(f"{base}/{segment_name(self.prefix, number)}")
+        for number in segment_numbers(self.folder, self.prefix):
+            if number < end["segment"]:
+                store.delete_file(f"{base}/{segment_name(self.prefix, number)}")
+
+
+def checkpointed(folder):
+    """(segment, byte) that a query with this checkpoint folder has planned last, or None.
+
+    Spark writes one file per batch to ``offsets``: a version, a line of settings, and one line per source.
+    """
+    found, base = sizes(f"{folder.rstrip('/')}/offsets")
+    batches = sorted((int(n), n) for n in found if n.isdigit())
+    if not batches:
+        return None
+    store, _ = resolve(folder)
+    with store.open_input_stream(f"{base}/{batches[-1][1]}") as f:
+        lines = f.read().decode().splitlines()
+    for line in lines[2:]:
+        offset = json.loads(line) if line.startswith("{") else {}
+        if {"segment", "pos"} <= set(offset):
+            return offset["segment"], offset["pos"]
+    return None
 
 
 class WrittenParts(WriterCommitMessage):
@@ -291,7 +316,7 @@ class SegmentSource(DataSource):
         return SegmentWriter(self.options)
 
 
-def read_segments(spark: SparkSession, folder: str, prefix: str, holes: str = "stop") -> DataFrame:
+def read_segments(spark: SparkSession, folder: str, prefix: str, holes: str = "error") -> DataFrame:
     spark.dataSource.register(SegmentSource)
     reader = spark.read.format("capseg").option("path", folder).option("prefix", prefix)
     return reader.option("holes", holes).load()
@@ -300,7 +325,7 @@ def read_segments(spark: SparkSession, folder: str, prefix: str, holes: str = "s
 def segment_report(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     """(file, records, whole_bytes, lost_bytes, behind_hole) of each segment.
 
-    What follows a bad or cut record is lost; segments behind a hole in the numbers are not read by default.
+    What follows a bad or cut record is lost; a hole in the numbers fails a read that does not allow it.
     """
     numbers = sorted(segment_numbers(folder, prefix))
     names = [segment_name(prefix, n) for n in numbers]
@@ -328,16 +353,29 @@ def write_report(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
 
 
 def stream_segments(
-    spark: SparkSession, folder: str, prefix: str, delete_after_read: bool = False
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    delete_after_read: bool = False,
+    max_batch_bytes: int = MICRO_BATCH_BYTES,
+    checkpoint: str | None = None,
+    holes: str = "error",
 ) -> DataFrame:
+    """Packets of landed and growing segments, ``max_batch_bytes`` of them per micro-batch.
+
+    Give the query's ``checkpoint`` folder: the first batch after a start is bounded only with it. Use
+    ``run_available`` or an interval trigger: Spark's available-now trigger plans a single batch.
+    """
     spark.dataSource.register(SegmentSource)
-    return (
+    reader = (
         spark.readStream.format("capseg")
         .option("path", folder)
         .option("prefix", prefix)
         .option("delete_after_read", str(delete_after_read).lower())
-        .load()
+        .option("max_batch_bytes", str(max_batch_bytes))
+        .option("holes", holes)
     )
+    return (reader.option("checkpoint", checkpoint) if checkpoint else reader).load()
 
 
 def write_segments(

@@ -1,11 +1,13 @@
 """Streaming capture decode.
 
-State per flow: the expected sequence number and one partial frame (at most 16 MB). A micro-batch
-holds what was captured since the last trigger; a backlog belongs to the batch job, whose plan
+State per flow: the expected sequence number and one partial frame (at most 16 MB). A task holds what a
+flow has in one micro-batch, and the source bounds a micro-batch by bytes, so a backlog of any length
+needs no more memory than that. It is read in order and as fast as single flows allow; the batch job
 splits flows.
 """
 
 from bisect import bisect_right
+from threading import Timer
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,7 @@ from quotemill.operators.routing import route
 from quotemill.operators.snapshots import decode_snapshots
 from quotemill.operators.ticks import decode_ticks
 from quotemill.schemas import schema
-from quotemill.sources.segments import stream_segments
+from quotemill.sources.segments import MICRO_BATCH_BYTES, stream_segments
 
 STATE = schema("expected_seq long, partial binary, partial_no long")
 EVENT = schema("kind string, frame_no long, ts_ns long, n_bytes long").fields
@@ -126,6 +128,8 @@ def decode_stream(
     port: int = 0,
     output: str = "ticks",
     dedup_delay: str | None = None,
+    checkpoint: str | None = None,
+    max_batch_bytes: int = MICRO_BATCH_BYTES,
 ) -> DataFrame:
     """Ticks or snapshots of landed and growing segments (T1), each decoded from its own frames only.
 
@@ -133,7 +137,8 @@ def decode_stream(
     within that time of capture.
     """
     (category, kind), decode, keys = OUTPUTS[output]
-    events = frame_stream(stream_segments(spark, folder, prefix), port)
+    landed = stream_segments(spark, folder, prefix, checkpoint=checkpoint, max_batch_bytes=max_batch_bytes)
+    events = frame_stream(landed, port)
     frames = events.filter(F.col("kind") == "frame").drop("kind", "n_bytes", "frame_reject")
     routed = route(frames, rules)
     rows = decode(routed.filter((F.col("category_id") == category) & (F.col("msg_type") == kind)))
@@ -165,10 +170,18 @@ def publish_batches(
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int | None = None) -> None:
-    """Process everything that is there, then stop (T5); without ``timeout_s`` however long it takes."""
-    query = publish_batches(stream, sink, checkpoint, {"availableNow": True})
-    if timeout_s is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout_s):
+    """Process everything that is there in bounded batches, then stop (T5); without ``timeout_s`` however long it takes."""
+    query = publish_batches(stream, sink, checkpoint, {"processingTime": "0 seconds"})
+    watch = None
+    if timeout_s is not None:
+        watch = Timer(timeout_s, query.stop)
+        watch.start()
+    try:
+        query.processAllAvailable()
+        stopped = not query.isActive
+    finally:
+        if watch:
+            watch.cancel()
         query.stop()
+    if stopped:
         raise TimeoutError(f"stream still running after {timeout_s} s")

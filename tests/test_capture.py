@@ -49,7 +49,7 @@ def test_segment_reader_stops_at_bad_records(spark, tmp_path):
     (tmp_path / "x_000001.bin").write_bytes(record(b"a") + record(b"bb") + record(b"ccc")[:-1])
     (tmp_path / "x_000002.bin").write_bytes(record(b"d") + record(b"e", magic=5) + record(b"f"))
     (tmp_path / "x_000004.bin").write_bytes(record(b"after a missing number"))
-    got = segments.read_segments(spark, str(tmp_path), "x")
+    got = segments.read_segments(spark, str(tmp_path), "x", holes="stop")
     assert values(got, "file", "frame") == [
         ("x_000001.bin", bytearray(b"a")),
         ("x_000001.bin", bytearray(b"bb")),
@@ -111,7 +111,75 @@ def test_segments_append_and_holes(spark, tmp_path):
     assert sum(r.behind_hole for r in left) == numbers[-1] - 4
     assert segments.read_segments(spark, folder, "cap", holes="skip").count() == sum(r.records for r in left)
     with pytest.raises(Exception, match="missing from number 4"):
-        segments.read_segments(spark, folder, "cap", holes="error").count()
+        segments.read_segments(spark, folder, "cap").count()
+
+
+def test_ranges_of_a_segment_share_no_record_and_lose_none(tmp_path):
+    rng = random.Random(4)
+    bodies = [rng.randbytes(rng.randint(0, 60)) for _ in range(50)]
+    data = b"".join(segments.RECORD.pack(segments.MAGIC, 1, 1, i, len(b)) + b for i, b in enumerate(bodies))
+    (tmp_path / "x_000001.bin").write_bytes(data + b"cut")
+    for _ in range(40):
+        cuts = sorted({0, len(data) + 3, *rng.choices(range(len(data)), k=rng.randint(0, 8))})
+        got = [r for a, b in zip(cuts, cuts[1:]) for r in segments.read_records(str(tmp_path), "x_000001.bin", a, b)]
+        assert [r[3] for r in got] == bodies and [r[2] for r in got] == list(range(50))
+
+
+def drained(spark, folder, tmp_path, run, **options):
+    """Packets and batches of a stream over what is there."""
+    sink, state = (str(tmp_path / f"{run}-{n}") for n in ("out", "state"))
+    stream = segments.stream_segments(spark, folder, "cap", checkpoint=state, **options)
+    streaming.run_available(stream, sink, state, timeout_s=300)
+    return values(spark.read.parquet(sink), "file", "capture_seq", "frame"), len(os.listdir(f"{state}/offsets"))
+
+
+def test_stream_starts_at_the_lowest_segment_in_bounded_batches(spark, tmp_path):
+    """A thousand landed segments, of which the first four have been cleaned away, over many batches."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    size = 0
+    for n in range(1000):
+        data = b"".join(segments.RECORD.pack(segments.MAGIC, 1, 1, n * 10 + i, 30) + bytes([n % 251] * 30) for i in range(3))
+        (folder / segments.segment_name("cap", n + 5)).write_bytes(data)
+        size += len(data)
+    want = values(segments.read_segments(spark, str(folder), "cap"), "file", "capture_seq", "frame")
+    got, batches = drained(spark, str(folder), tmp_path, "a", max_batch_bytes=size // 4 + 1)
+    assert len(want) == 3000 and got == want and batches >= 4
+    # what comes later goes on behind the checkpoint, again in bounded batches
+    (folder / segments.segment_name("cap", 1005)).write_bytes(data * 50)
+    got, more = drained(spark, str(folder), tmp_path, "a", max_batch_bytes=len(data) * 20)
+    assert len(got) == 3150 and more >= batches + 3
+
+
+def test_stream_does_not_pass_over_lost_segments(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    record = segments.RECORD.pack(segments.MAGIC, 1, 1, 7, 3) + b"abc"
+    for n in (5, 6, 7):
+        (folder / segments.segment_name("cap", n)).write_bytes(record * 2)
+    got, _ = drained(spark, str(folder), tmp_path, "a")
+    assert len(got) == 6
+    for n in (5, 6, 7):
+        (folder / segments.segment_name("cap", n)).unlink()
+    (folder / segments.segment_name("cap", 9)).write_bytes(record)
+    with pytest.raises(Exception, match="segment 7 of cap is gone"):
+        drained(spark, str(folder), tmp_path, "a")
+    (folder / segments.segment_name("cap", 11)).write_bytes(record)
+    with pytest.raises(Exception, match="missing from number 10"):
+        drained(spark, str(folder), tmp_path, "b")
+    assert len(drained(spark, str(folder), tmp_path, "c", holes="skip")[0]) == 2
+
+
+def test_stream_of_an_empty_folder_takes_what_comes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    query = streaming.publish_batches(
+        segments.stream_segments(spark, str(tmp_path / "in"), "cap"), str(tmp_path / "o"), str(tmp_path / "s"), {"processingTime": "0 seconds"}
+    )
+    query.processAllAvailable()
+    (tmp_path / "in" / segments.segment_name("cap", 3)).write_bytes(segments.RECORD.pack(segments.MAGIC, 1, 1, 7, 3) + b"abc")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 1
 
 
 def test_pcap_stops_at_cut_record_and_filters_ports(spark, tmp_path):
