@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Ethernet types and IP protocol numbers.
+# Ethernet types and IP protocol numbers, and the labels that report tables give them.
 ETH_IPV4, ETH_IPV6, ETH_ARP = 0x0800, 0x86DD, 0x0806
 IP_ICMP, IP_TCP, IP_UDP = 1, 6, 17
 

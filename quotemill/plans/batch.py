@@ -14,7 +14,8 @@ from quotemill.operators.scan import block_of
 from quotemill.operators.snapshots import decode_snapshots, valid_snapshots
 from quotemill.operators.ticks import decode_ticks, valid_ticks
 from quotemill.session import staged
-from quotemill.sources.segments import read_segments
+from quotemill.sources.pcap import PcapSource
+from quotemill.sources.segments import SegmentSource, header_options
 
 ARRIVAL = ["ts_ns", "file", "frame_no", "rec_idx"]
 
@@ -24,6 +25,21 @@ def tcp_table(packets: DataFrame, port: int = 0) -> DataFrame:
     return staged(tcp_with_payload(filter_ports(parse_packets(packets), port)), "packets")
 
 
+def tcp_source(spark: SparkSession, kind: str, path: str, ports, **options) -> DataFrame:
+    """TCP payload of a ``capseg`` or ``pcap`` source, with ports and header filters checked in the reader.
+
+    One plan per source, see ``sources.headers``.
+    """
+    spark.dataSource.register({"capseg": SegmentSource, "pcap": PcapSource}[kind])
+    reader = spark.read.format(kind).option("path", path).options(**options)
+    return tcp_with_payload(reader.options(**header_options(True, ports)).option("push", "true").load())
+
+
+def landed_tcp(spark: SparkSession, folder: str, prefix: str, ports=()) -> DataFrame:
+    """TCP payload of some ports of landed segments as a written table."""
+    return staged(tcp_source(spark, "capseg", folder, ports, prefix=prefix), "packets")
+
+
 def routed_frames(
     tcp: DataFrame, rules, policy: str = "strict", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -81,7 +97,7 @@ def decode_segments(
 
     ``numbered`` adds the export column ``frame_idx`` at the price of one more shuffle of frames.
     """
-    tcp = tcp_table(read_segments(spark, folder, prefix), port)
+    tcp = landed_tcp(spark, folder, prefix, port)
     routed = routed_frames(tcp, rules, block_bytes=block_bytes)
     # One folder per output: each decoder then reads only its own frames.
     routed = staged(routed, "frames", partition_by=["output"])

@@ -111,7 +111,7 @@ _tables: dict[tuple, DataFrame] = {}
 
 
 def captured_tcp(spark, sf_dir):
-    return once(spark, sf_dir, "step", lambda: batch.tcp_table(captured(spark, sf_dir), 9129))
+    return once(spark, sf_dir, "step", lambda: batch.landed_tcp(spark, capture(spark, sf_dir, "step"), "cap", 9129))
 
 
 def step_events(spark, sf_dir):
@@ -689,6 +689,26 @@ def packet_headers(spark, sf_dir):
     )
 
 
+@query(
+    sql.with_(
+        _PACKETS,
+        f"""
+        SELECT {_CLOCK} AS ts_ns, '10.3.0.' || channel AS src_ip, 7000 AS sport, tcp_seq, CAST(size AS INTEGER) AS payload_len
+        FROM wire WHERE NOT is_udp AND size > 15
+        """,
+    )
+)
+def pushed_headers(spark, sf_dir):
+    """Ports and header filters checked where pcap files and segments are read."""
+    found = [
+        batch.tcp_source(spark, "capseg", event_capture(spark, sf_dir, "event-segments"), 7000, prefix="ev"),
+        batch.tcp_source(spark, "pcap", event_capture(spark, sf_dir, "pcap"), 7000, split_bytes=str(SMALL_BLOCK)),
+    ]
+    columns = ["ts_ns", "src_ip", "sport", "tcp_seq", "payload_len"]
+    a, b = (f.filter("payload_len > 15").select(*columns) for f in found)
+    return a.intersectAll(b)
+
+
 @query(
     sql.with_(
         _PACKETS,
@@ -1588,7 +1608,9 @@ def stream_frames(spark, sf_dir):
     """Frames, gaps and skipped bytes of the streamed capture."""
     folder = capture(spark, sf_dir, "step")
     sink, checkpoint = scratch_dir(spark, "stream-frames"), scratch_dir(spark, "stream-state")
-    landed = segments.stream_segments(spark, folder, "cap", checkpoint=checkpoint, max_batch_bytes=STREAM_BATCH)
+    landed = segments.stream_segments(
+        spark, folder, "cap", checkpoint=checkpoint, max_batch_bytes=STREAM_BATCH, headers=True, ports=9129
+    )
     events = streaming.frame_stream(landed, 9129)
     streaming.run_available(events.drop("payload"), sink, checkpoint)
     counted = spark.read.parquet(sink).filter(F.col("kind").isin("frame", "gap", "junk"))
@@ -1598,6 +1620,31 @@ def stream_frames(spark, sf_dir):
     )
 
 
+@query(
+    sql.with_(
+        _PACKETS,
+        f"""
+        , seen AS (
+          SELECT *, row_number() OVER (PARTITION BY channel ORDER BY event_id) AS place FROM wire WHERE NOT is_udp)
+        SELECT CASE WHEN repeated THEN 'retransmit' ELSE 'gap' END AS kind, {_CLOCK} AS ts_ns,
+          '10.3.0.' || channel AS src_ip, CAST(size AS BIGINT) AS n_bytes
+        FROM seen WHERE place > 1 AND (repeated OR skip > 0)
+        """,
+    )
+)
+def stream_late(spark, sf_dir):
+    """T4: repeated segments and gaps of a stream of many micro-batches, each with its time and size."""
+    folder = event_capture(spark, sf_dir, "event-segments")
+    sink, checkpoint = scratch_dir(spark, "stream-late"), scratch_dir(spark, "stream-state")
+    size = sum(segments.segment_numbers(folder, "ev").values())
+    landed = segments.stream_segments(
+        spark, folder, "ev", checkpoint=checkpoint, max_batch_bytes=size // 3 + 1, headers=True
+    )
+    streaming.run_available(streaming.frame_stream(landed).drop("payload"), sink, checkpoint)
+    late = spark.read.parquet(sink).filter(F.col("kind").isin("retransmit", "gap"))
+    return late.select("kind", "ts_ns", "src_ip", "n_bytes")
+
+
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
     """Keys kept once; the watermark is longer than the table."""

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     # are still cut by the advisory size.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Capture sources check header filters where they read.
+    "spark.sql.python.filterPushdown.enabled": "true",
     # Frame rows are large (up to 16 MB each): bound Arrow batches by bytes too. A batch becomes
     # about thirty times its size in token arrays.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),

@@ -11,12 +11,11 @@ import struct
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from quotemill.operators.packets import PACKET_SCHEMA
 from quotemill.sources.files import Blocks, resolve, sizes
-from quotemill.sources.segments import packet_batches
+from quotemill.sources.headers import HeaderView, reader_of
+from quotemill.sources.segments import header_options, packet_batches
 
 GLOBAL_BYTES, RECORD_BYTES = 24, 16
 # Magic numbers, microsecond and nanosecond.
@@ -87,6 +86,7 @@ class PcapReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.split = int(options.get("split_bytes", SPLIT_BYTES))
+        self.view = HeaderView(options)
 
     def partitions(self):
         found, base = sizes(self.path)
@@ -99,7 +99,7 @@ class PcapReader(DataSourceReader):
         return parts or [PcapPart(None, None, 0, 0)]
 
     def read(self, part):
-        return packet_batches(self._records(part)) if part.name else iter(())
+        return self.view.give(packet_batches(self._records(part))) if part.name else iter(())
 
     def _start(self, f, number, record, endian, nanos):
         """First record of a split, None when the split has none."""
@@ -157,26 +157,25 @@ class PcapSource(DataSource):
         return "pcap"
 
     def schema(self):
-        return PACKET_SCHEMA
+        return HeaderView(self.options).schema()
 
     def reader(self, schema):
-        return PcapReader(self.options)
+        return reader_of(PcapReader, self.options)
 
 
 def read_pcap(
-    spark: SparkSession, path: str, port: int | None = None, split_bytes: int = SPLIT_BYTES
+    spark: SparkSession,
+    path: str,
+    port: int | None = None,
+    split_bytes: int = SPLIT_BYTES,
+    headers: bool = False,
+    payload: bool = True,
 ) -> DataFrame:
     """Packets of one pcap file or of all files in a folder.
 
-    With ``port`` the headers are parsed and only packets from or to that port are kept.
+    With ``headers`` or ``port`` headers are parsed where the file is read, and only packets from or to
+    the port leave the reader.
     """
-    from quotemill.functions.predicates import filter_ports
-    from quotemill.operators.packets import parse_packets
-
     spark.dataSource.register(PcapSource)
-    packets = (
-        spark.read.format("pcap").option("split_bytes", str(split_bytes)).option("path", path).load()
-    )
-    if port:
-        packets = filter_ports(parse_packets(packets), port).filter(F.col("sport").isNotNull())
-    return packets
+    reader = spark.read.format("pcap").option("split_bytes", str(split_bytes)).option("path", path)
+    return reader.options(**header_options(headers, port or (), payload)).load()

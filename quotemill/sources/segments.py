@@ -23,8 +23,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from quotemill.operators.packets import PACKET_SCHEMA
 from quotemill.sources.files import Blocks, resolve, sizes
+from quotemill.sources.headers import HeaderView, reader_of
 
 RECORD = struct.Struct("<IHHQI")
 # Fixed values of the record header.
@@ -137,6 +137,7 @@ class SegmentReader(DataSourceReader):
     def __init__(self, options):
         self.folder, self.prefix = options["path"], options["prefix"]
         self.holes = options.get("holes", "error")
+        self.view = HeaderView(options)
 
     def partitions(self):
         found = segment_numbers(self.folder, self.prefix)
@@ -147,7 +148,7 @@ class SegmentReader(DataSourceReader):
     def read(self, part):
         if part.name is None:
             return iter(())
-        return packet_batches(read_records(self.folder, part.name, part.start, part.end))
+        return self.view.give(packet_batches(read_records(self.folder, part.name, part.start, part.end)))
 
 
 class SegmentStreamReader(DataSourceStreamReader):
@@ -169,6 +170,7 @@ class SegmentStreamReader(DataSourceStreamReader):
         self.delete = options.get("delete_after_read") == "true"
         self.holes = options.get("holes", "error")
         self.limit = int(options.get("max_batch_bytes", 0))
+        self.view = HeaderView(options)
         self.planned = (checkpointed(options["checkpoint"]) or (0, 0)) if "checkpoint" in options else None
 
     def initialOffset(self):
@@ -206,7 +208,7 @@ class SegmentStreamReader(DataSourceStreamReader):
         return parts
 
     def read(self, part):
-        return packet_batches(read_records(self.folder, part.name, part.start, part.end))
+        return self.view.give(packet_batches(read_records(self.folder, part.name, part.start, part.end)))
 
     def commit(self, end):
         if not self.delete:
@@ -304,10 +306,10 @@ class SegmentSource(DataSource):
         return "capseg"
 
     def schema(self):
-        return PACKET_SCHEMA
+        return HeaderView(self.options).schema()
 
     def reader(self, schema):
-        return SegmentReader(self.options)
+        return reader_of(SegmentReader, self.options)
 
     def streamReader(self, schema):
         return SegmentStreamReader(self.options)
@@ -316,10 +318,31 @@ class SegmentSource(DataSource):
         return SegmentWriter(self.options)
 
 
-def read_segments(spark: SparkSession, folder: str, prefix: str, holes: str = "error") -> DataFrame:
+def header_options(headers: bool, ports, payload: bool = True, side: str = "any") -> dict[str, str]:
+    """Options of a capture source that parses and filters headers where it reads (see ``headers``)."""
+    wanted = [ports] if isinstance(ports, int) else list(ports or ())
+    return {
+        "headers": str(headers).lower(),
+        "ports": ",".join(str(p) for p in wanted if p),
+        "payload": str(payload).lower(),
+        "side": side,
+    }
+
+
+def read_segments(
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    holes: str = "error",
+    headers: bool = False,
+    ports=(),
+    payload: bool = True,
+    side: str = "any",
+) -> DataFrame:
+    """Packets of all segments; with ``headers`` (or ``ports``) parsed, and only those of the ports."""
     spark.dataSource.register(SegmentSource)
     reader = spark.read.format("capseg").option("path", folder).option("prefix", prefix)
-    return reader.option("holes", holes).load()
+    return reader.option("holes", holes).options(**header_options(headers, ports, payload, side)).load()
 
 
 def segment_report(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
@@ -360,6 +383,8 @@ def stream_segments(
     max_batch_bytes: int = MICRO_BATCH_BYTES,
     checkpoint: str | None = None,
     holes: str = "error",
+    headers: bool = False,
+    ports=(),
 ) -> DataFrame:
     """Packets of landed and growing segments, ``max_batch_bytes`` of them per micro-batch.
 
@@ -374,6 +399,7 @@ def stream_segments(
         .option("delete_after_read", str(delete_after_read).lower())
         .option("max_batch_bytes", str(max_batch_bytes))
         .option("holes", holes)
+        .options(**header_options(headers, ports))
     )
     return (reader.option("checkpoint", checkpoint) if checkpoint else reader).load()
 

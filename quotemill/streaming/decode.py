@@ -110,7 +110,8 @@ def reassemble_stream(packets: DataFrame, proto=StepFrames) -> DataFrame:
 
 
 def frame_stream(packets: DataFrame, port: int = 0) -> DataFrame:
-    return reassemble_stream(tcp_with_payload(filter_ports(parse_packets(packets), port)))
+    parsed = parse_packets(packets) if "frame" in packets.columns else packets
+    return reassemble_stream(tcp_with_payload(filter_ports(parsed, port)))
 
 
 # What each decoded output is made of: frame type, decoder, keys of a repeated record.
@@ -137,7 +138,9 @@ def decode_stream(
     within that time of capture.
     """
     (category, kind), decode, keys = OUTPUTS[output]
-    landed = stream_segments(spark, folder, prefix, checkpoint=checkpoint, max_batch_bytes=max_batch_bytes)
+    landed = stream_segments(
+        spark, folder, prefix, checkpoint=checkpoint, max_batch_bytes=max_batch_bytes, headers=True, ports=port
+    )
     events = frame_stream(landed, port)
     frames = events.filter(F.col("kind") == "frame").drop("kind", "n_bytes", "frame_reject")
     routed = route(frames, rules)

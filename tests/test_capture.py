@@ -193,6 +193,39 @@ def test_pcap_stops_at_cut_record_and_filters_ports(spark, tmp_path):
     assert values(pcap.read_pcap(spark, path, port=9129), "sport", "ts_ns") == [(9129, 1_000_002_000)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_header_filters_run_in_the_reader(spark, tmp_path):
+    made = fixtures.event_packets(spark, SF)
+    folder = str(tmp_path / "seg")
+    segments.write_segments(made, folder, "ev", 4000)
+    whole = staged(packets.parse_packets(segments.read_segments(spark, folder, "ev")), "parsed")
+    fresh = lambda: batch.tcp_source(spark, "capseg", folder, (), prefix="ev")
+    shared = segments.read_segments(spark, folder, "ev", headers=True)
+    assert fresh().columns == shared.columns == whole.columns
+    tcp = packets.tcp_with_payload(whole)
+    for condition in (
+        "ip_proto <> 17", "sport in (7000, 5) and src_ip like '10.3.%'", "tcp_seq is null", "payload_len <= 20 and ts_ns >= 1768354200000100000",
+        "tcp_seq <=> null and dport = 1985", "not (sport in (7000, 3))", "sport = 7000 or dport = 1985", "length(payload) > 18 and dst_ip = '10.4.0.1'",
+    ):
+        assert values(fresh().filter(condition), *whole.columns) == values(tcp.filter(condition), *whole.columns), condition
+        assert values(shared.filter(condition), *whole.columns) == values(whole.filter(condition), *whole.columns), condition
+    # branches of one source don't see each other's filters
+    both = shared.filter("sport = 7001").unionAll(shared.filter("sport = 7000 or dport = 1985")).unionAll(shared)
+    assert both.count() == whole.filter("sport = 7001").count() + 2 * whole.count()
+    plan = plan_of(fresh().filter("src_ip = '10.3.0.1'"))
+    assert "PushedFilters" in plan and "EqualTo(src_ip,10.3.0.1)" in plan and "GreaterThan(payload_len,0)" in plan
+    only = segments.read_segments(spark, folder, "ev", ports=7001)
+    assert values(only, *whole.columns) == values(whole.filter("sport = 7001 or dport = 7001"), *whole.columns)
+    assert "payload" not in segments.read_segments(spark, folder, "ev", headers=True, payload=False).columns
+    # what does not pass stays in the reader
+    reader = segments.SegmentReader({"path": folder, "prefix": "ev", "ports": "7001", "payload": "false"})
+    given = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+    assert given == only.count() < whole.count()
+
+
 def test_frames_do_not_depend_on_blocks_or_partitions(spark, landed, derived):
     tcp = batch.tcp_table(segments.read_segments(spark, landed, "cap"), 9129)
     want = sorted(

@@ -302,51 +302,69 @@ def test_snapshot_head_vector():
     assert tok.text(np.array([3]), np.ones(1, bool)).to_pylist() == ["600330"]
 
 
-def plain_headers(frame):
-    if len(frame) < 14:
-        return None
-    eth, at = struct.unpack(">H", frame[12:14])[0], 14
-    while eth == 0x8100 and len(frame) >= at + 4:
-        eth, at = struct.unpack(">H", frame[at + 2 : at + 4])[0], at + 4
-    out = {"eth_type": eth}
-    ip = frame[at:]
-    if eth != 0x0800 or len(ip) < 20:
-        return out
-    ihl, total = (ip[0] & 15) * 4, struct.unpack(">H", ip[2:4])[0]
-    out |= {"ip_proto": ip[9], "src_ip": ".".join(map(str, ip[12:16])), "dst_ip": ".".join(map(str, ip[16:20]))}
-    th = ip[ihl:]
-    if ip[9] == 6 and len(th) >= 20:
-        head = (th[12] >> 4) * 4
-        out["tcp_seq"] = struct.unpack(">I", th[4:8])[0]
-        size = total - ihl - head
-    elif ip[9] == 17 and len(th) >= 8:
-        head, size = 8, struct.unpack(">H", th[4:6])[0] - 8
-    else:
-        return out
-    out["sport"], out["dport"] = struct.unpack(">HH", th[:4])
-    out["payload"] = th[head : head + max(size, 0)]
-    out["payload_len"] = len(out["payload"])
-    return out
-
-
-def test_packet_headers_match_plain_reading():
+def chosen_frame(rng):
+    """A frame built from chosen values, cut somewhere, with the columns these values must give."""
+    tags, kind = rng.randint(0, 3), rng.choice(["tcp", "tcp", "udp", "icmp", "arp", "short"])
+    body, trailer = rng.randbytes(rng.choice([0, 1, 7, 60])), rng.randbytes(rng.choice([0, 0, 6]))
+    addresses = [rng.randbytes(4), rng.randbytes(4)]
+    ports = [rng.randrange(1 << 16), rng.randrange(1 << 16)]
+    link = rng.randbytes(12) + b"".join(b"\x81\x00" + rng.randbytes(2) for _ in range(tags))
+    if kind == "arp":
+        return link + b"\x08\x06" + body, {"eth_type": 0x0806}
+    if kind == "short":  # ends inside the link header: after a tag there is only the tag's own type
+        cut = rng.randrange(14 + 4 * tags)
+        return (link + b"\x08\x00")[:cut], {} if cut < 14 else {"eth_type": 0x8100}
+    want = {"eth_type": 0x0800, "ip_proto": {"tcp": 6, "udp": 17, "icmp": 1}[kind]}
+    want |= dict(zip(("src_ip", "dst_ip"), (".".join(str(b) for b in a) for a in addresses)))
+    seq, options = rng.randrange(1 << 32), rng.randbytes(4 * rng.randint(0, 10))
+    transport = {
+        "tcp": struct.pack(">HHIIBBHHH", *ports, seq, 0, (5 + len(options) // 4) << 4, 16, 0, 0, 0) + options,
+        "udp": struct.pack(">HHHH", *ports, 8 + len(body), 0),
+        "icmp": b"",
+    }[kind]
+    extra = rng.randbytes(4 * rng.randint(0, 10))
+    size = 20 + len(extra) + len(transport) + len(body)
+    network = struct.pack(">BBHIBBH", 0x45 + len(extra) // 4, 0, size, 0, 64, want["ip_proto"], 0) + b"".join(addresses)
+    whole = link + b"\x08\x00" + network + extra + transport + body + trailer
+    start = len(link) + 2 + len(network) + len(extra)
+    cut = rng.choice([len(whole), len(whole), len(link) + 2 + rng.randrange(20), start + rng.randrange(len(transport) + len(body) + 1)])
+    if cut < len(link) + 2 + 20:
+        return whole[:cut], {"eth_type": 0x0800}
+    if kind != "icmp" and cut >= start + {"tcp": 20, "udp": 8}[kind]:
+        payload = whole[start + len(transport) : cut][: len(body)]
+        want |= dict(zip(("sport", "dport"), ports)) | {"payload": payload, "payload_len": len(payload)}
+        if kind == "tcp":
+            want["tcp_seq"] = seq
+    return whole[:cut], want
+
+
+def test_packet_headers_are_the_chosen_values():
     rng = random.Random(3)
-    frames = []
-    for _ in range(3000):
-        src, dst = rng.randbytes(4), rng.randbytes(4)
-        body = rng.randbytes(rng.choice([0, 1, 5, 40]))
-        frame = (
-            fixtures.tcp_frame(src, 9129, dst, 50001, rng.randrange(1 << 32), body, rng.randint(0, 3))
-            if rng.random() < 0.6
-            else fixtures.udp_frame(src, 1985, dst, 53, body)
-        )
-        frames.append(damaged(rng, frame))
+    frames, want = zip(*[chosen_frame(rng) for _ in range(4000)])
     names = [f.name for f in packets.HEADER_FIELDS]
     columns = [c.to_pylist() for c in packets.parse_frames(pa.array(frames, pa.binary()))]
-    for frame, values in zip(frames, zip(*columns)):
-        want = plain_headers(frame) or {}
-        got = {k: v for k, v in zip(names, values) if v is not None}
-        assert got == want, frame.hex()
+    for frame, expected, values in zip(frames, want, zip(*columns), strict=True):
+        assert {k: v for k, v in zip(names, values) if v is not None} == expected, frame.hex()
+
+
+@pytest.mark.parametrize(
+    ("hex_frame", "want"),
+    [
+        ("ff" * 13, {}),
+        ("ff" * 12 + "86dd" + "60" * 40, {"eth_type": 0x86DD}),
+        ("ff" * 12 + "81000001" + "81000002" + "0806" + "00" * 28, {"eth_type": 0x0806}),
+        # a UDP length of 3, shorter than its own header: no payload
+        ("ff" * 12 + "0800" + "4500001f0000000040110000" + "0a000001" + "0a000002" + "0001000200030000" + "616263",
+         {"eth_type": 0x0800, "ip_proto": 17, "src_ip": "10.0.0.1", "dst_ip": "10.0.0.2", "sport": 1, "dport": 2, "payload": b"", "payload_len": 0}),
+        # padding behind a TCP packet without payload
+        ("ff" * 12 + "0800" + "450000280000000040060000" + "0a000001" + "0a000002" + "23a9c3510000000700000000" + "5010" + "000000000000" + "000000000000",
+         {"eth_type": 0x0800, "ip_proto": 6, "src_ip": "10.0.0.1", "dst_ip": "10.0.0.2", "sport": 9129, "dport": 50001, "tcp_seq": 7, "payload": b"", "payload_len": 0}),
+    ],
+)
+def test_packet_headers_by_hand(hex_frame, want):
+    columns = packets.parse_frames(pa.array([bytes.fromhex(hex_frame)], pa.binary()))
+    got = {f.name: c.to_pylist()[0] for f, c in zip(packets.HEADER_FIELDS, columns, strict=True)}
+    assert {k: v for k, v in got.items() if v is not None} == want
 
 
 def split(payloads, tid=b"\x2d\xab", min_gap=4):
