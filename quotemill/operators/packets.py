@@ -45,8 +45,8 @@ def _dotted(values, known):
     return text.take(pa.array(inverse.reshape(-1), mask=~known))
 
 
-def parse_frames(column, with_payload=True):
-    """Header columns of one Arrow column of captured frames."""
+def parse_frames(column, with_payload=True, payload_bytes=None):
+    """Header columns of one Arrow column of captured frames; ``payload_bytes`` of each payload, if given."""
     data, off = binary_parts(column)
     start, end = off[:-1], off[1:]
     size = end - start
@@ -86,6 +86,8 @@ def parse_frames(column, with_payload=True):
     # The IP length drops link padding; the captured length bounds what can be read.
     length = np.where(ported, np.clip(np.minimum(declared, end - data_at), 0, None), 0)
 
+    taken = length if payload_bytes is None else np.minimum(length, payload_bytes)
+
     def ints(values, known, kind):
         return pa.array(values, kind, mask=~known)
 
@@ -98,7 +100,7 @@ def parse_frames(column, with_payload=True):
         ints(u16(trans + 2).astype(np.int32), ported, pa.int32()),
         ints(u32(trans + 4), tcp, pa.int64()),
         *(
-            [binary_array(data, np.where(ported, data_at, 0), length, known=ported)]
+            [binary_array(data, np.where(ported, data_at, 0), taken, known=ported)]
             if with_payload
             else []
         ),
@@ -106,10 +108,11 @@ def parse_frames(column, with_payload=True):
     ]
 
 
-def parse_packets(packets: DataFrame, with_payload: bool = True) -> DataFrame:
+def parse_packets(packets: DataFrame, with_payload: bool = True, payload_bytes: int | None = None) -> DataFrame:
     """Replace ``frame`` by its header columns and payload; absent layers give nulls.
 
-    Statistics need no payload: column pruning cannot reach into Python, so say so here.
+    Statistics need no payload, or its first bytes: column pruning cannot reach into Python, so say so here.
+    ``payload_len`` is that of the whole payload.
     """
     kept = [f for f in packets.schema.fields if f.name != "frame"]
     names = [f.name for f in kept]
@@ -119,7 +122,7 @@ def parse_packets(packets: DataFrame, with_payload: bool = True) -> DataFrame:
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + parse_frames(batch.column("frame"), with_payload),
+                [batch.column(n) for n in names] + parse_frames(batch.column("frame"), with_payload, payload_bytes),
                 out,
             )
 

@@ -224,6 +224,7 @@ def stream_positions(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> Data
         group=FLOW,
         block=BLOCK,
         order=["capture_seq"],
+        hot=True,
         _seq_before=previous(F.col("tcp_seq")),
     )
     step = F.coalesce(
@@ -235,6 +236,7 @@ def stream_positions(packets: DataFrame, block_bytes: int = BLOCK_BYTES) -> Data
         group=FLOW,
         block=BLOCK,
         order=["capture_seq"],
+        hot=True,
         stream_offset=running_sum(F.col("_step")),
     ).drop("_step", "_seq_before", "block")
 
@@ -258,6 +260,7 @@ def merge_intervals(
         group=group,
         block=["_blk"],
         order=[start],
+        hot=True,
         _covered=running_max(F.col(start) + F.col(length), exclusive=True),
     ).drop("_blk")
     covered = F.col("_covered")
@@ -277,15 +280,18 @@ def reassemble_by_offset(packets: DataFrame, block_bytes: int = BLOCK_BYTES, kee
 
     ``keep`` names packet columns that go with each piece.
     """
+    place = ["file", "capture_seq"]
+    narrow = packets.select(*dict.fromkeys([*place, *FLOW, "tcp_seq", "payload_len", *keep]))
     merged = merge_intervals(
-        stream_positions(packets, block_bytes),
+        stream_positions(narrow, block_bytes),
         group=FLOW,
         start="stream_offset",
         length="payload_len",
-        order=["file", "capture_seq"],
+        order=place,
         block_width=block_bytes,
     )
-    return merged.select(
+    # offsets, trims and holes are settled on narrow rows; payload crosses the network once
+    return merged.join(packets.select(*place, "payload"), place).select(
         *FLOW,
         (F.col("stream_offset") + F.col("skip")).alias("stream_offset"),
         F.expr("substring(payload, cast(skip as int) + 1)").alias("payload"),

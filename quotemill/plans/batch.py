@@ -117,7 +117,7 @@ MAGIC = b"\x00\x04\xc4\x53"
 
 def traffic_tables(packets: DataFrame, ports=(), tz: str = "UTC") -> dict[str, DataFrame]:
     """The capture's statistics tables, all from one parsed and written header table."""
-    headers = parse_packets(packets).withColumns(
+    headers = parse_packets(packets, payload_bytes=len(MAGIC)).withColumns(
         {
             "proto": protocol_class(F.col("eth_type"), F.col("ip_proto")),
             "magic": has_prefix(F.col("payload"), MAGIC),

@@ -55,7 +55,7 @@ def tick_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("_block", block_of(F.col("event_id")))
     )
     numbered = ordered_scan(
-        base, group=["channel"], block=["_block"], order=["event_id"], biz_index=running_count()
+        base, group=["channel"], block=["_block"], order=["event_id"], hot=True, biz_index=running_count()
     )
     picked = numbered.select(
         "event_id",
@@ -309,6 +309,7 @@ def capture_packets(blobs: DataFrame, copies: int = 1, faults: bool = True, port
         group=["channel"],
         block=["_block"],
         order=["group_no"],
+        hot=True,
         stream_at=running_sum(F.col("_n"), exclusive=True),
     ).select("channel", "group_no", "blob", "stream_at")
 
@@ -589,6 +590,7 @@ def event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         group=["channel"],
         block=["_block"],
         order=["event_id"],
+        hot=True,
         at=running_sum(advance.cast("long"), exclusive=True),
     )
     seq = F.lit(FIRST_SEQ) + F.col("at") + F.when(F.col("repeat"), -F.col("size")).otherwise(F.col("skip"))

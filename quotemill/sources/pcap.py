@@ -22,6 +22,7 @@ GLOBAL_BYTES, RECORD_BYTES = 24, 16
 MAGIC_US, MAGIC_NS = 0xA1B2C3D4, 0xA1B23C4D
 SPLIT_BYTES = 128 << 20
 PROBE_BYTES = 64 << 10
+WINDOW_BYTES = 1 << 20
 PROBE_RECORDS = 12
 # Longest run of PROBE_RECORDS records, read past the end of a split when needed.
 MAX_RECORD = 262144
@@ -105,16 +106,23 @@ class PcapReader(DataSourceReader):
         """First record of a split, None when the split has none."""
         if number == 0:
             return GLOBAL_BYTES
-        point, window = number * self.split, PROBE_BYTES
-        while True:
-            f.seek(point)
-            data = f.read(min(window, self.split + TAIL_BYTES))
-            at = _record_start(data, min(window, self.split), record, endian, nanos)
+        point = number * self.split
+        f.seek(point)
+        data = f.read(PROBE_BYTES)
+        at = _record_start(data, min(len(data), self.split), record, endian, nanos)
+        done = 0
+        # A start whose run of records is longer than the first probe: windows of fixed size, one by one.
+        while at is None and done < self.split:
+            f.seek(point + done)
+            data = f.read(WINDOW_BYTES + TAIL_BYTES)
+            span = min(WINDOW_BYTES, self.split - done)
+            at = _record_start(data, span, record, endian, nanos)
             if at is not None:
-                return point + at
-            if len(data) < window or window >= self.split + TAIL_BYTES:
+                return point + done + at
+            if len(data) < WINDOW_BYTES:
                 return None
-            window *= 8
+            done += WINDOW_BYTES
+        return None if at is None else point + at
 
     def _records(self, part):
         store, _ = resolve(self.path)

@@ -16,6 +16,7 @@ from quotemill.operators.reassembly import (
     replay,
 )
 from quotemill.operators.reconcile import key_set_diff, reconcile, reconcile_summary
+from quotemill.operators import scan
 from quotemill.operators.scan import (
     block_of,
     occurrence_number,
@@ -42,13 +43,17 @@ def rows(df):
     return Counter(map(tuple, df.collect()))
 
 
-def test_ordered_scan_equals_one_window(numbers):
+@pytest.mark.parametrize(("hot", "rows_of_a_task"), [(None, 1 << 22), (True, 0), (False, 0), (None, 0), (None, 150)])
+def test_ordered_scan_equals_one_window(numbers, monkeypatch, hot, rows_of_a_task):
+    """With ordinary groups, large ones, and some of each."""
+    monkeypatch.setattr(scan, "HOT_ROWS", rows_of_a_task)
     blocked = numbers.withColumn("b", block_of(F.col("at"), 16))
     got = ordered_scan(
         blocked,
         group=["g"],
         block=["b"],
         order=["at"],
+        hot=hot,
         n=running_count(),
         total=running_sum(F.col("w")),
         before=running_sum(F.col("w"), exclusive=True),
@@ -81,8 +86,37 @@ def test_numbering_without_group(numbers):
 
 def test_occurrences_of_hot_key(numbers):
     keyed = numbers.withColumn("b", block_of(F.col("at"), 16)).withColumn("k", F.lit(1))
-    got = occurrence_number(keyed, keys=["k"], block=["b"], order=["at"])
-    assert {(r["at"], r["occurrence"]) for r in got.collect()} == {(i, i + 1) for i in range(600)}
+    for hot in (None, True):
+        got = occurrence_number(keyed, keys=["k"], block=["b"], order=["at"], hot=hot)
+        assert {(r["at"], r["occurrence"]) for r in got.collect()} == {(i, i + 1) for i in range(600)}
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hash") + plan.count("Exchange range"), plan.count("Exchange Single")
+
+
+def test_exchanges_of_scans(numbers):
+    """One exchange for a lag or an occurrence number; numbering all rows needs no single partition."""
+    blocked = numbers.withColumn("b", block_of(F.col("at"), 16))
+    lagged = ordered_scan(blocked, group=["g"], block=["b"], order=["at"], prev=previous(F.col("v")))
+    assert exchanges(lagged) == (1, 0)
+    assert exchanges(occurrence_number(blocked, keys=["g"], block=["b"], order=["at"])) == (1, 0)
+    assert exchanges(routing.number_frames(blocked, block=["b"], order=["at"]))[1] == 0
+
+
+def test_row_numbers_and_running_totals_over_range_partitions(numbers):
+    for partitions in (1, 5, 40):
+        got = scan.row_numbers(numbers.repartition(7), ["at"], "n", start=3, partitions=partitions)
+        assert all(r["n"] == r["at"] + 3 for r in got.collect()) and got.count() == 600
+        some = numbers.select("at", "w")
+        total, want = 0, {}
+        for r in some.orderBy("at").collect():
+            want[r["at"]] = total
+            total += r["w"]
+        summed = scan.totals_before(some.repartition(7), ["at"], "w", "before", partitions)
+        assert {r["at"]: r["before"] for r in summed.collect()} == want
+    assert scan.row_numbers(numbers.limit(0), ["at"], "n").count() == 0
 
 
 def test_field_texts(spark):
