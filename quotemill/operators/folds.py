@@ -33,7 +33,7 @@ def _batches(rows, arrow):
         yield pa.RecordBatch.from_pylist(held, schema=arrow)
 
 
-def _over_groups(rows: DataFrame, keys, order, work, out: T.StructType, reverse: bool) -> DataFrame:
+def over_groups(rows: DataFrame, keys, order, work, out: T.StructType, reverse: bool) -> DataFrame:
     """``work`` (group key, rows as they come) over sorted groups, which a task meets one after the other."""
     arrow = to_arrow_schema(out)
     by = [F.col(c).desc() if reverse else F.col(c) for c in order]
@@ -104,28 +104,27 @@ def states_before(
     advance,
     start: tuple,
     state: T.StructType,
+    total: int,
     reverse: bool = False,
     width: int = WIDTH,
 ) -> DataFrame:
     """``summaries`` with the state (columns ``state``) that each row's flow has before it.
 
-    ``summaries`` is a written table with one row per flow and block. ``merge(a, b)`` composes two neighbouring
-    rows (dicts), ``a`` being the earlier block; ``advance(state, row)`` is the state after a row. With ``reverse`` states run from
-    the last block to the first.
+    ``summaries`` has one row per flow and block, of which there are ``total``; it is a written table if that
+    is above ``width``. ``merge(a, b)`` composes two neighbouring rows (dicts), ``a`` being the earlier block;
+    ``advance(state, row)`` is the state after a row. With ``reverse`` states run from the last block to the first.
     """
     names = [f.name for f in state.fields]
     columns = summaries.columns
     content = [c for c in columns if c not in (*FLOW, *block)]
-    blocks = summaries.select(*block).distinct()
-    total = blocks.count()
 
     def walked(rows, keys, order, keep):
         out = T.StructType([rows.schema[c] for c in keep] + state.fields)
-        return _over_groups(rows, keys, order, _walker(keep, names, advance, start), out, reverse)
+        return over_groups(rows, keys, order, _walker(keep, names, advance, start), out, reverse)
 
     if total <= width:
         return walked(summaries, FLOW, block, columns)
-    numbers = row_numbers(blocks, block, "number")
+    numbers = row_numbers(summaries.select(*block).distinct(), block, "number")
     levels = [summaries.join(numbers, block)]
     while total > width:
         total = -(-total // width)
@@ -133,7 +132,7 @@ def states_before(
         keys = [*FLOW, "group"]
         out = T.StructType([below.schema[c] for c in (*keys, *content)])
         levels.append(
-            _over_groups(below, keys, ["number"], _composer(keys, content, merge, reverse), out, reverse)
+            over_groups(below, keys, ["number"], _composer(keys, content, merge, reverse), out, reverse)
             .withColumnRenamed("group", "number")
         )
     above = walked(levels[-1], FLOW, ["number"], [*FLOW, "number"])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quotemill.operators.folds import WIDTH, states_before
+from quotemill.operators.folds import WIDTH, over_groups, states_before
 from quotemill.operators.packets import FLOW
 from quotemill.operators.reassembly import (
     BLOCK,
@@ -29,6 +29,7 @@ from quotemill.operators.reassembly import (
     INIT,
     MOD,
     RETRANSMIT,
+    block_count,
     by_flow,
     expected_carry,
     flow_slices,
@@ -474,12 +475,17 @@ def _cut_state(packets: DataFrame, proto, width: int) -> DataFrame:
         ]
         return rows_table(found, summary_arrow)
 
-    by_block = packets.groupBy(*BLOCK).cogroup(expected_carry(packets, width).groupBy(*BLOCK))
-    summaries = staged(by_block.applyInArrow(summarise, summary_schema), "summaries")
+    total = block_count(packets)
+    by_block = packets.groupBy(*BLOCK).cogroup(expected_carry(packets, total, width).groupBy(*BLOCK))
+    summaries = by_block.applyInArrow(summarise, summary_schema)
+    carry_schema = T.StructType(key_fields + expected + CARRY.fields)
+    if total <= width:
+        return over_groups(summaries, FLOW, BLOCK, _flow_walk(proto), carry_schema, False)
+    summaries = staged(summaries, "summaries")
 
     heads = summaries.select(*keys, "continues", "single", "head")
     behind = states_before(
-        heads, BLOCK, _merge_heads, lambda s, row: (_seen_by_previous(s[0], row),), (b"",), AHEAD, True, width
+        heads, BLOCK, _merge_heads, lambda s, row: (_seen_by_previous(s[0], row),), (b"",), AHEAD, total, True, width
     )
     effect_schema = T.StructType(summary_schema.fields + AHEAD.fields + STEPS.fields)
     effect_arrow = to_arrow_schema(effect_schema)
@@ -492,9 +498,8 @@ def _cut_state(packets: DataFrame, proto, width: int) -> DataFrame:
     told = summaries.join(behind.select(*keys, "ahead"), keys)
     ready = staged(told.select(*summaries.columns, "ahead").mapInArrow(effects, effect_schema), "effects")
     entered = states_before(
-        ready.select(*keys, "continues", "size", "steps"), BLOCK, _merge_effects, _advance, (0, None), OPENED, width=width
+        ready.select(*keys, "continues", "size", "steps"), BLOCK, _merge_effects, _advance, (0, None), OPENED, total, width=width
     )
-    carry_schema = T.StructType(key_fields + expected + CARRY.fields)
     carry_arrow = to_arrow_schema(carry_schema)
     names = [f.name for f in CARRY.fields]
 
@@ -510,6 +515,34 @@ def _cut_state(packets: DataFrame, proto, width: int) -> DataFrame:
     return found.mapInArrow(states, carry_schema)
 
 
+def _flow_walk(proto):
+    """The state of every block of a flow of few blocks, in one walk back and one forth."""
+
+    class Walk:
+        def __init__(self):
+            self.rows = []
+
+        def take(self, row):
+            self.rows.append(row)
+            return ()
+
+        def end(self):
+            ahead = b""
+            for row in reversed(self.rows):
+                row["ahead"] = ahead
+                ahead = _seen_by_previous(ahead, row)
+            names = [f.name for f in CARRY.fields]
+            skip, owner = 0, NOBODY
+            for row in self.rows:
+                told = row | {"magic": proto.magic, "proto": proto}
+                entry = (skip, owner) if row["continues"] else (0, NOBODY)
+                skip, owner, *tail = _enter(told, *(entry if row["single"] else (0, NOBODY)))
+                state = dict(zip(names, [entry[0], *entry[1], *tail]))
+                yield {k: row[k] for k in (*FLOW, *BLOCK, "expected_seq")} | state
+
+    return Walk
+
+
 def cut_events(
     packets: DataFrame, proto, block_bytes: int = BLOCK_BYTES, width: int = WIDTH
 ) -> DataFrame:

@@ -143,8 +143,15 @@ def by_flow(table, column):
     return dict(zip(zip(*(table[n].to_pylist() for n in FLOW)), table[column].to_pylist()))
 
 
-def expected_carry(packets: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(flow, block, expected_seq): the expected number each block starts with (null: first)."""
+def block_count(packets: DataFrame) -> int:
+    return packets.select(*BLOCK).distinct().count()
+
+
+def expected_carry(packets: DataFrame, total: int, width: int = WIDTH) -> DataFrame:
+    """(flow, block, expected_seq): the expected number each block starts with (null: first).
+
+    ``total``: the number of blocks.
+    """
     keys = FLOW + BLOCK
     narrow = packets.select(*keys, "capture_seq", "tcp_seq", "payload_len")
 
@@ -157,8 +164,9 @@ def expected_carry(packets: DataFrame, width: int = WIDTH) -> DataFrame:
 
     summary_schema = T.StructType(_flow_types(narrow, keys) + schema(STEP_SCHEMA).fields)
     summary_arrow = to_arrow_schema(summary_schema)
-    blocks = staged(narrow.groupBy(*BLOCK).applyInArrow(summarise, summary_schema), "steps")
-    found = states_before(blocks, BLOCK, _merge_rows, _advance, (None,), EXPECTED, width=width)
+    blocks = narrow.groupBy(*BLOCK).applyInArrow(summarise, summary_schema)
+    blocks = staged(blocks, "steps") if total > width else blocks
+    found = states_before(blocks, BLOCK, _merge_rows, _advance, (None,), EXPECTED, total, width=width)
     return found.select(*keys, "expected_seq")
 
 
@@ -211,7 +219,7 @@ def classify_segments(
 
     return (
         packets.groupBy(*BLOCK)
-        .cogroup(expected_carry(packets, width).groupBy(*BLOCK))
+        .cogroup(expected_carry(packets, block_count(packets), width).groupBy(*BLOCK))
         .applyInArrow(run, out)
     )
 

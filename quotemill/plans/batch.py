@@ -13,7 +13,7 @@ from quotemill.operators.routing import first_arrival, number_frames, route
 from quotemill.operators.scan import block_of
 from quotemill.operators.snapshots import decode_snapshots, valid_snapshots
 from quotemill.operators.ticks import decode_ticks, valid_ticks
-from quotemill.session import staged
+from quotemill.session import configure, staged
 from quotemill.sources.pcap import PcapSource
 from quotemill.sources.segments import SegmentSource, header_options
 
@@ -30,6 +30,7 @@ def tcp_source(spark: SparkSession, kind: str, path: str, ports, **options) -> D
 
     One plan per source, see ``sources.headers``.
     """
+    configure(spark)  # pushing must be allowed
     spark.dataSource.register({"capseg": SegmentSource, "pcap": PcapSource}[kind])
     reader = spark.read.format(kind).option("path", path).options(**options)
     return tcp_with_payload(reader.options(**header_options(True, ports)).option("push", "true").load())
