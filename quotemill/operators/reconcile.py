@@ -2,10 +2,10 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.operators.scan import occurrence_number
+from quotemill.operators.scan import occurrence_number, split_hot
 
 # Compared fields; times are compared to the second.
 FIELDS = (
@@ -15,25 +15,28 @@ FIELDS = (
 
 
 def reconcile(
-    decoded: DataFrame, reference: DataFrame, *, key, fields=FIELDS, block, order
+    decoded: DataFrame, reference: DataFrame, *, key, fields=FIELDS, block, order, hot: bool | None = None
 ) -> DataFrame:
-    """Full comparison by key; rows with equal keys pair in order.
+    """Full comparison by key; rows with equal keys pair in order. Rows with a null in the key pair with none.
 
-    status: match, error (fields differ), miss (decoded only), ref_remain (reference only). The
-    join key includes the occurrence number, so it is unique on both sides and cannot skew.
+    status: match, error (fields differ), miss (decoded only), ref_remain (reference only). Both sides
+    cross the network once, together: rows of a key are numbered and paired where they meet. Keys too
+    large for a task (``hot``, see ``scan.split_hot``) are numbered by blocks and joined by key and number.
     """
-
-    def side(df, name):
-        numbered = occurrence_number(df, keys=key, block=block, order=order)
-        return numbered.select(*key, "occurrence", F.struct(*fields).alias(name))
-
-    joined = side(decoded, "decoded").join(
-        side(reference, "reference"), [*key, "occurrence"], "full_outer"
+    key, fields = list(key), list(fields)
+    columns = list(dict.fromkeys([*key, *fields, *block, *order]))
+    both = decoded.select(*columns, F.lit(True).alias("_decoded")).unionByName(
+        reference.select(*columns, F.lit(False).alias("_decoded"))
     )
+    if hot is None:
+        ordinary, large = split_hot(both, key)
+    else:
+        ordinary, large = (None, both) if hot else (both, None)
+    found = [f(rows, key, fields, block, order) for f, rows in ((_paired, ordinary), (_joined, large)) if rows is not None]
     same = reduce(
         lambda a, b: a & b, [F.col(f"decoded.{f}").eqNullSafe(F.col(f"reference.{f}")) for f in fields]
     )
-    return joined.withColumn(
+    return reduce(DataFrame.unionByName, found).withColumn(
         "status",
         F.when(F.col("reference").isNull(), "miss")
         .when(F.col("decoded").isNull(), "ref_remain")
@@ -42,6 +45,26 @@ def reconcile(
     )
 
 
+def _paired(rows, key, fields, block, order):
+    w = Window.partitionBy(*key, "_decoded").orderBy(*order)
+    here = rows.repartition(*key).withColumn("occurrence", F.row_number().over(w).cast("long"))
+    # the side tells rows without a whole key apart, which so pair with none
+    alone = F.when(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]), F.col("_decoded"))
+    content = F.struct(*fields)
+    sides = [F.any_value(F.when(c, content), True).alias(n) for n, c in (("decoded", F.col("_decoded")), ("reference", ~F.col("_decoded")))]
+    return here.groupBy(*key, "occurrence", alone.alias("_alone")).agg(*sides).drop("_alone")
+
+
+def _joined(rows, key, fields, block, order):
+    def side(wanted, name):
+        numbered = occurrence_number(rows.filter(wanted), keys=key, block=block, order=order, hot=True)
+        return numbered.select(*key, "occurrence", F.struct(*fields).alias(name))
+
+    return side(F.col("_decoded"), "decoded").join(
+        side(~F.col("_decoded"), "reference"), [*key, "occurrence"], "full_outer"
+    )
+
+
 def reconcile_summary(result: DataFrame) -> DataFrame:
     """Counts; the reference side of an error also counts as remaining."""
 
