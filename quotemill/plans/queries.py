@@ -19,7 +19,7 @@ from quotemill.operators import (
     traffic,
 )
 from quotemill.operators.scan import block_of
-from quotemill.plans import batch, fixtures, jobs
+from quotemill.plans import batch, fixtures, jobs, reports
 from quotemill.plans import sqltext as sql
 from quotemill.plans.fixtures import table
 from quotemill.session import configure, scratch_dir, staged
@@ -1766,3 +1766,249 @@ def stream_ticks_deduped(spark, sf_dir):
     stream = streaming.decode_stream(spark, folder, "cap", RULES, port=9129, dedup_delay="400 days")
     streaming.run_available(stream.select(*TICK_FIELDS), sink, checkpoint)
     return spark.read.parquet(sink)
+
+
+# ---- reports over captures ----------------------------------------------------------------------
+
+
+@query(
+    sql.with_(
+        _PACKETS,
+        f"""
+        , seen AS (
+          SELECT '10.3.0.' || channel AS src_ip, CASE WHEN is_udp THEN 7001 ELSE 7000 END AS sport,
+            CASE WHEN is_udp THEN 1985 ELSE 51000 END AS dport, is_udp, size, ({_CLOCK}) // 1000 AS ts_us FROM wire)
+        SELECT 'flow' AS item, src_ip || ':' || sport || '>' || dport AS key, count(*) AS n,
+          CAST(sum(size) AS BIGINT) AS bytes, CAST(max(ts_us) - min(ts_us) AS BIGINT) AS lasted, is_udp AS noise
+        FROM seen GROUP BY src_ip, sport, dport, is_udp
+        UNION ALL SELECT 'business', src_ip || ':' || sport || '>' || dport, count(*), CAST(sum(size) AS BIGINT),
+          CAST(max(ts_us) - min(ts_us) AS BIGINT), false FROM seen WHERE NOT is_udp GROUP BY src_ip, sport, dport
+        UNION ALL SELECT 'noise', NULL, count(DISTINCT src_ip || sport), count(DISTINCT src_ip) FILTER (is_udp), NULL, NULL FROM seen
+        UNION ALL SELECT 'rate', '0', count(*), NULL, NULL, NULL FROM seen WHERE NOT is_udp
+        """,
+    )
+)
+def recon_tables(spark, sf_dir):
+    """Flows, noise, business flows and packet rate of a capture's packets."""
+    found = reports.reconnaissance(event_segments(spark, sf_dir))
+    none = F.lit(None).cast("long")
+
+    def flow_rows(item, rows, noise):
+        key = F.concat("src_ip", F.lit(":"), "sport", F.lit(">"), "dport")
+        return rows.select(
+            F.lit(item).alias("item"), key.alias("key"), F.col("pkts").alias("n"), "bytes", F.col("duration_us").alias("lasted"), noise.alias("noise")
+        )
+
+    unknown = F.lit(None).cast("boolean").alias("noise")
+    noise = found["noise"].select(F.lit("noise"), F.lit(None).cast("string"), "flows", "noise_flows", none, unknown)
+    rate = found["rate"].select(F.lit("rate"), F.col("bucket").cast("string"), "count", none, none, unknown)
+    flows = flow_rows("flow", found["flows"], F.col("noise"))
+    return flows.unionAll(flow_rows("business", found["business"], F.lit(False))).unionAll(noise).unionAll(rate)
+
+
+@query(
+    sql.with_(
+        _PACKETS,
+        f"""
+        SELECT 7000 AS sport, 51000 AS dport, CAST(size AS INTEGER) AS payload_len,
+          repeat('78', CAST(size AS INTEGER)) AS hex, repeat('x', CAST(size AS INTEGER)) AS ascii
+        FROM wire WHERE NOT is_udp ORDER BY event_id LIMIT 20
+        """,
+    )
+)
+def recon_preview(spark, sf_dir):
+    """The first payloads of the largest business flow's port, as hex and as text."""
+    return reports.reconnaissance(event_segments(spark, sf_dir))["preview"]
+
+
+@query(
+    """
+    SELECT doc_id AS capture_seq, substr(text, 1, 24) AS text FROM documents
+    WHERE doc_id % 3 = 1 AND strlen(text) > 200 ORDER BY doc_id LIMIT 5
+    """
+)
+def heartbeat_samples(spark, sf_dir):
+    """The first frames of a link type with their UTF-16 text; other frames lie between them."""
+    link = F.when(F.col("doc_id") % 3 == 1, F.lit(bytearray(b"\x88\x6d"))).otherwise(F.lit(bytearray(b"\x08\x06")))
+    rows = table(spark, sf_dir, "documents").filter(F.octet_length("text") > 200).select(
+        F.lit("memory").alias("file"),
+        F.col("doc_id").alias("capture_seq"),
+        F.col("doc_id").alias("ts_ns"),
+        F.concat(F.lit(bytearray(12)), link, F.encode(F.substring("text", 1, 200), "UTF-16LE")).alias("frame"),
+    )
+    return reports.link_samples(rows).select("capture_seq", "text")
+
+
+@query(
+    sql.with_(
+        sql.FRAMES,
+        """
+        , beats AS (SELECT * FROM frames WHERE frame_no % 4 = 0)
+        SELECT 'frames 9/5803' AS item, count(*) AS n FROM frames
+        UNION ALL SELECT 'zip_ok 9/5803', count(*) FROM frames WHERE frame_no % 2 = 1
+        UNION ALL SELECT 'frames 6/3115', count(*) FROM beats
+        UNION ALL SELECT 'zip_ok 6/3115', 0
+        UNION ALL SELECT 'bytes 6/3115', count(*) * 58 FROM beats
+        UNION ALL SELECT 'label 6/3115 M101', count(*) FROM beats
+        UNION ALL SELECT 'sample 6/3115 M101', least(2, count(*)) FROM beats
+        UNION ALL SELECT 'samples 9/5803', least(5, count(*)) FROM frames
+        UNION ALL SELECT 'lost 10.1.0.' || channel, count(*) * 37 FROM groups WHERE group_no % 3 = 1 GROUP BY channel
+        UNION ALL SELECT 'gaps', 0
+        UNION ALL SELECT 'mismatches', 0
+        """,
+    )
+)
+def frame_report(spark, sf_dir):
+    """A17 to A19, W1, W2, P14 over the 40-byte frames of a capture."""
+
+    def make():
+        found = segments.read_segments(spark, capture(spark, sf_dir, "v1"), "cap", ports=5261, side="src")
+        return staged(packets.tcp_with_payload(found), "v1-packets")
+
+    found = reports.frame_report(once(spark, sf_dir, "v1", make), block_bytes=SMALL_BLOCK)
+    channel = F.concat("type", F.lit("/"), "subtype")
+
+    def rows(name, frame, text, n):
+        return frame.select(text.alias("item"), n.cast("long").alias("n"))
+
+    def named(prefix, *more):
+        return F.concat(F.lit(prefix + " "), channel, *more)
+
+    stats, samples = found["channels"], found["samples"].groupBy("type", "subtype", "sample_class").count()
+    parts = [
+        rows("frames", stats, named("frames"), F.col("frames")),
+        rows("zip", stats, named("zip_ok"), F.col("zip_ok")),
+        rows("bytes", stats.filter("subtype = 3115"), named("bytes"), F.col("bytes")),
+        rows("labels", found["labels"].filter("label = 'M101'"), named("label", F.lit(" "), F.col("label")), F.col("count")),
+        rows("beats", samples.filter("sample_class = 'beat'"), named("sample", F.lit(" M101")), F.col("count")),
+        rows("samples", samples.filter("sample_class = 'frame'"), named("samples"), F.col("count")),
+        rows("lost", found["lost"], F.concat(F.lit("lost "), "src_ip"), F.col("lost_bytes")),
+        rows("gaps", found["gaps"].agg(F.count(F.lit(1)).alias("n")), F.lit("gaps"), F.col("n")),
+        rows("mismatches", stats.agg(F.sum("mismatches").alias("n")), F.lit("mismatches"), F.col("n")),
+    ]
+    return reconcile.concat(*parts)
+
+
+@query(
+    sql.with_(
+        sql.TICKS,
+        """
+        , s AS (SELECT *, row_number() OVER (ORDER BY channel, biz_index) AS place FROM ticks WHERE action = 'S'),
+        kept AS (
+          SELECT * REPLACE (CASE WHEN biz_index % 11 = 0 THEN 'X' ELSE bs_flag END AS bs_flag)
+          FROM s WHERE biz_index % 7 <> 0),
+        v AS (SELECT * EXCLUDE (place), row_number() OVER (ORDER BY channel, biz_index) AS place FROM kept)
+        SELECT 'left' AS item, security_id || ' ' || bs_flag AS key, count(*) AS n FROM s
+        WHERE (security_id, bs_flag) NOT IN (SELECT (security_id, bs_flag) FROM v) GROUP BY ALL
+        UNION ALL SELECT 'right', security_id || ' ' || bs_flag, count(*) FROM v
+        WHERE (security_id, bs_flag) NOT IN (SELECT (security_id, bs_flag) FROM s) GROUP BY ALL
+        UNION ALL SELECT 'place', CASE WHEN s.bs_flag = v.bs_flag THEN 'same' ELSE 'other' END, count(*)
+        FROM s JOIN v USING (place) GROUP BY ALL
+        """,
+    )
+)
+def status_check(spark, sf_dir):
+    """X1, J3, E5 over status records read back from frames, against a vendor's with gaps and changes."""
+    made = fixtures.tick_projection(spark, sf_dir).filter("action = 'S'")
+    found = records.status_records(records.split_by_tid(fixtures.status_frames(made)))
+    decoded = staged(
+        found.select(
+            F.col("sec_id").alias("security_id"),
+            F.col("status").alias("bs_flag"),
+            F.get("prefix_ints", F.lit(1)).alias("channel"),
+            F.get("prefix_ints", F.lit(0)).alias("biz_index"),
+            F.lit("").alias("tick_time"),
+        ),
+        "status",
+    )
+    flag = F.when(F.col("biz_index") % 11 == 0, "X").otherwise(F.col("bs_flag"))
+    vendor = made.filter("biz_index % 7 <> 0").select("security_id", flag.alias("bs_flag"), "channel", "biz_index", F.lit("").alias("tick_time"))
+    tables_ = reports.status_check(decoded, vendor, block=["channel"], order=["channel", "biz_index"])
+    sets = tables_["sets"].select(F.col("side").alias("item"), F.concat_ws(" ", "security_id", "bs_flag").alias("key"), F.col("count").alias("n"))
+    places = tables_["places"].groupBy(F.when(F.col("same"), "same").otherwise("other").alias("key")).count()
+    return sets.unionAll(places.select(F.lit("place"), "key", "count"))
+
+
+@query(
+    sql.with_(
+        sql.TICKS,
+        """
+        SELECT 'pmap' AS field, '7E84' AS value, count(*) AS count FROM ticks WHERE action = 'S'
+        UNION ALL SELECT 'tid', '5803', count(*) FROM ticks WHERE action = 'S'
+        UNION ALL SELECT 'status', bs_flag, count(*) FROM ticks WHERE action = 'S' GROUP BY bs_flag
+        """,
+    )
+)
+def pmap_histogram(spark, sf_dir):
+    """Presence maps (as hex), templates and statuses of split records."""
+    frames = fixtures.status_frames(fixtures.tick_projection(spark, sf_dir))
+    return traffic.value_histograms(records.status_records(records.split_by_tid(frames)), ["pmap", "tid", "status"])
+
+
+def _clock_sql(c):
+    return " || ':' || ".join(f"lpad(CAST({c} // {d} % 100 AS VARCHAR), 2, '0')" for d in (10000, 100, 1))
+
+
+def _px_sql(c):
+    return f"CAST(CAST(({c}) AS DECIMAL(18, 0)) / 10000 AS DECIMAL(20, 4))::VARCHAR"
+
+
+def book_frames(spark, sf_dir):
+    """Frames of 20 snapshots each, with numbers as a capture gives them."""
+
+    def make():
+        framed = fixtures.snapshot_frames(fixtures.snapshot_projection(spark, sf_dir))
+        return staged(framed.withColumn("frame_no", F.monotonically_increasing_id()), "book-frames")
+
+    return once(spark, sf_dir, "book-frames", make)
+
+
+@query(
+    sql.with_(
+        sql.SNAPSHOTS,
+        f"""
+        SELECT security_id AS "SecID", {_clock_sql('tick_time')} AS "TickTime", CAST(data_status AS VARCHAR) AS "DataStatus",
+          CAST(image_status AS VARCHAR) AS "ImageStatus", instrument_status AS "InstrStatus", trading_phase_code AS "Phase",
+          {_px_sql('open_px')} AS "Open", {_px_sql('last_px')} AS "Last", '0.0000' AS "Close", CAST(num_trades AS VARCHAR) AS "NumTrades",
+          CAST(total_volume AS VARCHAR) AS "TotalVol", {_px_sql('iopv')} AS "IOPV", {_px_sql('px - 10')} AS "BidPx1",
+          CAST(lot AS VARCHAR) AS "BidQty1", {_px_sql('CASE WHEN n % 3 > 0 THEN px + 10 ELSE 0 END')} AS "OfferPx1",
+          CASE WHEN n % 3 > 0 THEN CAST(lot AS VARCHAR) ELSE '0' END AS "OfferQty1", 'true' AS placed
+        FROM book
+        """,
+    )
+)
+def snapshots_export(spark, sf_dir):
+    """The snapshot file with outer numbers, frame and record places, written and read back."""
+    framed = book_frames(spark, sf_dir)
+    numbered = routing.number_frames(
+        framed.withColumn("_block", block_of(F.col("frame_no"))), block=["_block"], order=["frame_no"]
+    ).withColumn("outer_seq", F.col("frame_no"))
+    folder = scratch_dir(spark, "snapshot-file")
+    tables.write_snapshots(snapshots.decode_snapshots(numbered), folder, "csv")
+    back = spark.read.option("header", True).csv(folder)
+    frames = framed.agg(F.count(F.lit(1))).scalar()
+    places = F.col("FrameIdx").cast("long").between(1, frames) & F.col("RecIdx").cast("long").between(0, 19) & F.col("OuterSeq").isNotNull()
+    wanted = "SecID TickTime DataStatus ImageStatus InstrStatus Phase Open Last Close NumTrades TotalVol IOPV BidPx1 BidQty1 OfferPx1 OfferQty1"
+    return back.select(*wanted.split(), places.cast("string").alias("placed"))
+
+
+@query(sql.with_(sql.SNAPSHOTS, f"SELECT {_SNAPSHOT_SCALARS}, n AS depth FROM book"))
+def stream_snapshots(spark, sf_dir):
+    """Snapshots decoded from their own frames in a stream of segments."""
+    framed = book_frames(spark, sf_dir).select(
+        "category_id", "msg_type", "payload", "frame_no",
+        (F.col("frame_no") % 4 + 1).alias("channel"),
+        F.call_function("div", "frame_no", F.lit(32)).alias("group_no"),
+        F.col("frame_no").alias("msg_seq_id"),
+        F.lit("20260114-09:30:00").alias("sending_time"),
+    )
+    folder = scratch_dir(spark, "book-capture")
+    made = fixtures.capture_packets(fixtures.step_blobs(framed, faults=False), copies=1, faults=True)
+    segments.write_segments(made, folder, "cap", max_bytes=4 << 20)
+    sink, checkpoint = scratch_dir(spark, "stream-books"), scratch_dir(spark, "stream-state")
+    stream = streaming.decode_stream(
+        spark, folder, "cap", RULES, port=9129, output="snapshots", checkpoint=checkpoint, max_batch_bytes=STREAM_BATCH
+    )
+    streaming.run_available(stream, sink, checkpoint)
+    found = snapshots.valid_snapshots(spark.read.parquet(sink))
+    return found.select(*_SNAPSHOT_SCALARS.split(", "), F.size("bid_levels").cast("long").alias("depth"))

@@ -353,8 +353,9 @@ def test_snapshot_export_view(spark, tmp_path):
     tables.write_snapshots(decoded, str(tmp_path / "csv"), "csv")
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.count() == decoded.count()
-    row = back.filter("bid_px_1 is not null").first()
-    assert row["tick_time"][2] == ":" and "." in row["last_px"] and row["bid_px_10"] == "0.0000"
+    row = back.filter("BidPx1 is not null").first()
+    assert row["TickTime"][2] == ":" and "." in row["Last"] and row["BidPx10"] == "0.0000"
+    assert back.columns[:2] == ["SecID", "TickTime"] and back.columns[-2:] == ["OfferQty10", "RecIdx"] and len(back.columns) == 85
     tables.write_snapshots(decoded, str(tmp_path / "pq"))
     assert spark.read.parquet(str(tmp_path / "pq")).schema["bid_levels"].dataType.simpleString().startswith("array<struct")
 
