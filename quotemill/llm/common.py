@@ -57,6 +57,26 @@ def space_chunks(text: str):
     return out
 
 
+class Memo(dict):
+    """A dict bounded in bytes, which forgets everything when full. It belongs to the task that makes it.
+
+    ``put`` counts the sizes of key and value and a fixed part for their objects and the entry.
+    """
+
+    OBJECTS = 200
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.used = limit, 0
+
+    def put(self, key, value, size: int) -> None:
+        self.used += size + self.OBJECTS
+        if self.used > self.limit:
+            self.clear()
+            self.used = size + self.OBJECTS
+        self[key] = value
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of unsigned 64-bit values (the splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -1,4 +1,5 @@
 import random
+from array import array
 
 import numpy as np
 import public_tokenizers as P
@@ -32,13 +33,11 @@ def samples():
 
 def test_same_as_library(coder, known):
     split = regex.compile(P.PATTERN).findall
-    memo = bpe._Chunks(coder, P.PATTERN)
+    whole = bpe.Encoder(coder, P.PATTERN)
     for text in samples():
         want = known.encode_ordinary(text)
         assert [i for p in split(text) for i in coder.encode(p.encode())] == want
-        chunks = bpe.space_chunks(text)
-        raw = memo[text] if chunks is None else b"".join(memo[c] for c in chunks)
-        assert np.frombuffer(raw, "<u4").tolist() == want
+        assert np.frombuffer(whole.encode(text), "<u4").tolist() == want
 
 
 def test_random_bytes_follow_the_merge_rules(coder):
@@ -48,12 +47,45 @@ def test_random_bytes_follow_the_merge_rules(coder):
         assert data in coder.ranks or coder.encode(data) == coder.merged(data)
 
 
-def test_memos_are_bounded(coder, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 3)
-    memo = bpe._Chunks(coder, P.PATTERN)
-    for i in range(50):
-        memo[f" word{i}"]
-    assert len(memo) <= 3 and len(memo.pieces) <= 3
+def test_compatible_pairs_are_those_that_merge_back(coder):
+    """The walk along the seam against a full merge of both tokens' bytes."""
+    rnd = random.Random(8)
+    small = [t for t in range(len(coder.tokens)) if len(coder.tokens[t]) <= 3]
+    pairs = [tuple(rnd.choices(range(len(coder.tokens)), k=2)) for _ in range(4000)]
+    pairs += [(rnd.choice(small), rnd.choice(small)) for _ in range(6000)]
+    pairs += [(t, t) for t in rnd.sample(range(len(coder.tokens)), 1500)]
+    for token in rnd.sample(range(256, len(coder.tokens)), 2500):  # halves merge, neighbours of a cut often don't fit
+        pairs.append(coder.halves(token))
+        data = coder.tokens[token] + coder.tokens[rnd.choice(small)]
+        cut = rnd.randrange(1, len(data))
+        if data[:cut] in coder.ranks and data[cut:] in coder.ranks:
+            pairs.append((coder.ranks[data[:cut]], coder.ranks[data[cut:]]))
+    outcomes = set()
+    for left, right in pairs:
+        want = coder.merged(coder.tokens[left] + coder.tokens[right]) == [left, right]
+        assert coder._seam_holds(left, right) == want, (left, right)
+        outcomes.add(want)
+    assert outcomes == {True, False}
+
+
+def test_memos_are_bounded_in_bytes(coder):
+    small = bpe.Encoder(coder, P.PATTERN, 2000, 1000)
+    large = bpe.Encoder(coder, P.PATTERN)
+    for i in range(300):
+        text = f" word{i} and{i % 7} a\nline{i}"
+        assert small.encode(text) == large.encode(text)
+        assert small.pieces.used <= 2000 and small.chunks.used <= 1000
+    assert len(large.chunks) > 300 and array("I").itemsize == 4
+
+
+def test_decoding_a_column():
+    import pyarrow as pa
+
+    tokens = pa.array([b"a", b"", b"bcd"], pa.large_binary())
+    ids = [np.array(x, "<u4").tobytes() if x is not None else None for x in ([2, 0], None, [], [1], [0, 2, 2])]
+    for column in (pa.array(ids, pa.binary()), pa.array([b"xxxx", *ids], pa.binary()).slice(1), pa.array([], pa.binary())):
+        want = [None if x is None else b"".join(tokens[int(i)].as_py() for i in np.frombuffer(x, "<u4")) for x in column.to_pylist()]
+        assert bpe.decode_ids(column, tokens).to_pylist() == want
 
 
 def test_documents(spark, known):
