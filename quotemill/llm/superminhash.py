@@ -13,7 +13,6 @@ result. At the threshold of 0.8 a linked pair shares no band with probability un
 """
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import mix64, raw_texts, slices, stage
+from quotemill.llm.common import Memo, mix64, raw_texts, slices, stage
 from quotemill.llm.components import close_buckets, shared_buckets
 
 BANDS, ROWS = 30, 5
@@ -31,32 +30,30 @@ SHINGLE_WORDS = 5
 SLICE_BYTES = 1 << 18
 FILTER_BITS = 1 << 24
 BLOCK_HASHES = 1 << 20
-MEMO_ENTRIES = 600_000
+WORD_BYTES = 24 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, 1 << 12, dtype=np.uint64) * _GOLDEN
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-HASH_BYTES = 5
 
 
-class _Words(dict):
-    def __missing__(self, word):
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+class Words(Memo):
+    """Word -> hash; one per task."""
 
+    def __init__(self):
+        super().__init__(WORD_BYTES)
 
-@lru_cache(maxsize=1)
-def _words() -> _Words:
-    return _Words()
+    def __missing__(self, word):
+        h = xxhash.xxh3_64_intdigest(word)
+        self.put(word, h, len(word))
+        return h
 
 
-def shingles(data: bytes, width: int) -> np.ndarray:
+def shingles(data: bytes, width: int, hashes: Words) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     words = data.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = max(len(h) - width + 1, 1)
     out = np.full(n, min(width, len(h)), np.uint64)
     for k in range(min(width, len(h))):
@@ -108,9 +105,10 @@ def sketch(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """(id, n_shingles, class binary, bands array): one narrow row per document, staged."""
 
     def run(batches):
+        words = Words()
         for b in batches:
             for part in slices(b, text, SLICE_BYTES):
-                sets = [shingles(x, width) for x in raw_texts(part.column(1))]
+                sets = [shingles(x, width, words) for x in raw_texts(part.column(1))]
                 keys = band_keys(signatures(sets))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -137,26 +135,24 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def _packed(s: np.ndarray) -> bytes:
-    return np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]).tobytes()
+    return s.astype("<u8").tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
-    out[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
-    return np.unique(out.view("<u8").reshape(-1))
+    return np.frombuffer(data, "<u8")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """(id, hashes): the packed sets of some documents, HASH_BYTES bytes a shingle, staged. Texts are scanned, not shuffled."""
+    """(id, hashes): the sets of some documents, sorted hashes of 64 bits, staged. Texts are scanned, not shuffled."""
     bits = docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
 
     def run(batches):
-        mask = bits.value
+        mask, words = bits.value, Words()
         for b in batches:
             word = b.column(2).to_numpy()
             b = b.filter(pa.array((mask[word >> 3] >> (word & 7).astype(np.uint8)) & 1 == 1))
             for part in slices(b, text, SLICE_BYTES):
-                sets = [_packed(shingles(x, width)) for x in raw_texts(part.column(1))]
+                sets = [_packed(shingles(x, width, words)) for x in raw_texts(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
 
     key = F.col(doc_id).cast("long")
@@ -219,7 +215,7 @@ def blocks_against(ids: DataFrame, candidates: DataFrame, sets: DataFrame) -> Da
     block, size = [], 0
     for r in sets.join(ids, "id", "left_semi").toLocalIterator():  # one block on the driver at a time
         block.append((r["id"], bytes(r["hashes"])))
-        size += len(r["hashes"]) // HASH_BYTES
+        size += len(r["hashes"]) // 8
         if size >= BLOCK_HASHES:
             out = out.unionAll(stage(hold(block), "block-links"))
             block, size = [], 0
