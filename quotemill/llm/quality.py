@@ -19,6 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotemill.llm.common import free_name
+from quotemill.session import configure
+
 SKETCH_BITS = 5
 MIN_GROUP = 50
 UPPER = 0.75
@@ -84,8 +87,8 @@ def measure(data: bytes) -> tuple[int, ...]:
     )
 
 
-def document_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``m`` of the counts (see COUNTS)."""
+def document_counts(docs: DataFrame, text: str = "text", into: str = "m") -> DataFrame:
+    """``docs`` with a struct ``into`` of the counts (see COUNTS)."""
 
     def count(column: pa.Array) -> pa.Array:
         rows = [measure(x or b"") for x in column.cast(pa.binary()).to_pylist()]
@@ -93,23 +96,28 @@ def document_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         data = np.array(rows, np.int64).reshape(len(rows), len(names))
         return pa.StructArray.from_arrays([pa.array(data[:, i]) for i in range(len(names))], names)
 
-    return docs.withColumn("m", F.arrow_udf(count, f"struct<{COUNTS.replace(' long', ':bigint')}>")(F.col(text)))
+    return docs.withColumn(into, F.arrow_udf(count, f"struct<{COUNTS.replace(' long', ':bigint')}>")(F.col(text)))
+
+
+def _rate(part: str, whole: str, counts: str = "m"):
+    share = F.floor(F.col(f"{counts}.{part}") * 1000 / F.col(f"{counts}.{whole}"))
+    return F.when(F.col(f"{counts}.{whole}") > 0, share).otherwise(0).cast("long")
 
 
-def _rate(part: str, whole: str):
-    return F.when(F.col(f"m.{whole}") > 0, F.floor(F.col(f"m.{part}") * 1000 / F.col(f"m.{whole}"))).otherwise(0).cast("long")
+# measure -> the counts whose ratio it is
+RATES = {
+    "symbol_rate": ("n_symbols", "word_chars"),
+    "dup_line_rate": ("n_dup_lines", "n_lines"),
+    "repeat_rate": ("n_repeat_words", "n_words"),
+    "upper_rate": ("n_upper", "n_letters"),
+    "word_len": ("word_chars", "n_words"),
+    "short_word_rate": ("n_short", "n_words"),
+}
 
 
 def measures() -> dict:
     """Whole-number measures of a counted document."""
-    return {
-        "symbol_rate": _rate("n_symbols", "word_chars"),
-        "dup_line_rate": _rate("n_dup_lines", "n_lines"),
-        "repeat_rate": _rate("n_repeat_words", "n_words"),
-        "upper_rate": _rate("n_upper", "n_letters"),
-        "word_len": _rate("word_chars", "n_words"),
-        "short_word_rate": _rate("n_short", "n_words"),
-    }
+    return {n: _rate(part, whole) for n, (part, whole) in RATES.items()}
 
 
 def bucket(value, bits: int = SKETCH_BITS):
@@ -163,25 +171,39 @@ def adaptive_limits(counted: DataFrame, lang: str, source: str) -> DataFrame:
     return both.groupBy(*groups).agg(*[F.max(F.when(F.col("measure") == n, value)).alias(f"max_{n}") for n in LIMITS])
 
 
+OWN = "_judged"
+
+
+def _judged(docs: DataFrame, text: str, lang: str, source: str) -> tuple[DataFrame, str]:
+    """``docs`` and one struct, under a name of its own: counts ``m``, base_failed, failed, kept."""
+    own, group, limit, over = (free_name(docs, n) for n in (OWN, "_group", "_limits", "_over"))
+    counted = document_counts(docs.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text")), "text")
+    limits = adaptive_limits(counted.drop("text"), "lang", "source")
+    named = limits.select(
+        F.struct("_lang", "_source").alias(group), F.struct(*[f"max_{n}" for n in LIMITS]).alias(limit)
+    )
+    same = F.col(lang).eqNullSafe(F.col(f"{group}._lang")) & F.col(source).eqNullSafe(F.col(f"{group}._source"))
+    joined = document_counts(docs, text, over).join(named, same, "left")
+    measured = {n: _rate(a, b, over) for n, (a, b) in RATES.items()}
+    failed = F.array_compact(F.array(*[F.when(v > F.col(f"{limit}.max_{n}"), F.lit(n)) for n, v in measured.items()]))
+    bad = (F.col(f"{over}.n_words") < 50) | (100 * F.col(f"{over}.n_repeat_words") > 50 * F.col(f"{over}.n_words"))
+    verdict = F.struct(F.col(over).alias("m"), bad.alias("base_failed"), failed.alias("failed"), (~bad & (F.size(failed) == 0)).alias("kept"))
+    return joined.select(*docs.columns, verdict.alias(own)), own
+
+
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``docs`` with ``m`` (the counts), ``base_failed``, ``failed`` (measures over their threshold) and ``kept``.
 
-    Texts are read twice and never shuffled: once for the sketches, once for the verdict.
+    Texts are read twice and never shuffled: once for the sketches, once for the verdict. Columns of the input come
+    back as they are; where one has the name of a result, the result takes the name with underscores added.
     """
-    counted = document_counts(docs, text).withColumn(
-        "base_failed", (F.col("m.n_words") < 50) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
-    )
-    limits = adaptive_limits(counted, lang, source)
-    same = F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source"))
-    over = F.array_compact(F.array(*[F.when(v > F.col(f"max_{n}"), F.lit(n)) for n, v in measures().items()]))
-    return (
-        counted.join(limits, same, "left")
-        .withColumn("failed", over)
-        .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
-        .drop("_lang", "_source", *[f"max_{n}" for n in LIMITS])
-    )
+    configure(docs.sparkSession)
+    judged, own = _judged(docs, text, lang, source)
+    return judged.select(*docs.columns, *[F.col(f"{own}.{n}").alias(free_name(docs, n)) for n in ("m", "base_failed", "failed", "kept")])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns only."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    """The documents that pass, with their own columns only, whatever their names."""
+    configure(docs.sparkSession)
+    judged, own = _judged(docs, "text", "lang", "source")
+    return judged.filter(f"{own}.kept").select(*docs.columns)

@@ -58,3 +58,18 @@ def test_sketch_quantiles_and_merge(spark):
     got = frame.select("v", q.bucket(F.col("v")).alias("b"), q.bucket_low(q.bucket(F.col("v"))).alias("low")).orderBy("v").collect()
     assert [r.b for r in got] == sorted(r.b for r in got)
     assert all(r.low <= r.v < r.low + max(1, r.v / 16) for r in got)
+
+
+def test_columns_of_the_caller_stay(spark):
+    from pyspark.sql import functions as F
+
+    own = {"kept": "mine", "m": "orig", "failed": "f", "base_failed": "b", "_judged": "j", "_lang": "l", "_source": "s", "max_word_len": "w", "_over": "o", "_limits": "x", "_group": "g"}
+    frame = spark.createDataFrame(rows(60), "doc_id long, text string, lang string, source string").withColumns({k: F.lit(v) for k, v in own.items()})
+    plain = {r.doc_id: r.kept for r in q.judge(frame.drop(*own)).collect()}
+    judged = q.judge(frame)
+    assert judged.columns[: len(frame.columns)] == frame.columns
+    for r in judged.collect():
+        assert all(r[k] == v for k, v in own.items()) and r.kept_ == plain[r.doc_id]
+    kept = q.keep_good(frame).collect()
+    assert {r.doc_id for r in kept} == {k for k, v in plain.items() if v}
+    assert all(r[k] == v for r in kept for k, v in own.items())
