@@ -94,6 +94,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def clear_scratch(spark: SparkSession) -> bool:
     """Remove this application's intermediate tables, once no result that reads them is needed."""
+    drop_tables(spark)
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/quotemill-{spark.sparkContext.applicationId}")
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Take intermediate tables that were written by name out of the catalog; their names begin with quotemill_."""
+    for found in spark.catalog.listTables(pattern="quotemill_*"):
+        spark.sql(f"DROP TABLE IF EXISTS {found.name}")

@@ -17,6 +17,7 @@ from quotemill.operators.reassembly import (
 )
 from quotemill.operators.reconcile import key_set_diff, reconcile, reconcile_summary
 from quotemill.operators import scan
+from quotemill.session import drop_tables
 from quotemill.operators.scan import (
     block_of,
     occurrence_number,
@@ -331,3 +332,20 @@ def test_direction_of_initiator(spark):
     ]
     r = direction_bytes(spark.createDataFrame(rows_in, FLOW_ROW), [80]).first()
     assert (r["initiator_ip"], r["sent_bytes"], r["received_bytes"], r["accepted"]) == ("10.0.0.1", 3, 7, True)
+
+
+def test_payload_crosses_the_network_once(spark):
+    """Merging by offset settles everything on narrow rows and joins the payload once."""
+    df = spark.createDataFrame(random_segments(12), FLOW_ROW)
+    merged = reassemble_by_offset(df.repartition(3), block_bytes=64)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" in plan and not any("payload#" in x for x in plan.splitlines() if "Window [" in x)
+
+
+def test_named_intermediate_tables_are_dropped(spark, tmp_path):
+    spark.range(3).write.option("path", str(tmp_path / "t")).saveAsTable("quotemill_test_table")
+    spark.range(3).write.option("path", str(tmp_path / "u")).saveAsTable("other_table")
+    drop_tables(spark)
+    names = {t.name for t in spark.catalog.listTables()}
+    spark.sql("DROP TABLE other_table")
+    assert "quotemill_test_table" not in names and "other_table" in names
