@@ -5,10 +5,11 @@ and the rest is judged against its own language and source. Per (language, sourc
 log-linear histogram is kept: values are integers, a bucket is a power of two cut into
 2**SKETCH_BITS equal parts, so a sketch has at most 64 * 2**SKETCH_BITS buckets whatever the input,
 two sketches merge by adding counts, a quantile is exact within 1 / 2**SKETCH_BITS of its value, and
-the result does not depend on how the rows are split. A threshold is the upper fence
-``median + FENCE * (upper quantile - median)``, held between a floor and a ceiling per measure: a
-clean group has tiny spread and must not lose its tail, a group that is mostly junk must not
-raise the bar without limit. Groups under MIN_GROUP documents use the sketch of all documents.
+the result does not depend on how the rows are split. A threshold is
+``median + FENCE * max(upper quantile - median, width)``: it moves with what is normal in the group, up and
+down, and there are no fixed cutoffs. The width per measure is the least spread that counts as one,
+as groups in which nearly all documents have the same value must not lose their tail. Groups under
+MIN_GROUP documents use the sketch of all documents.
 
 Null text has no words and fails the base rules; null language or source is a group of its own;
 repeated rows are judged row by row; an empty table gives an empty result.
@@ -25,16 +26,16 @@ from quotemill.session import configure
 SKETCH_BITS = 5
 MIN_GROUP = 50
 UPPER = 0.75
-FENCE = 6
+FENCE = 3
 SYMBOLS = b"#*$%&|<>"
-# measure -> (floor, ceiling) of its threshold, in thousandths (word_len: of a character)
-LIMITS = {
-    "symbol_rate": (60, 150),
-    "dup_line_rate": (400, 500),
-    "repeat_rate": (300, 450),
-    "upper_rate": (200, 400),
-    "word_len": (8_000, 12_000),
-    "short_word_rate": (700, 900),
+# measure -> the least spread of a group that counts, in thousandths (word_len: of a character)
+WIDTHS = {
+    "symbol_rate": 20,
+    "dup_line_rate": 130,
+    "repeat_rate": 80,
+    "upper_rate": 50,
+    "word_len": 500,
+    "short_word_rate": 60,
 }
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_letters long, n_lines long, n_short long"
 
@@ -153,11 +154,10 @@ def thresholds(sketch: DataFrame, groups: list[str]) -> DataFrame:
         ),
     )
     held = held.withColumn("q", running)
-    fence = bucket_low(F.col("q.mid")) + FENCE * (bucket_low(F.col("q.top")) - bucket_low(F.col("q.mid")))
-    limits = F.lit(None).cast("long")
-    for name, (low, high) in LIMITS.items():
-        limits = F.when(F.col("measure") == name, F.least(F.greatest(fence, F.lit(low).cast("long")), F.lit(high).cast("long"))).otherwise(limits)
-    return held.select(*groups, "measure", "docs", limits.alias("threshold"))
+    median = bucket_low(F.col("q.mid"))
+    width = F.create_map(*[F.lit(x) for n, w in WIDTHS.items() for x in (n, w)])[F.col("measure")]
+    threshold = median + FENCE * F.greatest(bucket_low(F.col("q.top")) - median, width.cast("long"))
+    return held.select(*groups, "measure", "docs", threshold.alias("threshold"))
 
 
 def adaptive_limits(counted: DataFrame, lang: str, source: str) -> DataFrame:
@@ -168,7 +168,7 @@ def adaptive_limits(counted: DataFrame, lang: str, source: str) -> DataFrame:
     merged = thresholds(sketch.groupBy("measure", "bucket").agg(F.sum("n").alias("n")), [])
     both = own.join(F.broadcast(merged.select("measure", F.col("threshold").alias("overall"))), "measure")  # one row per measure
     value = F.when(F.col("docs") >= MIN_GROUP, F.col("threshold")).otherwise(F.col("overall"))
-    return both.groupBy(*groups).agg(*[F.max(F.when(F.col("measure") == n, value)).alias(f"max_{n}") for n in LIMITS])
+    return both.groupBy(*groups).agg(*[F.max(F.when(F.col("measure") == n, value)).alias(f"max_{n}") for n in WIDTHS])
 
 
 OWN = "_judged"
@@ -180,7 +180,7 @@ def _judged(docs: DataFrame, text: str, lang: str, source: str) -> tuple[DataFra
     counted = document_counts(docs.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text")), "text")
     limits = adaptive_limits(counted.drop("text"), "lang", "source")
     named = limits.select(
-        F.struct("_lang", "_source").alias(group), F.struct(*[f"max_{n}" for n in LIMITS]).alias(limit)
+        F.struct("_lang", "_source").alias(group), F.struct(*[f"max_{n}" for n in WIDTHS]).alias(limit)
     )
     same = F.col(lang).eqNullSafe(F.col(f"{group}._lang")) & F.col(source).eqNullSafe(F.col(f"{group}._source"))
     joined = document_counts(docs, text, over).join(named, same, "left")

@@ -48,14 +48,13 @@ def judged() -> str:
         "short_word_rate": ("n_short", "n_words"),
     }
     values = ", ".join(f"{{'m': '{m}', 'v': CASE WHEN {b} > 0 THEN {a} * 1000 // {b} ELSE 0 END}}" for m, (a, b) in rates.items())
-    floors = " ".join(f"WHEN '{m}' THEN {a}" for m, (a, _) in quality.LIMITS.items())
-    tops = " ".join(f"WHEN '{m}' THEN {b}" for m, (_, b) in quality.LIMITS.items())
-    fence = f"{low('mid')} + {quality.FENCE} * ({low('top')} - {low('mid')})"
+    widths = " ".join(f"WHEN '{m}' THEN {w}" for m, w in quality.WIDTHS.items())
+    fence = f"{low('mid')} + {quality.FENCE} * greatest({low('top')} - {low('mid')}, CASE m {widths} END)"
 
     def limits(keys):
         names = "".join(f"{k}, " for k in keys)
         return dedent(f"""\
-            (SELECT {names}m, docs, least(greatest({fence}, CASE m {floors} END), CASE m {tops} END) AS threshold FROM (
+            (SELECT {names}m, docs, {fence} AS threshold FROM (
               SELECT {names}m, max(docs) AS docs, min(b) FILTER (seen * 2 >= docs) AS mid, min(b) FILTER (seen >= docs * {quality.UPPER}) AS top FROM (
                 SELECT {names}m, b, sum(n) OVER (PARTITION BY {names}m) AS docs, sum(n) OVER (PARTITION BY {names}m ORDER BY b) AS seen
                 FROM (SELECT {names}m, {bucket} AS b, count(*) AS n FROM measured GROUP BY ALL))

@@ -73,3 +73,18 @@ def test_columns_of_the_caller_stay(spark):
     kept = q.keep_good(frame).collect()
     assert {r.doc_id for r in kept} == {k for k, v in plain.items() if v}
     assert all(r[k] == v for r in kept for k, v in own.items())
+
+
+def test_groups_of_other_norms_have_other_thresholds(spark):
+    """Long words are normal in one language and junk in the other; no cutoff holds for both."""
+    rnd = random.Random(9)
+    text = lambda low, high: " ".join("".join(rnd.choices("abcdefghij", k=rnd.randint(low, high))) for _ in range(80))
+    short = [(i, text(2, 8), "aa", "s") for i in range(120)]
+    long = [(1000 + i, text(16, 24), "bb", "s") for i in range(120)]
+    odd = [(2000, text(16, 24), "aa", "s"), (2001, text(30, 60), "bb", "s"), (2002, text(11, 13), "aa", "s")]
+    frame = spark.createDataFrame(short + long + odd, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.kept, r.failed) for r in q.judge(frame).collect()}
+    assert all(got[r[0]][0] for r in short + long)
+    assert [got[i] for i in (2000, 2001, 2002)] == [(False, ["word_len"])] * 3
+    limits = {r["_lang"]: r.max_word_len for r in q.adaptive_limits(q.document_counts(frame), "lang", "source").collect()}
+    assert limits["bb"] > 2 * limits["aa"]
