@@ -138,3 +138,59 @@ def test_empty_tables(spark):
     assert brown.score_documents(none).count() == 0
     one = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert brown.score_documents(one).count() == 1
+
+
+def test_many_words_at_once_move_like_single_ones():
+    """``best_classes`` gives what ``best_class`` gives one by one, also for words that follow themselves."""
+    r = np.random.default_rng(5)
+    k, classes, words = 7, 6, 80
+    own = r.integers(0, k, words)
+    profiles = r.poisson(0.6, (2, words, k))
+    profiles[:, :5] *= 7
+    n = r.integers(0, 40, (k, k)).astype(float)
+    np.add.at(n, own, profiles[0])
+    np.add.at(n.T, own, profiles[1])
+    cells = [(*np.nonzero(p), p[np.nonzero(p)]) for p in profiles]
+    got = brown.best_classes(n, own, *cells, classes)
+    compared = 0
+    for w in range(words):
+        # with the own class among them, one by one a word of the last class may also stay
+        want = brown.best_class(n, int(own[w]), *profiles[:, w].astype(float), classes if own[w] < classes else k)
+        if want < classes:
+            assert got[w] == want
+            compared += want != own[w]
+    assert compared > 20 and len(set(got.tolist())) > 2
+
+
+def test_every_training_word_gets_a_learned_class(spark):
+    """Words outside the broadcast table too, with scores that follow from the texts and the classes."""
+    frame = docs(spark, [(1000, None), (1001, ""), (1002, "Unseen words ÉÉ here the cat"), (1003, "bird dog runs runs zebra zebra sees")])
+    marked = frame.withColumn("held_out", brown.held_out(frame.doc_id))
+    rows = [(r.doc_id, r.text) for r in frame.collect()]
+    for size in (4, 7, 100):
+        model, counts = brown.train_model(marked.filter("not held_out"), classes=4, table_words=size, rounds=6)
+        listed = {bytes(r.word): (r.n, r.c) for r in counts.collect()}
+        outside = {w: c for w, (_, c) in listed.items() if w not in model.index}
+        assert (len(outside) > 0) == (size < 100) and all(0 <= c < 4 for c in outside.values())
+        assert len(model.index) == 0 or set(model.word_class[:-1].tolist()) <= set(range(4))
+        of = lambda w: int(model.word_class[model.index[w]]) if w in model.index else outside.get(w, model.rest)  # noqa: B023, E731
+        texts = {i: [*(t or "").encode().lower().split(), b"\n"] for i, t in rows}
+        train = [w for i, w in texts.items() if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+        count, moves, total, kinds = Counter(), Counter(), Counter(), Counter({model.rest: 1})
+        for words in train:
+            count.update(words)
+            moves.update(zip(map(of, [b"\n", *words]), map(of, words)))
+        for w, x in count.items():
+            total[of(w)] += x
+            kinds[of(w)] += 1
+        a, k = brown.ALPHA, model.k
+        into = [sum(moves[i, j] for i in range(k)) for j in range(k)]
+
+        def step(i, j):
+            seen = max(1, sum(moves[i, x] > 0 for x in range(k)))  # noqa: B023
+            return (moves[i, j] + seen * (into[j] + a) / (sum(into) + a * k)) / (sum(moves[i, x] for x in range(k)) + seen)  # noqa: B023
+
+        got = {r.doc_id: r.score for r in brown.score(marked, model, counts).collect()}
+        for i, words in texts.items():
+            want = sum(math.log10(step(of(v), of(w)) * (count[w] + a) / (total[of(w)] + a * kinds[of(w)])) for v, w in zip([b"\n", *words], words))
+            assert abs(got[i] - want) < 1e-9 * max(1, abs(want)), (size, i)
