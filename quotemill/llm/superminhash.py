@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = shared_buckets(members)
     sets = full_sets(docs, buckets.select("id").distinct(), doc_id, text, width)
     components = close_buckets(
-        buckets, lambda pairs: verify_pairs(pairs, sets), lambda ids, candidates: blocks_against(ids, candidates, sets)
+        buckets, lambda pairs: verify_pairs(pairs, sets), lambda ids, candidates: blocks_against(ids.select("id"), candidates.select("id"), sets)
     )
     # An id that stands in several classes joins them.
     named = classes.select("class", F.col("rep").alias("id")).join(components, "id", "left")
