@@ -29,7 +29,7 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import Memo, space_chunks
+from quotemill.llm.common import Memo, release, space_chunks
 from quotemill.session import configure
 
 PAIRS = 1 << 18
@@ -204,6 +204,8 @@ def encode_column(text, ranks_path: str, pattern: str):
         coder = Encoder(_bpe(ranks_path), pattern)
         for column in columns:
             yield pa.array([None if x is None else coder.encode(x) for x in column.to_pylist()], pa.binary())
+        del coder  # its memos end with the task
+        release()
 
     return F.arrow_udf(encode, "binary")(text)
 
@@ -226,6 +228,7 @@ def decode_column(ids, ranks_path: str):
         tokens = pa.array(_bpe(ranks_path).tokens, pa.large_binary())
         for column in columns:
             yield decode_ids(column, tokens)
+        release()
 
     return F.arrow_udf(decode, "binary")(ids)
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import raw_texts, stage
+from quotemill.llm.common import raw_texts, release, slices, stage
 from quotemill.llm.quality import bucket
 
 END = b"\n"
@@ -43,7 +43,8 @@ ALPHA = 0.1
 TABLE_BITS = 8
 BLOCK = 64
 RARE_BLOCKS = 1 << 12
-PENDING = 1 << 21
+PENDING = 1 << 20
+SLICE_BYTES = 2 << 20
 GROUP = 32
 OCCURRENCE = np.dtype([("h", "<i8"), ("prev", "<i4"), ("next", "<i4")])
 TAIL_LIMITS = (4, 16, 64, 256)
@@ -78,6 +79,8 @@ def word_counts(train: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"]
             )
+            del found
+        release()
 
     return train.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -166,19 +169,16 @@ def _bigram_blocks(train: DataFrame, shared, text: str) -> DataFrame:
     OCCURRENCE in ``at0``, and in ``at1`` the pairs of hashes of neighbours that are both outside.
     """
 
-    def rows(symbols, keys, counts):
-        out, blocks = [], _blocks(symbols)
-        for side in (0, 1):
-            one, other = (keys // symbols, keys % symbols) if side == 0 else (keys % symbols, keys // symbols)
-            block, row = one % blocks, one // blocks
-            # ``keys`` rise; stable sorting of short integers is a radix sort
-            order = np.argsort(row.astype(np.uint16), kind="stable") if side else np.arange(len(row))
-            order = order[np.argsort(block[order].astype(np.uint16), kind="stable")]
-            block, at, n = block[order], (row * symbols + other)[order], counts[order]
-            starts = np.flatnonzero(np.diff(block, prepend=-1))
-            for a, b in zip(starts, [*starts[1:], len(at)], strict=True):
-                out.append((side, int(block[a]), _pack(np.diff(at[a:b], prepend=0), 4), _pack(n[a:b], 4)))
-        return out
+    def rows(symbols, keys, counts, side):
+        blocks = _blocks(symbols)
+        one, other = (keys // symbols, keys % symbols) if side == 0 else (keys % symbols, keys // symbols)
+        block, row = one % blocks, one // blocks
+        # ``keys`` rise; stable sorting of short integers is a radix sort
+        order = np.argsort(row.astype(np.uint16), kind="stable") if side else np.arange(len(row))
+        order = order[np.argsort(block[order].astype(np.uint16), kind="stable")]
+        block, at, n = block[order], (row * symbols + other)[order], counts[order]
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        return [(side, int(block[a]), _pack(np.diff(at[a:b], prepend=0), 4), _pack(n[a:b], 4)) for a, b in zip(starts, [*starts[1:], len(at)], strict=True)]
 
     def packed(out):
         cols = list(zip(*out, strict=True)) if out else [(), (), (), ()]
@@ -195,34 +195,54 @@ def _bigram_blocks(train: DataFrame, shared, text: str) -> DataFrame:
         starts = np.flatnonzero(np.diff(block, prepend=-1))
         out = [(2, int(block[a]), places[a:b].tobytes(), b"") for a, b in zip(starts, [*starts[1:], len(block)], strict=True)]
         # a pair belongs to no block; any will do
-        return out + ([(3, int(neighbours[0] % RARE_BLOCKS), np.array(neighbours, "<i8").tobytes(), b"")] if neighbours else [])
+        return out + ([(3, int(neighbours[0] % RARE_BLOCKS), neighbours.astype("<i8").tobytes(), b"")] if len(neighbours) else [])
+
+    def summed(found):
+        """Keys and counts of all slices of a batch, rising."""
+        if len(found) == 1:
+            return found[0]
+        keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[starts], np.add.reduceat(counts, starts)
 
     def count(batches):
         m = shared.value
         end = m.index.get(END, len(m.index))
         start, rare = m.word_symbol[end], len(m.index)
         for b in batches:
-            parts, places, neighbours, hashes = [np.zeros(0, np.int64)], [np.zeros(0, OCCURRENCE)], [], {}
-            for data in raw_texts(b.column(0)):
-                listed = tokens(data)
-                ids = np.array([m.index.get(w, rare) for w in listed], np.int64)
-                s = np.concatenate([[start], m.word_symbol[ids]])
-                parts.append(s[:-1] * m.symbols + s[1:])
-                if m.whole and len(at := np.flatnonzero(ids == rare)):
-                    for i in at:
-                        if listed[i] not in hashes:
-                            hashes[listed[i]] = word_hash(listed[i])
-                    around = np.concatenate([[end], ids, [end]])
-                    around[around == rare] = -1
-                    place = np.zeros(len(at), OCCURRENCE)
-                    place["h"] = [hashes[listed[i]] for i in at]
-                    place["prev"], place["next"] = around[at], around[at + 2]
-                    places.append(place)
-                    both = np.flatnonzero(np.diff(at) == 1)
-                    neighbours += np.stack([place["h"][both], place["h"][both + 1]], axis=1).ravel().tolist()
-            yield packed(rows(m.symbols, *np.unique(np.concatenate(parts), return_counts=True)))
+            found, places, neighbours = [], [np.zeros(0, OCCURRENCE)], []
+            for some in slices(b, text, SLICE_BYTES):
+                parts, hashes = [np.zeros(0, np.int64)], {}
+                for data in raw_texts(some.column(0)):
+                    listed = tokens(data)
+                    ids = np.array([m.index.get(w, rare) for w in listed], np.int64)
+                    s = np.concatenate([[start], m.word_symbol[ids]])
+                    parts.append(s[:-1] * m.symbols + s[1:])
+                    if m.whole and len(at := np.flatnonzero(ids == rare)):
+                        for i in at:
+                            if listed[i] not in hashes:
+                                hashes[listed[i]] = word_hash(listed[i])
+                        around = np.concatenate([[end], ids, [end]])
+                        around[around == rare] = -1
+                        place = np.zeros(len(at), OCCURRENCE)
+                        place["h"] = [hashes[listed[i]] for i in at]
+                        place["prev"], place["next"] = around[at], around[at + 2]
+                        places.append(place)
+                        both = np.flatnonzero(np.diff(at) == 1)
+                        if len(both):
+                            neighbours.append(np.stack([place["h"][both], place["h"][both + 1]], axis=1).ravel())
+                found.append(np.unique(np.concatenate(parts), return_counts=True))
+            if found:
+                keys, counts = summed(found)
+                del found
+                for side in (0, 1):
+                    yield packed(rows(m.symbols, keys, counts, side))
+                del keys, counts
             if len(places) > 1:
-                yield packed(outside(np.concatenate(places), neighbours))
+                yield packed(outside(np.concatenate(places), np.concatenate(neighbours) if neighbours else []))
+        release()
 
     def merge(batches):
         """One row per block."""
@@ -265,6 +285,7 @@ def _bigram_blocks(train: DataFrame, shared, text: str) -> DataFrame:
                     fold(side)
         if here:
             yield flush()
+        release()
 
     found = train.select(text).mapInArrow(count, "side int, block int, at binary, n binary").withColumn("outside", F.col("side") > 1).repartition("outside", "block")
     found = found.sortWithinPartitions("outside", "block").select("side", "block", "at", "n")
@@ -497,7 +518,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
         m, serial = shared.value, TaskContext.get().partitionId() << 40
         rare = len(m.index)
         start = m.word_class[m.index[END]] if END in m.index else m.rest
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, text, SLICE_BYTES)):
             rows, lengths, words, near = [], [], [], [np.zeros((3, 0), np.int32)]
             for data in raw_texts(b.column(b.schema.get_field_index(text))):
                 listed = tokens(data)
@@ -529,6 +550,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
             serial += len(rows)
             kept = pa.StructArray.from_arrays([b.column(b.schema.get_field_index(c)) for c in others], others)
             yield pa.RecordBatch.from_arrays([kept, *new], ["doc", "_row", "_n", "_known", "_base", "_score", "_words"])
+        release()
 
     def add(batches):
         """Sums of the words outside the table, and of the steps to and from them, by text; the rows come by text and place."""

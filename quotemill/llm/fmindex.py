@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import raw_texts, stage
+from quotemill.llm.common import raw_texts, release, stage
 from quotemill.llm.wavelet import WaveletMatrix, join_parts, pack_rows, split_parts, unpack_rows
 
 SHARD_WORDS = 1 << 20
@@ -203,6 +203,8 @@ def build_shards(docs: DataFrame, keep: list[str], text: str = "text", shard_wor
                 rows.append(kept.slice(begin))
         if texts:
             yield flush()
+        del rows, texts
+        release()
 
     return stage(docs.select(*keep, text).mapInArrow(run, "shard long, file binary"), "fm-index", 8)
 

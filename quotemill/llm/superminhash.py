@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import Memo, mix64, raw_texts, slices, stage
+from quotemill.llm.common import Memo, mix64, raw_texts, release, slices, stage
 from quotemill.llm.components import close_buckets, shared_buckets
 
 BANDS, ROWS = 30, 5
@@ -119,6 +119,8 @@ def sketch(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
                     ],
                     ["id", "n_shingles", "class", "bands"],
                 )
+        del words
+        release()
 
     picked = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias(text))
     return stage(picked.mapInArrow(run, "id long, n_shingles long, class binary, bands array<long>"), "sketches")

@@ -1,4 +1,5 @@
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -6,6 +7,8 @@ import numpy as np
 
 from quotemill.llm import brown
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def docs(spark, extra=()):
     nouns, verbs = ["cat", "dog", "bird", "fish"], ["runs", "eats", "sees", "hears"]
@@ -194,3 +197,32 @@ def test_every_training_word_gets_a_learned_class(spark):
         for i, words in texts.items():
             want = sum(math.log10(step(of(v), of(w)) * (count[w] + a) / (total[of(w)] + a * kinds[of(w)])) for v, w in zip([b"\n", *words], words))
             assert abs(got[i] - want) < 1e-9 * max(1, abs(want)), (size, i)
+
+
+def test_memory_goes_back_to_the_system():
+    """What a worker has freed leaves its process, and counts come the same from slices of a batch."""
+    import subprocess
+    import sys
+
+    code = (
+        "import re, numpy as np; from quotemill.llm.common import release\n"
+        "mb = lambda: int(re.search(r'VmRSS:\\s+(\\d+)', open('/proc/self/status').read())[1]) / 1024\n"
+        "held = [np.ones(5000) for _ in range(5000)]; last = np.ones(5000)\n"
+        "del held; before = mb(); release(); print(before - mb())"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": ROOT})
+    assert float(out.stdout) > 100
+
+
+def test_slices_give_the_same_blocks(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 4) for _ in range(rnd.randint(0, 30)))) for i in range(300)] + [(300, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {}
+    for size in (200, 1 << 30):
+        monkeypatch.setattr(brown, "SLICE_BYTES", size)
+        found = brown.score_documents(docs, classes=4, table_words=12).collect()
+        got[size] = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in found)
+    assert len(got[200]) == 301 and got[200] == got[1 << 30]
