@@ -367,3 +367,20 @@ def test_stats_and_reconcile_folders(spark, tmp_path):
     states = spark.createDataFrame([(1, "miss"), (2, "match")], "k int, status string")
     tables.write_reconcile(states, str(tmp_path / "rec"))
     assert spark.read.parquet(str(tmp_path / "rec")).filter("status = 'miss'").count() == 1
+
+
+def test_compressed_snapshot_file_has_the_same_rows(spark, tmp_path, monkeypatch):
+    from quotemill.operators import snapshots
+    from quotemill.plans.queries import book_frames
+
+    monkeypatch.setattr(tables, "FILE_ROWS", 1000)
+    books = snapshots.decode_snapshots(book_frames(spark, "/root/testdata/sf0.001")).limit(3000).localCheckpoint()
+    plain, small = str(tmp_path / "plain"), str(tmp_path / "small")
+    tables.write_snapshots(books, plain, "csv")
+    tables.write_snapshots(books, small, "csv", compression="gzip")
+    read = lambda folder: spark.read.option("header", True).csv(folder)
+    assert read(small).columns == read(plain).columns
+    assert sorted(map(tuple, read(small).collect())) == sorted(map(tuple, read(plain).collect())) and read(small).count() == 3000
+    size = lambda folder: sum(os.path.getsize(f"{folder}/{n}") for n in os.listdir(folder) if n.startswith("part-"))
+    names = [n for n in os.listdir(small) if n.startswith("part-")]
+    assert len(names) >= 3 and all(n.endswith(".csv.gz") for n in names) and 4 * size(small) < size(plain)

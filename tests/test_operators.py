@@ -349,3 +349,27 @@ def test_named_intermediate_tables_are_dropped(spark, tmp_path):
     names = {t.name for t in spark.catalog.listTables()}
     spark.sql("DROP TABLE other_table")
     assert "quotemill_test_table" not in names and "other_table" in names
+
+
+def test_rows_are_numbered_in_one_exchange(spark):
+    """Blocks may be null; the rows themselves are dealt once, for the places in a block and for its first number."""
+    from pyspark.sql import functions as F
+
+    from quotemill.operators.scan import number_all
+
+    rows = [(None if i < 50 else i // 100, i, f"row {i}") for i in range(1000)]
+    frame = spark.createDataFrame(rows[::-1], "block long, at long, text string").repartition(5)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        numbered = number_all(frame, block=["block"], order=["at"], name="no")
+        assert sorted((r.at, r.no, r.text) for r in numbered.collect()) == [(i, i + 1, f"row {i}") for i in range(1000)]
+        plan = numbered._jdf.queryExecution().sparkPlan().toString()
+        executed = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert "SortMergeJoin" in plan
+    wide = [x for x in executed.split("== Initial Plan ==")[-1].splitlines() if "Exchange hashpartitioning" in x and "(_part" not in x]
+    assert len(wide) <= 2  # one of the rows, one of the blocks
+    assert number_all(frame.limit(0), block=["block"], order=["at"], name="no").count() == 0
