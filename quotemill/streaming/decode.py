@@ -143,10 +143,11 @@ def decode_stream(
     )
     events = frame_stream(landed, port)
     frames = events.filter(F.col("kind") == "frame").drop("kind", "n_bytes", "frame_reject")
-    routed = route(frames, rules)
-    rows = decode(routed.filter((F.col("category_id") == category) & (F.col("msg_type") == kind)))
+    routed = route(frames, rules).filter((F.col("category_id") == category) & (F.col("msg_type") == kind))
     if dedup_delay is None:
-        return rows
+        # Frames decode alone, so not only the few tasks that hold flows do it; with dedup a flow's frames stay in order.
+        return decode(routed.repartition(spark.sparkContext.defaultParallelism, "frame_no"))
+    rows = decode(routed)
     timed = rows.filter(F.col("reject_reason").isNull()).withColumn(
         "arrived", F.timestamp_micros(F.call_function("div", F.col("ts_ns"), F.lit(1000)))
     )
@@ -161,15 +162,26 @@ def dedup_stream(rows: DataFrame, keys, ts: str, delay: str) -> DataFrame:
 def publish_batches(
     stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
 ):
-    """Append every micro-batch to a Parquet folder; a batch is published when it commits."""
-    return (
+    """Append every micro-batch to a Parquet folder; a batch is published when it commits.
+
+    Every partition of the state costs each micro-batch a task and a file, also without a flow in it, so a new query has
+    as many as there are cores, if the session asks for more; a restarted one keeps those of its checkpoint.
+    """
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start()
     )
+    spark, key = stream.sparkSession, "spark.sql.shuffle.partitions"
+    asked = spark.conf.get(key)
+    # a query takes the settings that hold when it starts
+    spark.conf.set(key, str(min(int(asked), spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, asked)
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int | None = None) -> None:

@@ -369,6 +369,27 @@ def test_stats_and_reconcile_folders(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rec")).filter("status = 'miss'").count() == 1
 
 
+def test_state_has_as_many_partitions_as_cores(spark, landed, tmp_path):
+    """Every partition of the state is a task in each batch; and frames are decoded by all cores."""
+    sink, state = str(tmp_path / "out"), str(tmp_path / "state")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "37")
+    try:
+        stream = streaming.decode_stream(spark, landed, "cap", RULES, port=9129)
+        query = streaming.publish_batches(stream, sink, state, {"processingTime": "0 seconds"})
+        assert spark.conf.get(key) == "37"
+        query.processAllAvailable()
+        found = [s["numShufflePartitions"] for p in query.recentProgress for s in p["stateOperators"]]
+        query.stop()
+    finally:
+        spark.conf.set(key, before)
+    cores = spark.sparkContext.defaultParallelism
+    assert found and set(found) == {cores}
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert plan.index("MapInArrow") < plan.index("RepartitionByExpression") < plan.index("FlatMapGroupsInPandasWithState")
+
+
 def test_compressed_snapshot_file_has_the_same_rows(spark, tmp_path, monkeypatch):
     from quotemill.operators import snapshots
     from quotemill.plans.queries import book_frames
